@@ -72,3 +72,34 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict]], sche
 def fold(id_col: str, n: int):
     """crc32 of the id as text, modulo n."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, bytes, int]]:
+    """(doc_id, UTF-8 text, 0 or 1) of at most `most` labelled documents outside fold 0, chosen by a hash of the id.
+
+    Several labels of a document count as their largest; null labels and ids are left out.
+    """
+    given = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != 0))
+    given = given.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y"))
+    given = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    found = id_text(docs, id_col, text_col).join(F.broadcast(given), "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "y").limit(2 * most)
+    return sorted({(r[0], bytes(r[1]), int(r[2] > 0)) for r in found.toLocalIterator()})
+
+
+def sigmoid(x):
+    return 0.5 * (1 + np.tanh(0.5 * np.asarray(x, np.float64)))
+
+
+def platt(logits: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope and shift that calibrate logits by logistic regression to targets drawn in a little, as Platt's."""
+    a, b, n1 = 1.0, 0.0, float(y.sum())
+    y = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (len(y) - n1 + 2))
+    x = np.column_stack([logits, np.ones(len(logits))])
+    for _ in range(rounds):
+        p = sigmoid(x @ [a, b])
+        grad = x.T @ (p - y) + 1e-3 * np.array([a - 1, b])
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), grad)
+        a, b = a - step[0], b - step[1]
+        if abs(step).max() < 1e-6:
+            break
+    return float(a), float(b)

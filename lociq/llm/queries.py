@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, simhash
-from .common import table
+from . import bpe, exact_dedup, quality, simhash, toxicity
+from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,6 +19,16 @@ def tokenizer(name: str = RANKS) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def judged(scores: DataFrame, threshold: float) -> DataFrame:
+    """A classifier's result with the fold that held a document out, and its decision."""
+    return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return judged(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,11 +44,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return judged(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_simhash": op9_simhash,
+        "op10_quality": op10_quality,
     }
 
 
