@@ -69,6 +69,20 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict]], sche
     return df.mapInArrow(run, schema)
 
 
+def keep_rows(df: DataFrame, text_col: str, start: Callable[[], Callable[[list[bytes]], np.ndarray]]) -> DataFrame:
+    """The rows of df, with all their columns, for whose UTF-8 texts (null: empty) the function that start makes in a task says true."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = start()
+        for batch in batches:
+            text = pc.fill_null(batch.column(at).cast(pa.binary()), b"")
+            for i, texts in byte_chunks(text):
+                yield batch.slice(i, len(texts)).filter(pa.array(np.asarray(keep(texts), bool)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def fold(id_col: str, n: int):
     """crc32 of the id as text, modulo n."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(n))

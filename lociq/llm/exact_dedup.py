@@ -111,3 +111,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = rows.withColumn("key", order).join(verdict, ["key", "text_sha256"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("key", "text_sha256").orderBy("row")))
     keep = F.nullif(F.coalesce("keep", "key"), F.lit(2**63 - 1))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), ((F.col("key") == F.coalesce("keep", "key")) & (F.col("rank") == 1)).alias("kept"), "text_sha256")
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that stay."""
+    out = stored(exact_duplicates(docs, id_col, text_col))
+    again = out.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id")))  # whole rows that repeat
+    lost = out.where(~F.col("kept")).select("doc_id", "text_sha256").join(out.where("kept").select("doc_id", "text_sha256"), ["doc_id", "text_sha256"], "left_anti")
+    key = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE + "+", " "), 256)
+    lost = stored(lost.distinct().select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")))
+    kept = docs.join(lost, docs[id_col].eqNullSafe(lost["__id"]) & (key == lost["__sha"]), "left_anti")
+    if again.isEmpty():
+        return kept
+    return kept.withColumn("__sha", key).dropDuplicates([id_col, "__sha"]).drop("__sha")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality, simhash, toxicity
+from . import bpe, decontam, exact_dedup, licenses, quality, simhash, toxicity
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,10 @@ def tokenizer(name: str = RANKS) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
     """A classifier's result with the fold that held a document out, and its decision."""
     return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -33,12 +37,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
     path, pattern = tokenizer()
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    out = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -51,8 +63,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_licenses": op1_licenses,
         "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_decontamination": op7_decontamination,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_simhash": op9_simhash,
         "op10_quality": op10_quality,

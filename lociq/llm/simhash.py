@@ -109,3 +109,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = ids.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = stored(ids.join(least, "root").select("fp", "component_id"))
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """The rows of docs, with all their columns, that are the first of their component. Rows with a null id all stay."""
+    found = near_duplicates(docs, id_col, text_col, distance)
+    lost = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(lost, docs[id_col] == lost["__id"], "left_anti")
