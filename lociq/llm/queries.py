@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, licenses, quality, simhash, toxicity
+from . import bpe, decontam, exact_dedup, licenses, mixing, quality, simhash, toxicity
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.scores(table(spark, sf_dir, "documents"))
+
+
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
     """A classifier's result with the fold that held a document out, and its decision."""
     return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -64,6 +68,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
+        "op4_context_mixing": op4_context_mixing,
         "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_decontamination": op7_decontamination,
