@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, licenses, mixing, quality, simhash, toxicity
+from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, simhash, toxicity
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,22 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def joined(spans: str):
+    """kind:start:end of an array of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts of the base spans by kind, their hash, and all spans."""
+    kind = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kind, k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(pii.find(table(spark, sf_dir, "documents")), pii.BASE)
+
+
 def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scores(table(spark, sf_dir, "documents"))
 
@@ -68,6 +84,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
+        "op3_pii": op3_pii,
         "op4_context_mixing": op4_context_mixing,
         "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
