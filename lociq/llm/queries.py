@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, simhash, toxicity
+from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, secrets, simhash, toxicity
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,10 @@ def digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(secrets.find(table(spark, sf_dir, "documents")), secrets.BASE)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(pii.find(table(spark, sf_dir, "documents")), pii.BASE)
 
@@ -84,6 +88,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
+        "op2_secrets": op2_secrets,
         "op3_pii": op3_pii,
         "op4_context_mixing": op4_context_mixing,
         "op5_toxicity": op5_toxicity,
