@@ -1,10 +1,660 @@
-"""Registered queries of the interval engine and their SQL."""
+"""Registered queries of the interval engine over the derived tables, each with its SQL."""
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import attributes as A
+from ..functions import coords, sequence
+from ..operators import annotation as ann
+from ..operators import counting, coverage, expression, intervals, metagene
+from ..operators import predictions as pred
+from . import views as V
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+LENGTHS = coords.lengths("20-70")
+CONTRASTS = ["click", "purchase", "scroll", "signup", "view"]
+#: Codons and the ribosome binding site that tracks are made for.
+MOTIFS = ["ATG", "GTG", "TTG", "CTG", "TAG", "TGA", "TAA", "AAGG"]
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[name] = f
+        if sql:
+            _SQL[name] = V.with_views(sql)
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def r6(c) -> F.Column:
+    return F.round(c, 6)
+
+
+def cds(spark: SparkSession, d: str) -> DataFrame:
+    return V.features(spark, d).where("feature = 'CDS'")
+
+
+def packed(spark: SparkSession, d: str) -> DataFrame:
+    return counting.collapsed(V.reads(spark, d))
+
+
+# Samples, keys, filters, totals
+
+
+@query("library_ids", "SELECT library, method, cond, rep, count(*) AS n FROM reads GROUP BY ALL")
+def library_ids(spark, d):
+    x = V.reads(spark, d).groupBy("method", "cond", "rep").agg(F.sum("n").alias("n"))
+    return x.select(coords.library("method", "cond", "rep").alias("library"), "method", "cond", "rep", "n")
+
+
+@query("sample_sheet_sorted", "SELECT row_number() OVER (ORDER BY lower(method), lower(cond), lower(rep)) AS place, method, cond AS condition, rep AS replicate FROM (SELECT DISTINCT method, cond, rep FROM reads)")
+def sample_sheet_sorted(spark, d):
+    from pyspark.sql import Window
+
+    x = V.reads(spark, d).select("method", "cond", "rep").distinct()  # a row a sample
+    return x.select(F.row_number().over(Window.orderBy(F.lower("method"), F.lower("cond"), F.lower("rep"))).cast("long").alias("place"), "method", F.col("cond").alias("condition"), F.col("rep").alias("replicate"))
+
+
+@query("locus_key_roundtrip", "SELECT id, concat(chrom, ':', start1, '-', stop1, ':', strand) AS locus, chrom, start1, stop1, strand, (stop1 - start1 + 1) // 3 AS codons FROM annotation")
+def locus_key_roundtrip(spark, d):
+    x = V.annotation(spark, d).select("id", coords.locus("chrom", "start1", "stop1", "strand").alias("locus")).withColumn("p", coords.parsed("locus"))
+    return x.select("id", "locus", "p.*").withColumn("codons", coords.codons("start1", "stop1"))
+
+
+@query("accepted_reads", "SELECT chrom, count(*) AS n FROM reads WHERE nh <= 1 AND flag & 4 = 0 GROUP BY chrom")
+def accepted_reads(spark, d):
+    return V.reads(spark, d).where(counting.accepted()).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("unique_mapped", "SELECT library, count(*) AS n FROM reads WHERE flag <> 4 AND nh = 1 GROUP BY library")
+def unique_mapped(spark, d):
+    return V.reads(spark, d).where("flag <> 4 and nh = 1").groupBy("library").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("strand_swap", "SELECT chrom, cast(xor(flag, 16) AS INTEGER) AS swapped, count(*) AS n FROM reads GROUP BY ALL")
+def strand_swap(spark, d):
+    return V.reads(spark, d).groupBy("chrom", F.col("flag").bitwiseXOR(F.lit(16)).alias("swapped")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("total_mapped", "SELECT library, chrom, n FROM totals")
+def total_mapped(spark, d):
+    return counting.totals(V.reads(spark, d)).select("library", "chrom", "n")
+
+
+@query("avg_read_length", "SELECT library, chrom, round(avg_len, 6) AS avg_len FROM totals")
+def avg_read_length(spark, d):
+    return counting.totals(V.reads(spark, d)).select("library", "chrom", r6("avg_len").alias("avg_len"))
+
+
+_HIST = "WITH h AS (SELECT chrom, library, read_length, count(*) AS cnt FROM reads GROUP BY ALL), g AS (SELECT * FROM (SELECT DISTINCT chrom, library FROM reads), (SELECT DISTINCT read_length FROM reads)), f AS (SELECT chrom, library, read_length, coalesce(cnt, 0) AS cnt FROM g LEFT JOIN h USING (chrom, library, read_length))"
+
+
+@query("read_length_hist_grid", _HIST + " SELECT * FROM f")
+def read_length_hist_grid(spark, d):
+    return counting.length_histogram(V.reads(spark, d))
+
+
+@query("read_length_fractions", _HIST + " SELECT *, round(cnt / sum(cnt) OVER (PARTITION BY chrom, library), 6) AS fraction FROM f")
+def read_length_fractions(spark, d):
+    return counting.length_fractions(counting.length_histogram(V.reads(spark, d))).withColumn("fraction", r6("fraction"))
+
+
+@query("read_length_selected", "SELECT library, read_length, count(*) AS n FROM reads WHERE read_length IN (22, 23, 27, 34, 35) GROUP BY ALL")
+def read_length_selected(spark, d):
+    return V.reads(spark, d).where(F.col("read_length").isin(coords.lengths("22,23,27,35-34"))).groupBy("library", "read_length").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Interval joins and counts
+
+_OVER = "r.chrom = f.chrom AND r.strand = f.strand AND start0 <= f_stop0 AND stop0 >= f_start0"
+
+
+@query("rrna_mask_antijoin", "SELECT library, chrom, count(*) AS n, cast(sum(start0) AS BIGINT) AS sum_start FROM reads r WHERE NOT EXISTS (SELECT 1 FROM features f WHERE feature IN ('rRNA', 'tRNA') AND r.chrom = f.chrom AND start0 <= f_stop0 AND stop0 >= f_start0) GROUP BY ALL")
+def rrna_mask_antijoin(spark, d):
+    kept = counting.outside(V.reads(spark, d), V.features(spark, d).where("feature in ('rRNA', 'tRNA')"))
+    return kept.groupBy("library", "chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("start0").alias("sum_start"))
+
+
+@query("overlap_count_cds", f"SELECT f.id, count(*) AS pairs, cast(sum(least(stop0, f_stop0) - greatest(start0, f_start0) + 1) AS BIGINT) AS bases FROM reads r JOIN cds f ON {_OVER} WHERE nh <= 1 GROUP BY ALL")
+def overlap_count_cds(spark, d):
+    pairs = counting.overlaps(packed(spark, d).where("nh <= 1"), cds(spark, d))
+    bases = (F.least("stop0", "f_stop0") - F.greatest("start0", "f_start0") + 1) * F.col("n")
+    return pairs.groupBy("id").agg(F.sum("n").alias("pairs"), F.sum(bases).alias("bases"))
+
+
+@query("count_stranded_O", f"SELECT feature, id, library, cast(count(*) AS DOUBLE) AS cnt FROM reads r JOIN features f ON {_OVER} WHERE nh <= 1 GROUP BY feature, id, library")
+def count_stranded_all(spark, d):
+    return counting.count_all_overlaps(packed(spark, d), V.features(spark, d))
+
+
+@query("count_multi_fraction", f"WITH one AS (SELECT row_number() OVER () AS rid, * FROM reads), p AS (SELECT rid, nh, library, feature, id FROM one r JOIN features f ON {_OVER}), y AS (SELECT *, count(*) OVER (PARTITION BY rid, feature) AS y FROM p) SELECT feature, id, library, round(sum(1.0::DOUBLE / (nh * y)), 6) AS cnt FROM y GROUP BY ALL")
+def count_multi_fraction(spark, d):
+    return counting.count_all_overlaps(packed(spark, d), V.features(spark, d), multi=True, fraction=True).withColumn("cnt", r6("cnt"))
+
+
+@query("count_unique_hit_only", "WITH one AS (SELECT row_number() OVER () AS rid, * FROM reads), p AS (SELECT rid, library, feature, id, count(*) OVER (PARTITION BY rid, feature) AS y FROM one r JOIN features f ON r.chrom = f.chrom AND start0 <= f_stop0 AND stop0 >= f_start0) SELECT feature, id, library, cast(count(*) AS DOUBLE) AS cnt FROM p WHERE y = 1 GROUP BY ALL")
+def count_unique_hit_only(spark, d):
+    return counting.count_single_hits(packed(spark, d), V.features(spark, d))
+
+
+_POINT = {"global": "TRUE", "fiveprime": "CASE WHEN r.strand = '+' THEN start0 ELSE stop0 END BETWEEN f_start0 AND f_stop0", "threeprime": "CASE WHEN r.strand = '+' THEN stop0 ELSE start0 END BETWEEN f_start0 AND f_stop0", "centered": "round_even((start0 + stop0) / 2, 0) BETWEEN f_start0 AND f_stop0"}
+
+
+def _style(style: str) -> None:
+    sql = f"WITH c AS (SELECT f.id, count(*) AS cnt FROM reads r JOIN cds f ON {_OVER} WHERE nh <= 1 AND {_POINT[style]} GROUP BY ALL) SELECT id, coalesce(cnt, 0) AS cnt FROM cds LEFT JOIN c USING (id)"
+    query(f"count_style_{style}", sql)(lambda spark, d: counting.count_by_style(packed(spark, d), cds(spark, d), style))
+
+
+for _s in coverage.STYLES:
+    _style(_s)
+
+
+@query("counts_to_annotation_left", "SELECT f.id, f.feature, f.chrom, f.strand, coalesce(c.cnt, 0) AS cnt FROM features f LEFT JOIN (SELECT id, sum(cnt) AS cnt FROM counts GROUP BY id) c USING (id)")
+def counts_to_annotation_left(spark, d):
+    c = counting.count_all_overlaps(packed(spark, d), cds(spark, d)).groupBy("id").agg(F.sum("cnt").alias("cnt"))
+    return counting.on_annotation(V.features(spark, d).select("id", "feature", "chrom", "strand"), c, ["id"])
+
+
+_LIBS = [f"{m}-{c}-{r}" for m in ("RIBO", "RNA") for c in "ANR" for r in "12"]
+
+
+@query("de_matrix_pivot", "SELECT id, " + ", ".join(f"coalesce(sum(cnt) FILTER (library = '{x}'), 0) AS \"{x.replace('-', '_')}\"" for x in _LIBS) + " FROM counts GROUP BY id")
+def de_matrix_pivot(spark, d):
+    x = counting.count_all_overlaps(packed(spark, d), cds(spark, d)).groupBy("id").pivot("library", _LIBS).agg(F.sum("cnt"))
+    return x.select("id", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c.replace("-", "_")) for c in _LIBS])
+
+
+@query("de_dedup_keep_first", "SELECT chrom, start1, stop1, strand, contrast, event_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY padj, event_id) AS rn FROM de_results) WHERE rn = 1")
+def de_dedup_keep_first(spark, d):
+    return counting.keep_first(V.de_results(spark, d), "id", [F.asc_nulls_last("padj"), "event_id"]).select("chrom", "start1", "stop1", "strand", "contrast", "event_id")
+
+
+@query("self_overlap_isolated_genes", "SELECT a.id, a.chrom, a.strand FROM cds a JOIN cds b ON a.chrom = b.chrom AND a.strand = b.strand AND a.f_start0 <= b.f_stop0 + 50 AND a.f_stop0 >= b.f_start0 - 50 GROUP BY ALL HAVING count(*) = 1")
+def self_overlap_isolated_genes(spark, d):
+    return intervals.overlaps_only_itself(cds(spark, d), ["chrom", "strand"], ("f_start0", "f_stop0"), "id", 50).select("id", "chrom", "strand")
+
+
+@query("overlapping_gene_labels", "WITH p AS (SELECT DISTINCT chrom, strand, start1 - 1 AS s, stop1 - 1 AS e FROM predictions) SELECT p.chrom, p.strand, p.s, p.e, string_agg(f.locus_tag, ',' ORDER BY f.f_start0, f.locus_tag) AS labels FROM p LEFT JOIN (SELECT DISTINCT chrom, strand, f_start0, f_stop0, locus_tag FROM features WHERE locus_tag IS NOT NULL) f ON p.chrom = f.chrom AND p.strand = f.strand AND s <= f_stop0 AND e >= f_start0 GROUP BY ALL")
+def overlapping_gene_labels(spark, d):
+    p = V.predictions(spark, d).select("chrom", "strand", (F.col("start1") - 1).alias("s"), (F.col("stop1") - 1).alias("e")).distinct().withColumn("key", coords.locus("chrom", "s", "e", "strand"))
+    g = V.features(spark, d).drop("id", "feature")
+    labels = intervals.labels_of_overlaps(p, g, ["chrom", "strand"], ("s", "e"), "key", ("f_start0", "f_stop0"), "locus_tag")
+    return p.join(labels, "key").drop("key")
+
+
+@query("gene_filter_reasons", f"""WITH alone AS (SELECT a.id FROM cds a JOIN cds b ON a.chrom = b.chrom AND a.strand = b.strand AND a.f_start0 <= b.f_stop0 + 50 AND a.f_stop0 >= b.f_start0 - 50 GROUP BY ALL HAVING count(*) = 1),
+    c AS (SELECT f.id, count(*) AS cnt FROM reads r JOIN cds f ON {_OVER} WHERE nh <= 1 GROUP BY ALL), t AS (SELECT chrom, count(*) AS total FROM reads WHERE nh <= 1 GROUP BY chrom)
+    SELECT CASE WHEN feature <> 'CDS' THEN 'type' WHEN alone.id IS NULL THEN 'overlap' WHEN f_stop0 - f_start0 + 1 < 90 THEN 'length' WHEN round(coalesce(cnt, 0) * 1e9 / (total::DOUBLE * (f_stop0 - f_start0 + 1)), 2) < 5000 THEN 'rpkm' ELSE 'included' END AS reason, count(*) AS n
+    FROM features f LEFT JOIN alone ON f.id = alone.id LEFT JOIN c ON c.id = f.id LEFT JOIN t ON t.chrom = f.chrom GROUP BY 1""")
+def gene_filter_reasons(spark, d):
+    f = V.features(spark, d)
+    return metagene.gene_reasons(f, f, packed(spark, d), positions_in=60, length_cutoff=90, distance=50, rpkm_threshold=5000.0).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("avg_overlap", f"SELECT f.id, library, round(avg(least(stop0, f_stop0) - greatest(start0, f_start0) + 1), 6) AS avg_overlap FROM reads r JOIN cds f ON {_OVER} GROUP BY ALL")
+def avg_overlap(spark, d):
+    return counting.mean_overlap(packed(spark, d), cds(spark, d)).withColumn("avg_overlap", r6("avg_overlap"))
+
+
+@query("five_prime_counts", "SELECT f.id, library, count(*) AS n FROM reads r JOIN cds f ON r.chrom = f.chrom AND r.strand = f.strand AND CASE WHEN r.strand = '+' THEN start0 ELSE stop0 END BETWEEN f_start0 AND f_stop0 GROUP BY ALL")
+def five_prime_counts(spark, d):
+    x = packed(spark, d)
+    end = F.when(F.col("strand") == "+", F.col("start0")).otherwise(F.col("stop0"))
+    return counting.overlaps(x.withColumn("start0", end).withColumn("stop0", F.col("start0")), cds(spark, d)).groupBy("id", "library").agg(F.sum("n").alias("n"))
+
+
+# Normalisation
+
+
+def rpkm_table(spark, d):
+    return counting.rpkm_table(packed(spark, d), cds(spark, d))
+
+
+@query("rpkm", "SELECT id, library, cnt, rpkm FROM rpkm")
+def rpkm(spark, d):
+    return rpkm_table(spark, d)
+
+
+_TE = "WITH t AS (SELECT id, split_part(library, '-', 1) AS method, split_part(library, '-', 2) AS cond, split_part(library, '-', 3) AS rep, rpkm FROM rpkm), te AS (SELECT a.id, a.method, a.cond, a.rep, CASE WHEN b.rpkm <> 0 THEN a.rpkm / b.rpkm END AS te FROM t a JOIN t b ON a.id = b.id AND a.cond = b.cond AND a.rep = b.rep AND a.method = 'RIBO' AND b.method = 'RNA')"
+
+
+def _te(spark, d):
+    parts = F.split("library", "-")
+    x = rpkm_table(spark, d).select("id", parts[0].alias("method"), parts[1].alias("cond"), parts[2].alias("rep"), "rpkm")
+    return expression.te_pairs(x, {"RIBO": "RNA", "TIS": "RNATIS", "TTS": "RNATTS"})
+
+
+@query("te_pairs", _TE + " SELECT id, method, cond, rep, round(te, 6) AS te FROM te")
+def te_pairs(spark, d):
+    return _te(spark, d).withColumn("te", r6("te"))
+
+
+@query("te_replicate_mean", _TE + " SELECT id, method, cond, round(avg(te), 6) AS te_avg FROM te GROUP BY ALL HAVING count(*) > 1")
+def te_replicate_mean(spark, d):
+    return expression.te_means(_te(spark, d)).withColumn("te_avg", r6("te_avg"))
+
+
+@query("read_table_rollup", f"""WITH c AS (SELECT feature, f.id, count(*) AS cnt FROM reads r JOIN features f ON {_OVER} WHERE nh <= 1 GROUP BY ALL), names AS (SELECT unnest(['CDS', 'gene', 'rRNA', 'tRNA', 'sRNA', 'ncRNA', 'misc', 'total']) AS class),
+    g AS (SELECT coalesce(feature, 'total') AS class, count(DISTINCT id) AS features, round(cast(sum(cnt) AS DOUBLE), 2) AS reads FROM c GROUP BY GROUPING SETS ((feature), ())) SELECT class, coalesce(features, 0) AS features, coalesce(reads, 0) AS reads FROM names LEFT JOIN g USING (class)""")
+def read_table_rollup(spark, d):
+    c = counting.count_all_overlaps(packed(spark, d), V.features(spark, d)).groupBy("feature", "id").agg(F.sum("cnt").alias("cnt"))
+    return counting.read_table(c, V.CLASSES)
+
+
+# Coverage
+
+_INC = "CASE WHEN strand = '+' THEN 1.0::DOUBLE / nh ELSE -1.0::DOUBLE / nh END"
+_TRACK = {
+    "fiveprime": f"SELECT library, chrom, strand, CASE WHEN strand = '+' THEN start0 ELSE stop0 END AS pos, sum({_INC}) AS value FROM reads GROUP BY ALL",
+    "threeprime": f"SELECT library, chrom, strand, CASE WHEN strand = '+' THEN stop0 ELSE start0 END AS pos, sum({_INC}) AS value FROM reads GROUP BY ALL",
+    "global": f"SELECT library, chrom, strand, unnest(range(start0, stop0 + 1)) AS pos, {_INC} AS inc FROM reads",
+    "centered": f"SELECT library, chrom, strand, unnest(range(start0 + 11, stop0 + 1 - 11)) AS pos, {_INC} / (stop0 + 1 - start0 - 22) AS inc FROM reads WHERE stop0 + 1 - start0 > 22",
+}
+for _k in ("global", "centered"):
+    _TRACK[_k] = f"SELECT library, chrom, strand, pos, sum(inc) AS value FROM ({_TRACK[_k]}) GROUP BY ALL"
+
+
+def _track(spark, d, style):
+    return coverage.track(packed(spark, d).withColumn("end0", F.col("stop0") + 1), style)
+
+
+def _raw(style: str) -> None:
+    # A library and chromosome a row for the dense styles' digest; the sparse ones in full.
+    if style in ("fiveprime", "threeprime"):
+        query(f"coverage_{style}_raw", f"SELECT library, chrom, strand, pos, round(value, 6) AS value FROM ({_TRACK[style]})")(lambda spark, d: _track(spark, d, style).withColumn("value", r6("value")))
+    else:
+        sql = f"SELECT library, chrom, strand, pos // 100 AS bin, count(*) AS positions, round(sum(value), 5) AS total, round(max(abs(value)), 5) AS peak FROM ({_TRACK[style]}) GROUP BY ALL"
+
+        def run(spark, d):
+            x = _track(spark, d, style).groupBy("library", "chrom", "strand", F.floor(F.col("pos") / 100).alias("bin"))
+            return x.agg(F.count(F.lit(1)).alias("positions"), F.round(F.sum("value"), 5).alias("total"), F.round(F.max(F.abs("value")), 5).alias("peak"))
+
+        query(f"coverage_{style}_raw", sql)(run)
+
+
+for _s in coverage.STYLES:
+    _raw(_s)
+
+
+@query("coverage_mil", f"SELECT t.library, t.chrom, strand, pos, round(value * (1e6 / n), 6) AS value FROM ({_TRACK['threeprime']}) t JOIN totals USING (library, chrom)")
+def coverage_mil(spark, d):
+    return coverage.normalised(_track(spark, d, "threeprime"), counting.totals(V.reads(spark, d)), "mil").withColumn("value", r6("value")).select("library", "chrom", "strand", "pos", "value")
+
+
+@query("coverage_min", f"SELECT t.library, t.chrom, strand, pos, round(value * (m / n), 6) AS value FROM ({_TRACK['fiveprime']}) t JOIN (SELECT *, min(n) OVER (PARTITION BY chrom) AS m FROM totals) USING (library, chrom)")
+def coverage_min(spark, d):
+    return coverage.normalised(_track(spark, d, "fiveprime"), counting.totals(V.reads(spark, d)), "min").withColumn("value", r6("value")).select("library", "chrom", "strand", "pos", "value")
+
+
+@query("bedgraph_runs", """WITH e AS (SELECT chrom, strand, start0 AS p, 1 AS d FROM reads UNION ALL SELECT chrom, strand, stop0 + 1, -1 FROM reads), s AS (SELECT chrom, strand, p, sum(d) AS d FROM e GROUP BY ALL HAVING sum(d) <> 0),
+    w AS (SELECT chrom, strand, p, sum(d) OVER o AS depth, lead(p) OVER o AS nxt FROM s WINDOW o AS (PARTITION BY chrom, strand ORDER BY p)) SELECT chrom, strand, p AS start0, nxt - 1 AS stop0, cast(depth AS BIGINT) AS depth FROM w WHERE depth <> 0""")
+def bedgraph_runs(spark, d):
+    return intervals.runs_of_depth(V.reads(spark, d), ["chrom", "strand"], ("start0", "stop0"), "n")
+
+
+@query("asite_occupancy", "SELECT library, chrom, strand, CASE WHEN strand = '+' THEN start0 + read_length - 12 ELSE start0 + 10 END AS pos, count(*) AS cnt FROM reads WHERE flag IN (0, 16) GROUP BY ALL")
+def asite_occupancy(spark, d):
+    return coverage.a_sites(packed(spark, d))
+
+
+# Metagene
+
+_WINDOW = {"start": ("CASE WHEN f.strand = '+' THEN f_start0 ELSE f_stop0 END", 20, 39, 0), "stop": ("CASE WHEN f.strand = '+' THEN f_stop0 ELSE f_start0 END", 39, 20, 1)}
+
+
+def _metagene_sql(site: str, point: str) -> str:
+    anchor, before, after, less = _WINDOW[site]
+    return f"""(SELECT chrom, read_length, away - {less} AS coord, count(*) AS cnt FROM (SELECT r.chrom, read_length, CASE WHEN r.strand = '+' THEN ({point}) - ({anchor}) ELSE ({anchor}) - ({point}) END AS away
+        FROM reads r JOIN cds f ON r.chrom = f.chrom AND r.strand = f.strand WHERE nh <= 1 AND flag & 4 = 0) WHERE away BETWEEN -{before} AND {after} GROUP BY ALL)"""
+
+
+_FIVE, _THREE = "CASE WHEN r.strand = '+' THEN start0 ELSE stop0 END", "CASE WHEN r.strand = '+' THEN stop0 ELSE start0 END"
+
+
+def _metagene(spark, d, site, style):
+    return metagene.profile(packed(spark, d), cds(spark, d), site, style, 20, 40)
+
+
+@query("metagene_start", f"SELECT * FROM {_metagene_sql('start', _FIVE)}")
+def metagene_start(spark, d):
+    return _metagene(spark, d, "start", "fiveprime")
+
+
+@query("metagene_stop", f"SELECT * FROM {_metagene_sql('stop', _THREE)}")
+def metagene_stop(spark, d):
+    return _metagene(spark, d, "stop", "threeprime")
+
+
+@query("metagene_cpm", f"SELECT m.chrom, read_length, coord, cnt, round(cnt * 1e6 / total, 6) AS value FROM {_metagene_sql('start', _FIVE)} m JOIN (SELECT chrom, count(*) AS total FROM reads WHERE nh <= 1 GROUP BY chrom) USING (chrom)")
+def metagene_cpm(spark, d):
+    total = V.reads(spark, d).where(counting.accepted()).groupBy("chrom").agg(F.count(F.lit(1)).alias("total"))
+    return metagene.cpm(_metagene(spark, d, "start", "fiveprime"), total).withColumn("value", r6("value"))
+
+
+@query("metagene_window_norm", f"WITH m AS (SELECT * FROM {_metagene_sql('start', _FIVE)}), g AS (SELECT * FROM (SELECT DISTINCT chrom, read_length FROM m), (SELECT unnest(range(-20, 40)) AS coord)), f AS (SELECT chrom, read_length, coord, coalesce(cnt, 0) AS cnt FROM g LEFT JOIN m USING (chrom, read_length, coord)) SELECT *, round(cnt / (sum(cnt) OVER (PARTITION BY chrom, read_length) / 60), 6) AS value FROM f")
+def metagene_window_norm(spark, d):
+    return metagene.window_normalised(metagene.completed(_metagene(spark, d, "start", "fiveprime"), -20, 39), 60).withColumn("value", r6("value"))
+
+
+@query("metagene_wide", f"SELECT chrom, coord, " + ", ".join(f"cast(coalesce(sum(cnt) FILTER (read_length = {x}), 0) AS BIGINT) AS len_{x}" for x in range(25, 35)) + f", cast(coalesce(sum(cnt) FILTER (read_length BETWEEN 25 AND 34), 0) AS BIGINT) AS sum FROM {_metagene_sql('start', _THREE)} GROUP BY ALL")
+def metagene_wide(spark, d):
+    return metagene.wide(_metagene(spark, d, "start", "threeprime"), coords.lengths("25-34")).withColumn("sum", F.col("sum").cast("long"))
+
+
+# Sequences
+
+_POSITIONS = "(SELECT doc_id, seq, unnest(range(1, greatest(len(seq), 1) - {k} + 2)) AS i FROM {src}) WHERE substring(seq, i, {k}) = '{m}'"
+
+
+def _motif_sql(src: str) -> str:
+    # Only GTG can overlap itself: of a chain of overlapping hits (each two bases on), every other one counts.
+    parts = [f"SELECT doc_id, '{m}' AS motif, i - 1 AS start0 FROM {_POSITIONS.format(k=len(m), m=m, src=src)}" for m in MOTIFS if m != "GTG"]
+    gtg = f"""SELECT doc_id, 'GTG' AS motif, start0 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, chain ORDER BY start0) AS rn FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start0) AS chain FROM
+        (SELECT *, CASE WHEN start0 - lag(start0) OVER (PARTITION BY doc_id ORDER BY start0) = 2 THEN 0 ELSE 1 END AS fresh FROM (SELECT doc_id, i - 1 AS start0 FROM {_POSITIONS.format(k=3, m='GTG', src=src)})))) WHERE rn % 2 = 1"""
+    return " UNION ALL ".join([*parts, gtg])
+
+
+def _motifs(contigs: DataFrame) -> DataFrame:
+    each = F.array(*[F.struct(F.lit(m).alias("motif"), sequence.motif_starts(F.col("seq"), m).alias("starts")) for m in MOTIFS])
+    x = contigs.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.motif", F.explode("x.starts").alias("start0"))
+    return x.select("doc_id", "motif", F.col("start0").cast("long").alias("start0"))
+
+
+_RC = "(SELECT doc_id, reverse(translate(seq, 'ACGT', 'TGCA')) AS seq FROM genome)"
+
+
+@query("motif_scan_fwd", f"SELECT doc_id, motif, count(*) AS hits, cast(sum(start0) AS BIGINT) AS starts, count(*) FILTER (start0 % 3 = 0) AS frame0 FROM ({_motif_sql('genome')}) GROUP BY ALL")
+def motif_scan_fwd(spark, d):
+    return _motifs(V.genome(spark, d)).groupBy("doc_id", "motif").agg(F.count(F.lit(1)).alias("hits"), F.sum("start0").alias("starts"), F.count_if(F.col("start0") % 3 == 0).alias("frame0"))
+
+
+@query("motif_scan_rev", f"SELECT doc_id, motif, count(*) AS hits, cast(sum(start0) AS BIGINT) AS starts FROM ({_motif_sql(_RC)}) GROUP BY ALL")
+def motif_scan_rev(spark, d):
+    x = V.genome(spark, d).withColumn("seq", sequence.reverse_complement(F.col("seq")))
+    return _motifs(x).groupBy("doc_id", "motif").agg(F.count(F.lit(1)).alias("hits"), F.sum("start0").alias("starts"))
+
+
+@query("genome_lengths", "SELECT concat('ctg', doc_id) AS chrom, len(seq) AS length FROM genome")
+def genome_lengths(spark, d):
+    return V.genome(spark, d).select(F.concat(F.lit("ctg"), "doc_id").alias("chrom"), F.length("seq").cast("long").alias("length"))
+
+
+@query("reverse_complement", "SELECT doc_id, md5(reverse(translate(seq, 'ACGT', 'TGCA'))) AS digest FROM genome")
+def reverse_complement(spark, d):
+    return V.genome(spark, d).select("doc_id", F.md5(sequence.reverse_complement(F.col("seq")).cast("binary")).alias("digest"))
+
+
+_ORF = "(SELECT doc_id, strand, CASE WHEN strand = '+' THEN part ELSE reverse(translate(part, 'ACGT', 'TGCA')) END AS orf, CASE WHEN strand = '+' THEN CASE WHEN start0 >= 15 THEN substring(seq, start0 - 14, 15) ELSE '' END ELSE reverse(translate(substring(seq, start0 + 91, 15), 'ACGT', 'TGCA')) END AS upstream FROM (SELECT doc_id, seq, start0, substring(seq, start0 + 1, 90) AS part, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand FROM (SELECT doc_id, seq, doc_id % 40 AS start0 FROM genome) WHERE len(seq) >= start0 + 90))"
+
+
+def _orfs(spark, d):
+    x = V.genome(spark, d).withColumn("start0", F.col("doc_id") % 40).where(F.length("seq") >= F.col("start0") + 90).withColumn("strand", F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-"))
+    place = (F.col("seq"), F.col("start0"), F.col("start0") + 89, F.col("strand"))
+    return x.select("doc_id", "strand", sequence.oriented(*place).alias("orf"), sequence.upstream(*place).alias("upstream"))
+
+
+@query("start_stop_codon", f"SELECT doc_id, strand, left(orf, 3) AS start_codon, right(orf, 3) AS stop_codon FROM {_ORF}")
+def start_stop_codon(spark, d):
+    return _orfs(spark, d).select("doc_id", "strand", F.left("orf", F.lit(3)).alias("start_codon"), F.right("orf", F.lit(3)).alias("stop_codon"))
+
+
+@query("upstream15", f"SELECT doc_id, strand, upstream FROM {_ORF}")
+def upstream15(spark, d):
+    return _orfs(spark, d).select("doc_id", "strand", "upstream")
+
+
+@query("translate_table11", f"SELECT doc_id, split_part(array_to_string([substring('{sequence.AMINO_ACIDS}', (instr('TCAG', c[1]) - 1) * 16 + (instr('TCAG', c[2]) - 1) * 4 + instr('TCAG', c[3]), 1) FOR c IN [substring(orf, 3 * i + 1, 3) FOR i IN range(0, len(orf) // 3)]], ''), '*', 1) AS protein FROM {_ORF}")
+def translate_table11(spark, d):
+    return _orfs(spark, d).select("doc_id", sequence.translated(F.col("orf")).alias("protein"))
+
+
+# Annotation
+
+
+@query("attr_parse", "SELECT id, id AS attr_id, p_name AS attr_name, locus_tag FROM annotation")
+def attr_parse(spark, d):
+    x = V.annotation(spark, d).withColumn("attrs", A.gff3("attributes"))
+    return x.select("id", A.first_of("attrs", "id").alias("attr_id"), A.first_of("attrs", "name", "gene_name").alias("attr_name"), A.first_of("attrs", "locus_tag").alias("locus_tag"))
+
+
+@query("attr_normalise", "SELECT id, concat('id=', id, ';', CASE WHEN locus_tag IS NOT NULL THEN concat('locus_tag=', locus_tag, ';') ELSE '' END, 'name=', p_name, ';') AS attributes FROM annotation")
+def attr_normalise(spark, d):
+    return V.annotation(spark, d).select("id", A.written(A.gff3("attributes")).alias("attributes"))
+
+
+@query("gtf_to_gff3", "SELECT id, concat('ID=', lower(feature), '-', id, ';', CASE WHEN feature <> 'gene' THEN concat('Parent=gene-', id, ';') ELSE '' END, CASE WHEN locus_tag IS NOT NULL THEN concat('locus_tag=', locus_tag, ';') ELSE '' END, 'name=', p_name, ';') AS attributes FROM annotation")
+def gtf_to_gff3(spark, d):
+    name = F.regexp_extract("attributes", "Name=([^;]*)", 1)
+    text = F.concat(F.lit('gene_id "'), "id", F.lit('"; name "'), name, F.lit('"; '), F.when(F.col("locus_tag").isNotNull(), F.concat(F.lit('locus_tag "'), "locus_tag", F.lit('"; '))).otherwise(F.lit('locus_tag ""; ')))
+    x = V.annotation(spark, d).withColumn("attrs", A.gtf(text))
+    return x.select("id", A.gff3_of_gtf(F.col("attrs"), F.lower("feature"), A.first_of("attrs", "gene_id")).alias("attributes"))
+
+
+@query("gtf_gene_merge", """WITH x AS (SELECT concat('g', k // 4) AS gene_id, feature, chrom, start1, stop1, strand, CASE WHEN feature = 'gene' THEN 'gene' WHEN feature = 'CDS' THEN 'CDS' ELSE 'RNA' END AS kind FROM annotation),
+    g AS (SELECT gene_id, kind, min(chrom) AS c, min(start1) AS a, max(stop1) AS b, min(strand) AS s FROM x GROUP BY ALL), k AS (SELECT DISTINCT gene_id FROM x),
+    j AS (SELECT k.gene_id, coalesce(ge.c, cd.c, rn.c) AS chrom, coalesce(ge.s, cd.s, rn.s) AS strand, coalesce(ge.a, cd.a, rn.a) AS a, coalesce(ge.b, cd.b, rn.b) AS b, ge.a IS NULL AND cd.a IS NOT NULL AS orphan, cd.a IS NOT NULL AS has_cds, rn.a IS NOT NULL AS has_rna
+      FROM k LEFT JOIN g ge ON ge.gene_id = k.gene_id AND ge.kind = 'gene' LEFT JOIN g cd ON cd.gene_id = k.gene_id AND cd.kind = 'CDS' LEFT JOIN g rn ON rn.gene_id = k.gene_id AND rn.kind = 'RNA'),
+    p AS (SELECT *, CASE WHEN orphan AND strand = '-' THEN a - 3 ELSE a END AS start1, CASE WHEN orphan AND strand = '+' THEN b + 3 ELSE b END AS stop1 FROM j)
+    SELECT gene_id, 'gene' AS feature, chrom, start1, stop1, strand FROM p UNION ALL SELECT gene_id, 'CDS', chrom, start1, stop1, strand FROM p WHERE has_cds UNION ALL SELECT gene_id, 'RNA', chrom, start1, stop1, strand FROM p WHERE has_rna""")
+def gtf_gene_merge(spark, d):
+    x = V.annotation(spark, d).withColumn("gene_id", F.concat(F.lit("g"), F.floor(F.col("k") / 4).cast("string")))
+    return ann.genes_of_gtf(x)
+
+
+_ROOTS = "WITH up AS (SELECT id, id AS root, 0 AS depth FROM annotation UNION ALL SELECT u.id, a.parent, depth + 1 FROM up u JOIN annotation a ON u.root = a.id JOIN annotation b ON b.id = a.parent), top AS (SELECT id, max_by(root, depth) AS root, max(depth) AS depth FROM up GROUP BY id)"
+
+
+@query("parent_root_inherit", _ROOTS + " SELECT a.id, root, cast(depth AS BIGINT) AS depth, coalesce(a.locus_tag, r.locus_tag) AS locus_tag, coalesce(a.p_name, r.p_name) AS name FROM annotation a JOIN top USING (id) JOIN annotation r ON r.id = top.root")
+def parent_root_inherit(spark, d):
+    x = V.annotation(spark, d).withColumn("attrs", A.gff3("attributes"))
+    return ann.enriched(x, ann.roots_within(x, 3))
+
+
+@query("reannotate_name", "WITH o AS (SELECT DISTINCT chrom, start1, stop1, strand FROM predictions), a AS (SELECT chrom, start1, stop1, strand, min(p_name) AS n FROM annotation GROUP BY ALL) SELECT o.*, coalesce(a.n, concat(o.chrom, '-', o.start1)) AS name, a.n IS NOT NULL AS found FROM o LEFT JOIN a USING (chrom, start1, stop1, strand)")
+def reannotate_name(spark, d):
+    o = V.predictions(spark, d).select(*pred.LOCUS).distinct().withColumn("name", F.concat_ws("-", "chrom", "start1"))
+    a = V.annotation(spark, d).withColumn("attrs", A.gff3("attributes")).select(*pred.LOCUS, A.first_of("attrs", "gene_name").alias("gene_name"), A.first_of("attrs", "name").alias("a_name"))
+    return ann.renamed_by_annotation(o, a, pred.LOCUS)
+
+
+@query("fill_from_gene", "SELECT c.id, c.chrom, coalesce(c.locus_tag, g.locus_tag) AS locus_tag FROM (SELECT id, chrom, f_start0 // 300 AS region, locus_tag FROM cds) c LEFT JOIN (SELECT chrom, f_start0 // 300 AS region, max(locus_tag) AS locus_tag FROM features WHERE feature = 'gene' GROUP BY ALL) g USING (chrom, region)")
+def fill_from_gene(spark, d):
+    x = V.features(spark, d).withColumn("region", F.floor(F.col("f_start0") / 300))
+    genes = x.where("feature = 'gene'").groupBy("chrom", "region").agg(F.max("locus_tag").alias("locus_tag"))
+    return ann.filled_from_gene(x.where("feature = 'CDS'").select("chrom", "region", "id", "locus_tag"), genes, ["chrom", "region"], ("locus_tag",)).select("id", "chrom", "locus_tag")
+
+
+@query("uid_assign", "SELECT concat('uid', row_number() OVER (ORDER BY chrom, start1, stop1, id)) AS uid, id FROM annotation")
+def uid_assign(spark, d):
+    return ann.with_uid(V.annotation(spark, d), "chrom", ["start1", "stop1", "id"]).select("uid", "id")
+
+
+@query("orf_stop_extension", "SELECT id, CASE WHEN strand = '+' THEN start1 ELSE start1 - 3 END AS start1, CASE WHEN strand = '+' THEN stop1 + 3 ELSE stop1 END AS stop1, CASE WHEN strand = '+' THEN start1 ELSE start1 - 2 END AS start_b, CASE WHEN strand = '+' THEN stop1 + 2 ELSE stop1 END AS stop_b FROM annotation")
+def orf_stop_extension(spark, d):
+    (a3, b3), (a2, b2) = coords.with_stop_codon("strand", "start1", "stop1", 3), coords.with_stop_codon("strand", "start1", "stop1", 2)
+    return V.annotation(spark, d).select("id", a3.alias("start1"), b3.alias("stop1"), a2.alias("start_b"), b2.alias("stop_b"))
+
+
+@query("biotype_feature", "SELECT t AS biotype, CASE WHEN t = 'protein_coding' THEN 'CDS' WHEN t IN ('rrna', 'trna', 'srna', 'ncrna') THEN regexp_replace(t, 'rna$', 'RNA') ELSE 'misc' END AS feature, count(*) AS n FROM (SELECT CASE WHEN feature = 'CDS' THEN 'protein_coding' ELSE lower(feature) END AS t FROM annotation) GROUP BY ALL")
+def biotype_feature(spark, d):
+    t = F.when(F.col("feature") == "CDS", "protein_coding").otherwise(F.lower("feature"))
+    return V.annotation(spark, d).select(t.alias("biotype")).groupBy("biotype", ann.reclassified(F.col("biotype")).alias("feature")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Predictions and overview
+
+_PRED = "WITH c AS (SELECT chrom, start1, stop1, strand, max(pred) AS pred, string_agg(DISTINCT concat('deepribo-', cond, '-', rep), ' ' ORDER BY concat('deepribo-', cond, '-', rep)) AS evidence, cast(max_by(dist, o_orderkey) AS INTEGER) AS dist, count(*) AS calls FROM predictions GROUP BY chrom, start1, stop1, strand)"
+
+
+def _collapsed(spark, d):
+    x = V.predictions(spark, d).withColumn("evidence", pred.evidence("deepribo", F.col("cond"), F.col("rep")))
+    return pred.collapsed(x, "o_orderkey")
+
+
+@query("pred_collapse_max_evidence", _PRED + " SELECT * FROM c")
+def pred_collapse(spark, d):
+    return _collapsed(spark, d)
+
+
+@query("pred_rank_novel", _PRED + ", k AS (SELECT *, row_number() OVER (ORDER BY pred DESC, chrom, start1, stop1, strand) AS pred_rank FROM c) SELECT chrom, start1, stop1, strand, pred, dist, pred_rank, CASE WHEN dist = -1 THEN cast(sum(CASE WHEN dist = -1 THEN 1 ELSE 0 END) OVER (ORDER BY pred_rank) AS BIGINT) END AS novel_rank FROM k")
+def pred_rank_novel(spark, d):
+    return pred.ranked(_collapsed(spark, d).drop("evidence", "calls"))
+
+
+@query("pred_plus", _PRED + " SELECT chrom, start1, stop1, strand, pred FROM c WHERE pred >= 0")
+def pred_plus(spark, d):
+    return _collapsed(spark, d).where("pred >= 0").select(*pred.LOCUS, "pred")
+
+
+@query("evidence_prefix", _PRED + " SELECT chrom, start1, stop1, strand, evidence FROM c")
+def evidence_prefix(spark, d):
+    x = V.predictions(spark, d).groupBy(*pred.LOCUS).agg(F.array_join(F.collect_list(F.concat_ws("-", "cond", "rep")), " ").alias("e"))
+    return x.select(*pred.LOCUS, pred.prefixed(F.col("e"), "deepribo").alias("evidence"))
+
+
+@query("gff_union_all", "SELECT 'annotation' AS source, chrom, start1, stop1, strand, id, NULL::DOUBLE AS pred FROM annotation UNION ALL SELECT 'prediction', chrom, start1, stop1, strand, NULL, pred FROM predictions")
+def gff_union_all(spark, d):
+    a = V.annotation(spark, d).select(F.lit("annotation").alias("source"), *pred.LOCUS, "id")
+    return pred.united([a, V.predictions(spark, d).select(F.lit("prediction").alias("source"), *pred.LOCUS, "pred")])
+
+
+_OVERVIEW = """WITH dp AS (SELECT chrom, start1, stop1, strand, max(pred) AS pred, count(*) AS calls FROM predictions WHERE cond <> 'F' GROUP BY ALL), rp AS (SELECT chrom, start1, stop1, strand, count(*) AS calls FROM predictions WHERE cond = 'F' GROUP BY ALL),
+    an AS (SELECT chrom, start1, stop1, strand, min(locus_tag) AS locus_tag FROM annotation GROUP BY ALL), keys AS (SELECT chrom, start1, stop1, strand FROM dp UNION SELECT chrom, start1, stop1, strand FROM rp UNION SELECT chrom, start1, stop1, strand FROM an)
+    SELECT chrom, start1, stop1, strand, dp.pred, an.locus_tag, coalesce(dp.calls, rp.calls) AS calls, concat_ws(',', CASE WHEN dp.calls IS NOT NULL THEN 'deepribo' END, CASE WHEN rp.calls IS NOT NULL THEN 'reparation' END, CASE WHEN an.chrom IS NOT NULL THEN 'annotation' END) AS found
+    FROM keys LEFT JOIN dp USING (chrom, start1, stop1, strand) LEFT JOIN rp USING (chrom, start1, stop1, strand) LEFT JOIN an USING (chrom, start1, stop1, strand)"""
+
+
+@query("overview_full_outer", _OVERVIEW)
+def overview_full_outer(spark, d):
+    p = V.predictions(spark, d)
+    dp = p.where("cond <> 'F'").groupBy(*pred.LOCUS).agg(F.max("pred").alias("pred"), F.count(F.lit(1)).alias("calls"))
+    rp = p.where("cond = 'F'").groupBy(*pred.LOCUS).agg(F.count(F.lit(1)).alias("calls"))
+    an = V.annotation(spark, d).groupBy(*pred.LOCUS).agg(F.min("locus_tag").alias("locus_tag"))
+    return pred.overview({"deepribo": dp, "reparation": rp, "annotation": an}, ["pred", "locus_tag", "calls"])
+
+
+@query("overview_contrast_pivot", "WITH one AS (SELECT chrom, start1, stop1, strand, contrast, min_by(log2fc, event_id) AS log2fc, min_by(padj, event_id) AS padj FROM de_results GROUP BY ALL) SELECT chrom, start1, stop1, strand, " + ", ".join(f"max(log2fc) FILTER (contrast = '{c}') AS {c}_log2fc, max(padj) FILTER (contrast = '{c}') AS {c}_padj" for c in CONTRASTS) + " FROM one GROUP BY ALL")
+def overview_contrast_pivot(spark, d):
+    return pred.by_contrast(V.de_results(spark, d), CONTRASTS, ["log2fc", "padj"], "event_id")
+
+
+@query("de_up_down", "SELECT id, contrast, event_id, log2fc, padj, CASE WHEN log2fc >= 1.0 AND padj <= 0.05 THEN 'up' WHEN log2fc <= -1.0 AND padj <= 0.05 THEN 'down' ELSE 'none' END AS direction FROM de_results")
+def de_up_down(spark, d):
+    return V.de_results(spark, d).select("id", "contrast", "event_id", "log2fc", "padj", expression.direction("log2fc", "padj", 1.0, 0.05).alias("direction"))
+
+
+@query("de_pool_contrasts", "SELECT id, contrast, log2fc, padj, CASE WHEN contrast IN ('click', 'view') THEN 'xtail' ELSE 'riborex' END AS tool FROM de_results")
+def de_pool_contrasts(spark, d):
+    x = V.de_results(spark, d).select("id", "contrast", "log2fc", "padj")
+    first = F.col("contrast").isin("click", "view")
+    return expression.pooled({"xtail": x.where(first), "riborex": x.where(~first)})
+
+
+_SIDES = {"ribo": "click", "rna": "view", "te": "purchase"}
+
+
+@query("deltate_inner3", "WITH one AS (SELECT id, contrast, min_by(log2fc, event_id) AS log2fc, min_by(padj, event_id) AS padj FROM de_results GROUP BY ALL) SELECT a.id, a.log2fc AS ribo_log2fc, a.padj AS ribo_padj, b.log2fc AS rna_log2fc, b.padj AS rna_padj, c.log2fc AS te_log2fc, c.padj AS te_padj FROM one a JOIN one b USING (id) JOIN one c USING (id) WHERE a.contrast = 'click' AND b.contrast = 'view' AND c.contrast = 'purchase'")
+def deltate_inner3(spark, d):
+    one = V.de_results(spark, d).groupBy("id", "contrast").agg(F.min_by("log2fc", "event_id").alias("log2fc"), F.min_by("padj", "event_id").alias("padj"))
+    return expression.all_three(**{k: one.where(F.col("contrast") == c).drop("contrast") for k, c in _SIDES.items()})
+
+
+@query("de_sorted", "SELECT row_number() OVER (ORDER BY padj NULLS LAST, chrom, start1, stop1, strand, event_id) AS place, event_id FROM de_results WHERE contrast = 'purchase' ORDER BY place LIMIT 200")
+def de_sorted(spark, d):
+    from pyspark.sql import Window
+
+    top = V.de_results(spark, d).where("contrast = 'purchase'").orderBy(F.asc_nulls_last("padj"), *pred.LOCUS, "event_id").limit(200)  # a report of the best 200
+    return top.select(F.row_number().over(Window.orderBy(F.asc_nulls_last("padj"), *pred.LOCUS, "event_id")).cast("long").alias("place"), "event_id")
+
+
+@query("sheet_split_counts", "SELECT CASE lower(feature) WHEN 'cds' THEN 'CDS' WHEN 'rrna' THEN 'rRNA' WHEN 'trna' THEN 'tRNA' WHEN 'srna' THEN 'sRNA' WHEN 'ncrna' THEN 'ncRNA' ELSE 'misc' END AS sheet, count(*) AS n, count(locus_tag) AS annotated FROM annotation GROUP BY 1")
+def sheet_split_counts(spark, d):
+    names = {k.lower(): k for k in ("CDS", "rRNA", "tRNA", "sRNA", "ncRNA")}
+    return pred.sheets(V.annotation(spark, d), "feature", names).groupBy("sheet").agg(F.count(F.lit(1)).alias("n"), F.count("locus_tag").alias("annotated"))
+
+
+# Samples and quality control
+
+
+@query("contrast_pairs", "WITH c AS (SELECT DISTINCT cond FROM reads) SELECT concat(a.cond, '-', b.cond) AS contrast, a.cond AS a, b.cond AS b FROM c a JOIN c b ON lower(a.cond) < lower(b.cond)")
+def contrast_pairs(spark, d):
+    return expression.contrast_pairs(V.reads(spark, d).select("cond").distinct())
+
+
+@query("has_replicates", "SELECT bool_and(n >= 2) AS has_replicates, count(*) AS groups FROM (SELECT method, cond, count(DISTINCT rep) AS n FROM reads GROUP BY ALL)")
+def has_replicates(spark, d):
+    return expression.has_replicates(V.reads(spark, d).select("method", "cond", "rep").distinct())
+
+
+def _counts(spark, d):
+    parts = F.split("library", "-")
+    return rpkm_table(spark, d).select("id", "library", parts[0].alias("method"), parts[1].alias("cond"), parts[2].alias("rep"), "cnt")
+
+
+@query("mean_variance", "SELECT id, split_part(library, '-', 1) AS method, split_part(library, '-', 2) AS cond, round(avg(cnt), 6) AS mean, round(var_samp(cnt), 6) AS variance FROM rpkm GROUP BY ALL")
+def mean_variance(spark, d):
+    return expression.mean_variance(_counts(spark, d)).withColumn("mean", r6("mean")).withColumn("variance", r6("variance"))
+
+
+_FACTORS = "WITH l AS (SELECT id, library, ln(cnt) AS l FROM rpkm WHERE cnt > 0), m AS (SELECT id, avg(l) AS m FROM l GROUP BY id HAVING count(*) = 12), sf AS (SELECT library, exp(quantile_cont(l - m, 0.5)) AS size_factor FROM l JOIN m USING (id) GROUP BY library)"
+
+
+@query("size_factors", _FACTORS + " SELECT library, round(size_factor, 6) AS size_factor FROM sf")
+def size_factors(spark, d):
+    return expression.size_factors(_counts(spark, d), 12).withColumn("size_factor", r6("size_factor"))
+
+
+def _norm(spark, d):
+    c = _counts(spark, d)
+    return expression.normalised(c.select("id", "library", "cnt"), expression.size_factors(c, 12))
+
+
+@query("normalized_counts", _FACTORS + " SELECT id, library, round(cnt / size_factor, 5) AS norm FROM rpkm JOIN sf USING (library)")
+def normalized_counts(spark, d):
+    return _norm(spark, d).select("id", "library", F.round("norm", 5).alias("norm"))
+
+
+@query("corr_pearson", "SELECT a.library AS lib_a, b.library AS lib_b, round(corr(ln(a.cnt + 1), ln(b.cnt + 1)), 6) AS r FROM rpkm a JOIN rpkm b USING (id) GROUP BY ALL")
+def corr_pearson(spark, d):
+    return expression.correlations(_counts(spark, d).withColumn("v", F.log1p("cnt")), "id", "v").withColumn("r", r6("r"))
+
+
+_BINS = "WITH b AS (SELECT library, concat(chrom, ':', start0 // 500) AS bin, count(*) AS n FROM reads GROUP BY ALL), k AS (SELECT library, bin, rank() OVER (PARTITION BY library ORDER BY n) + (count(*) OVER (PARTITION BY library, n) - 1) / 2 AS rank FROM b)"
+
+
+@query("corr_spearman_bins", _BINS + " SELECT a.library AS lib_a, b.library AS lib_b, round(corr(a.rank, b.rank), 6) AS r FROM k a JOIN k b USING (bin) GROUP BY ALL")
+def corr_spearman_bins(spark, d):
+    b = V.reads(spark, d).groupBy("library", F.concat_ws(":", "chrom", F.floor(F.col("start0") / 500)).alias("bin")).agg(F.sum("n").alias("n"))
+    return expression.correlations(expression.bin_ranks(b, "bin", "n"), "bin", "rank").withColumn("r", r6("r"))
+
+
+@query("top_variance_k", "SELECT id, round(var_samp(cnt), 6) AS variance FROM rpkm GROUP BY id ORDER BY var_samp(cnt) DESC NULLS LAST, id LIMIT 50")
+def top_variance_k(spark, d):
+    return expression.most_variable(_counts(spark, d), "id", "cnt", 50).withColumn("variance", r6("variance"))
+
+
+@query("count_histogram", "WITH t AS (SELECT max(cnt) AS top FROM rpkm) SELECT library, cast(least(floor(cnt * 200 / greatest(top, 1e-9)), 199) AS BIGINT) AS bin, count(*) AS n FROM rpkm, t GROUP BY ALL")
+def count_histogram(spark, d):
+    return expression.histogram(_counts(spark, d), 200)
+
+
+@query("pca_scores")
+def pca_scores(spark, d):
+    v = _counts(spark, d).withColumn("v", F.log1p("cnt"))
+    top = [r[0] for r in expression.most_variable(v, "id", "v", 500).collect()]  # 500 at most
+    return expression.principal_components(v, "id", "v", top)
