@@ -278,11 +278,11 @@ def _raw(style: str) -> None:
     if style in ("fiveprime", "threeprime"):
         query(f"coverage_{style}_raw", f"SELECT library, chrom, strand, pos, round(value, 6) AS value FROM ({_TRACK[style]})")(lambda spark, d: _track(spark, d, style).withColumn("value", r6("value")))
     else:
-        sql = f"SELECT library, chrom, strand, pos // 100 AS bin, count(*) AS positions, round(sum(value), 5) AS total, round(max(abs(value)), 5) AS peak FROM ({_TRACK[style]}) GROUP BY ALL"
+        sql = f"SELECT library, chrom, strand, pos // 100 AS bin, count(*) AS positions, round(sum(value), 6) AS total, round(max(abs(value)), 6) AS peak FROM ({_TRACK[style]}) GROUP BY ALL"
 
         def run(spark, d):
             x = _track(spark, d, style).groupBy("library", "chrom", "strand", F.floor(F.col("pos") / 100).alias("bin"))
-            return x.agg(F.count(F.lit(1)).alias("positions"), F.round(F.sum("value"), 5).alias("total"), F.round(F.max(F.abs("value")), 5).alias("peak"))
+            return x.agg(F.count(F.lit(1)).alias("positions"), r6(F.sum("value")).alias("total"), r6(F.max(F.abs("value"))).alias("peak"))
 
         query(f"coverage_{style}_raw", sql)(run)
 
@@ -511,9 +511,9 @@ def pred_collapse(spark, d):
     return _collapsed(spark, d)
 
 
-@query("pred_rank_novel", _PRED + ", k AS (SELECT *, row_number() OVER (ORDER BY pred DESC, chrom, start1, stop1, strand) AS pred_rank FROM c) SELECT chrom, start1, stop1, strand, pred, dist, pred_rank, CASE WHEN dist = -1 THEN cast(sum(CASE WHEN dist = -1 THEN 1 ELSE 0 END) OVER (ORDER BY pred_rank) AS BIGINT) END AS novel_rank FROM k")
+@query("pred_rank_novel", _PRED + ", k AS (SELECT *, row_number() OVER (ORDER BY pred DESC, chrom, start1, stop1, strand) AS pred_rank FROM c) SELECT chrom, start1, stop1, strand, pred, dist, pred_rank, CASE WHEN dist = -1 THEN cast(sum(CASE WHEN dist = -1 THEN 1 ELSE 0 END) OVER (ORDER BY pred_rank) AS BIGINT) ELSE 999999 END AS novel_rank FROM k")
 def pred_rank_novel(spark, d):
-    return pred.ranked(_collapsed(spark, d).drop("evidence", "calls"))
+    return pred.ranked(_collapsed(spark, d).drop("evidence", "calls")).withColumn("novel_rank", F.coalesce("novel_rank", F.lit(999999)).cast("long"))  # written as in the tables
 
 
 @query("pred_plus", _PRED + " SELECT chrom, start1, stop1, strand, pred FROM c WHERE pred >= 0")
@@ -535,7 +535,7 @@ def gff_union_all(spark, d):
 
 _OVERVIEW = """WITH dp AS (SELECT chrom, start1, stop1, strand, max(pred) AS pred, count(*) AS calls FROM predictions WHERE cond <> 'F' GROUP BY ALL), rp AS (SELECT chrom, start1, stop1, strand, count(*) AS calls FROM predictions WHERE cond = 'F' GROUP BY ALL),
     an AS (SELECT chrom, start1, stop1, strand, min(locus_tag) AS locus_tag FROM annotation GROUP BY ALL), keys AS (SELECT chrom, start1, stop1, strand FROM dp UNION SELECT chrom, start1, stop1, strand FROM rp UNION SELECT chrom, start1, stop1, strand FROM an)
-    SELECT chrom, start1, stop1, strand, dp.pred, an.locus_tag, coalesce(dp.calls, rp.calls) AS calls, concat_ws(',', CASE WHEN dp.calls IS NOT NULL THEN 'deepribo' END, CASE WHEN rp.calls IS NOT NULL THEN 'reparation' END, CASE WHEN an.chrom IS NOT NULL THEN 'annotation' END) AS found
+    SELECT chrom, start1, stop1, strand, dp.pred, an.locus_tag, coalesce(dp.calls, rp.calls, 0) AS calls, concat_ws(',', CASE WHEN dp.calls IS NOT NULL THEN 'deepribo' END, CASE WHEN rp.calls IS NOT NULL THEN 'reparation' END, CASE WHEN an.chrom IS NOT NULL THEN 'annotation' END) AS found
     FROM keys LEFT JOIN dp USING (chrom, start1, stop1, strand) LEFT JOIN rp USING (chrom, start1, stop1, strand) LEFT JOIN an USING (chrom, start1, stop1, strand)"""
 
 
@@ -545,7 +545,7 @@ def overview_full_outer(spark, d):
     dp = p.where("cond <> 'F'").groupBy(*pred.LOCUS).agg(F.max("pred").alias("pred"), F.count(F.lit(1)).alias("calls"))
     rp = p.where("cond = 'F'").groupBy(*pred.LOCUS).agg(F.count(F.lit(1)).alias("calls"))
     an = V.annotation(spark, d).groupBy(*pred.LOCUS).agg(F.min("locus_tag").alias("locus_tag"))
-    return pred.overview({"deepribo": dp, "reparation": rp, "annotation": an}, ["pred", "locus_tag", "calls"])
+    return pred.overview({"deepribo": dp, "reparation": rp, "annotation": an}, ["pred", "locus_tag", "calls"]).withColumn("calls", F.coalesce("calls", F.lit(0)))
 
 
 @query("overview_contrast_pivot", "WITH one AS (SELECT chrom, start1, stop1, strand, contrast, min_by(log2fc, event_id) AS log2fc, min_by(padj, event_id) AS padj FROM de_results GROUP BY ALL) SELECT chrom, start1, stop1, strand, " + ", ".join(f"max(log2fc) FILTER (contrast = '{c}') AS {c}_log2fc, max(padj) FILTER (contrast = '{c}') AS {c}_padj" for c in CONTRASTS) + " FROM one GROUP BY ALL")

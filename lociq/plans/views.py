@@ -50,7 +50,7 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     x = orders.join(annotation(spark, d), F.col("o_custkey") == F.col("k"))
     return x.select(
         "chrom", "start1", (F.col("stop1") + F.when(F.col("o_custkey") % 4 == 0, 3).otherwise(0)).alias("stop1"), "strand", F.col("o_orderstatus").alias("cond"), (1 + F.col("o_orderkey") % 2).alias("rep"),
-        F.round(F.col("o_totalprice") / 1000 - 200, 4).alias("pred"), F.when(F.col("o_orderpriority") == "1-URGENT", -1).otherwise(0).alias("dist"), "o_orderkey",
+        (F.col("o_totalprice") / 1000 - 200).alias("pred"), F.when(F.col("o_orderpriority") == "1-URGENT", -1).otherwise(0).alias("dist"), "o_orderkey",
     )
 
 
@@ -76,7 +76,7 @@ SQL = {
     "cds": "SELECT * FROM features WHERE feature = 'CDS'",
     "genome": f"SELECT doc_id, regexp_replace(translate(text, '{LETTERS[0]}', '{LETTERS[1]}'), '[^ACGT]', '', 'g') AS seq FROM documents",
     "predictions": """SELECT a.chrom, a.start1, a.stop1 + CASE WHEN o_custkey % 4 = 0 THEN 3 ELSE 0 END AS stop1, a.strand, o_orderstatus AS cond, 1 + o_orderkey % 2 AS rep,
-        round(o_totalprice / 1000 - 200, 4) AS pred, CASE WHEN o_orderpriority = '1-URGENT' THEN -1 ELSE 0 END AS dist, o_orderkey FROM orders JOIN annotation a ON a.k = o_custkey""",
+        o_totalprice / 1000 - 200 AS pred, CASE WHEN o_orderpriority = '1-URGENT' THEN -1 ELSE 0 END AS dist, o_orderkey FROM orders JOIN annotation a ON a.k = o_custkey""",
     "de_results": """SELECT a.id, a.chrom, a.start1, a.stop1, a.strand, event_type AS contrast, round(value / 50 - 2, 6) AS log2fc, (event_id % 1000) / 1000 AS padj, event_id
         FROM events JOIN annotation a ON a.k = user_id""",
     "totals": "SELECT library, chrom, count(*) AS n, avg(read_length) AS avg_len FROM reads WHERE flag & 4 = 0 GROUP BY ALL",
