@@ -46,14 +46,22 @@ def matches(text: Column, pattern: str, kind: str, value: int, when: Column) ->
     return F.when(when, F.filter(rows, lambda x: x["size"].isNotNull())).otherwise(F.filter(F.array(F.struct(F.lit(kind).alias("kind"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("gap"), F.lit(0).cast("long").alias("size"), F.lit("").alias("value"))), lambda x: F.lit(False)))
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """row, base, candidates: spans in the texts that have any, by start; base as (start, rank of its kind, kind, end)."""
+def scanned(docs: DataFrame) -> DataFrame:
+    """row, doc_id, matches of every row in docs(doc_id, text), in one pass over the texts.
+
+    The row ids hold for what is stored of this result only: another read of docs might deal its rows otherwise.
+    """
     text = F.col("text")
     every = F.concat(
         matches(text, ASSIGN, "assign", 2, text.rlike(WORDS)), matches(text, ACCESS, "access", 0, F.contains(text, F.lit("AKIA"))),
         matches(text, HEX, "hex", 0, text.rlike(HEX)), matches(text, TOKEN, "random", 0, text.rlike(TOKEN)),
     )
-    each = docs.select("row", F.explode(every).alias("m")).select("row", "m.*")
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", every.alias("matches"))
+
+
+def found(rows: DataFrame) -> DataFrame:
+    """row, base, candidates: spans in the texts that have any, by start; base as (start, rank of its kind, kind, end)."""
+    each = rows.select("row", F.explode("matches").alias("m")).select("row", "m.*")
     so_far = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("size")).over(so_far)
     rank = reduce(lambda c, k: c.when(F.col("kind") == k[1], k[0]), enumerate(BASE), F).otherwise(len(BASE))
@@ -123,7 +131,7 @@ def discoveries(scored: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base, spans of every row: arrays of structs (kind, start, end) by start, then kind as in BASE, random last."""
-    rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(scanned(id_text(docs, id_col, text_col)))
     some = stored(found(rows))
     overlaps = lambda c: F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
     scored = stored(tested(some.select("row", F.explode(F.filter("candidates", lambda c: ~overlaps(c))).alias("s"))))
