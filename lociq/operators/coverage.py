@@ -53,7 +53,7 @@ def a_sites(reads: DataFrame, mirrored: bool = True, offset: int = 12) -> DataFr
 
     mirrored=False counts on the reverse strand back from the leftmost base by the read's length, as older tracks do.
     """
-    fwd = F.col("start0") + F.col("read_length") - offset
+    fwd = F.col("start0") + F.col("read_length") - offset + 1
     rev = F.col("start0") + offset - 2 if mirrored else F.col("start0") + 1 - F.col("read_length") + offset - 1
     used = reads.where(F.col("flag").isin(0, 16))
     return used.withColumn("pos", F.when(_fwd(), fwd).otherwise(rev)).groupBy(*KEYS, "pos").agg(F.sum("n").alias("cnt"))

@@ -307,7 +307,7 @@ def bedgraph_runs(spark, d):
     return intervals.runs_of_depth(V.reads(spark, d), ["chrom", "strand"], ("start0", "stop0"), "n")
 
 
-@query("asite_occupancy", "SELECT library, chrom, strand, CASE WHEN strand = '+' THEN start0 + read_length - 12 ELSE start0 + 10 END AS pos, count(*) AS cnt FROM reads WHERE flag IN (0, 16) GROUP BY ALL")
+@query("asite_occupancy", "SELECT library, chrom, strand, CASE WHEN strand = '+' THEN start0 + read_length - 11 ELSE start0 + 10 END AS pos, count(*) AS cnt FROM reads WHERE flag IN (0, 16) GROUP BY ALL")
 def asite_occupancy(spark, d):
     return coverage.a_sites(packed(spark, d))
 
