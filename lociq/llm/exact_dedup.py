@@ -120,6 +120,8 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lost = out.where(~F.col("kept")).select("doc_id", "text_sha256").join(out.where("kept").select("doc_id", "text_sha256"), ["doc_id", "text_sha256"], "left_anti")
     key = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE + "+", " "), 256)
     lost = stored(lost.distinct().select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")))
+    # The same join at every size: the rows that go grow with the input, so they are shuffled, not broadcast where they happen to be few.
+    lost = lost.hint("merge")
     kept = docs.join(lost, docs[id_col].eqNullSafe(lost["__id"]) & (key == lost["__sha"]), "left_anti")
     if again.isEmpty():
         return kept

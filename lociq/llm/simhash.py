@@ -115,4 +115,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of docs, with all their columns, that are the first of their component. Rows with a null id all stay."""
     found = near_duplicates(docs, id_col, text_col, distance)
     lost = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
+    lost = lost.hint("merge")  # they grow with the input: the same join at every size
     return docs.join(lost, docs[id_col] == lost["__id"], "left_anti")
