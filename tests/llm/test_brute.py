@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from lociq.llm import bpe, common, decontam, exact_dedup, graph, licenses, mixing, pii, quality, queries, secrets, simhash, toxicity
 from lociq.llm.license_texts import TEMPLATES
 
@@ -309,6 +310,31 @@ def test_simhash_equals_brute_force(spark):
     assert {r.doc_id for r in simhash.one_of_each(frame(spark, texts)).collect()} == {i for i, c in want.items() if i == c}
 
 
+def test_pipeline_drops_near_copies_at_four_fifths(spark):
+    """The near-dedup stage against all pairs: five-word shingles, a similarity of 0.8, components, the smallest id."""
+    rng = random.Random(12)
+    texts = ["", "A b c", "a  B c", "a b d"]
+    for size in (30, 240, 240):
+        base = prose(rng, size).split()
+        for changed in (0, 1, 2, 3, 4, 5, 6, 8, 9, 12):
+            w = list(base)
+            for at in rng.sample(range(size), changed):
+                w[at] = f"new{len(texts)}"
+            texts.append(" ".join(w))
+    sets = []
+    for t in texts:
+        w = t.translate(str.maketrans("ABC", "abc")).lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    root = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            x, y = sorted((root[a], root[b]))
+            root = [x if r == y else r for r in root]
+    docs = frame(spark, texts)
+    kept = {r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()}
+    assert kept == {i for i, r in enumerate(root) if i == r} and len(texts) - len(kept) > 8
+
+
 def test_simhash_links_dense_and_sparse(spark):
     """Fingerprints around centres, sparse and dense, with the dense path forced: the same components as all pairs give."""
     rng = random.Random(10)
