@@ -117,7 +117,8 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of docs, with all their columns, that stay."""
     out = stored(exact_duplicates(docs, id_col, text_col))
     again = out.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id")))  # whole rows that repeat
-    lost = out.where(~F.col("kept")).select("doc_id", "text_sha256").join(out.where("kept").select("doc_id", "text_sha256"), ["doc_id", "text_sha256"], "left_anti")
+    stays = out.where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
+    lost = out.where(~F.col("kept")).select("doc_id", "text_sha256").join(stays, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_sha256") == F.col("sha")), "left_anti")
     key = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE + "+", " "), 256)
     lost = stored(lost.distinct().select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")))
     # The same join at every size: the rows that go grow with the input, so they are shuffled, not broadcast where they happen to be few.

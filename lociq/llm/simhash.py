@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, byte_chunks, id_text, map_arrow, stored
 from .graph import components
+from .near import firsts, node
 
 #: The contract's parameters: words a shingle, hash seed, bits that may differ.
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -112,8 +113,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """The rows of docs, with all their columns, that are the first of their component. Rows with a null id all stay."""
-    found = near_duplicates(docs, id_col, text_col, distance)
-    lost = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
-    lost = lost.hint("merge")  # they grow with the input: the same join at every size
-    return docs.join(lost, docs[id_col] == lost["__id"], "left_anti")
+    """The rows of docs, with all their columns, that are the first of their component, null ids last. A repeated id's other texts stay."""
+    texts = docs.select(node(text_col).alias("node"), F.col(text_col).alias("text"))
+    fps = stored(fingerprints(texts, "node", "text").distinct())
+    roots = fps.join(linked(fps.select("fp").distinct(), distance), "fp", "left")
+    return firsts(docs, stored(roots.select(F.col("doc_id").alias("node"), F.coalesce("root", "fp").alias("root"))), id_col, text_col)

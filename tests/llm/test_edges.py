@@ -2,7 +2,7 @@
 import pytest
 
 import corpus_pipeline
-from lociq.llm import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, queries, secrets, simhash, toxicity
+from lociq.llm import bpe, decontam, exact_dedup, licenses, mixing, near, pii, quality, queries, secrets, simhash, toxicity
 
 LONG = "The River of " * 20000 + "password = abcdefgh1234 " + "x" * 200000
 ROWS = [(1, "One small text here"), (1, "One small text here"), (2, "one small  text here"), (3, None), (4, ""), (5, " \n"), (None, "no id"), (None, None), (6, LONG), (7, LONG), (8, "é\u0000  text"), (9, "One small text here")]
@@ -69,3 +69,12 @@ def test_stages(spark, tables, tmp_path, empty):
     assert ids == ([] if empty else ids) and len(ids) == len(set(ids)) + ids.count("None") - bool(ids.count("None"))
     if not empty:
         assert "1" in ids and "2" not in ids and "9" not in ids and "6" not in ids and "8" in ids
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.without_copies, simhash.one_of_each, near.one_of_each])
+def test_null_and_repeated_ids_lose_no_text(spark, stage):
+    """A text of null ids only keeps one row, and an id that repeats with two texts loses the copy only."""
+    same, clean = "a text that is there under the ids one and two", "quite another text that only the row two has in it"
+    rows = [(None, "null ids only"), (None, "null ids  only"), (None, "null ids only"), (1, same), (2, same), (2, clean), (None, same)]
+    left = [(r.doc_id, " ".join(r.text.split())) for r in stage(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert set(left) == {(None, "null ids only"), (1, same), (2, clean)} and (stage is not exact_dedup.without_copies or len(left) == 3)
