@@ -2,6 +2,8 @@
 
 A word's input is a hashed word embedding beside the scaled sum of its hashed character n-gram embeddings (3 to 5
 characters' bytes with marks at both ends, A-Z lower-cased).
+A word of over PART bytes is cut into parts that overlap by so many bytes that each n-gram lies whole in a part; each part is
+a word of the windows, so scripts without spaces are read to their end too.
 Windows of WINDOW words start every STRIDE words, to the end of the text. A document's logit is the largest of
 its windows'; training passes the document's gradient to that window. It is trained in numpy by Adam on a sample
 bounded by the parameter max_train, then calibrated on it. Null and empty texts have no window and get the score of
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from .common import LOWER, byte_chunks, id_text, keep_rows, labelled_sample, map_arrow, platt, sigmoid
 
 WINDOW, STRIDE = 32, 24
+PART, OVERLAP = 64, 4
 WORDS, GRAMS, DIM, HIDDEN, ATTENTION = 1 << 13, 1 << 14, 12, 8, 8
 
 
@@ -27,6 +30,24 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def parts(w: bytes) -> list[bytes]:
+    return [w[i : i + PART] for i in range(0, max(1, len(w) - OVERLAP), PART - OVERLAP)]
+
+
+def tokens(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text, long ones in parts, A-Z lower-cased."""
+    words = text.translate(LOWER).split()
+    return [x for w in words for x in parts(w)] if max(map(len, words), default=0) > PART else words
+
+
+def word_of(text: bytes, token: int) -> int:
+    """The place among the words of the one that holds a token."""
+    words = text.split()
+    if token and max(map(len, words)) > PART:
+        return int(np.searchsorted(np.cumsum([len(parts(w)) for w in words]), token, side="right"))
+    return token
+
+
 class Vocabulary:
     """Ids of distinct words, with the slots of their embeddings, kept flat."""
 
@@ -41,7 +62,7 @@ class Vocabulary:
             if k is None:
                 k = ids[w] = len(ids)
                 self.word.append(zlib.crc32(w) % WORDS)
-                p = b"^" + w[:64] + b"$"
+                p = b"^" + w + b"$"
                 self.grams.extend([zlib.crc32(p[i : i + n], 1) % GRAMS for n in (3, 4, 5) for i in range(len(p) - n + 1)] or [0])
                 self.ends.append(len(self.grams))
             out.append(k)
@@ -190,7 +211,7 @@ def train(rows: list[tuple[int, bytes, int]], epochs: int = 5, batch: int = 64,
     if not rows:
         return net
     vocabulary, rng = Vocabulary(), np.random.default_rng(seed)
-    docs = [vocabulary.add(t.translate(LOWER).split()) for _, t, _ in rows]
+    docs = [vocabulary.add(tokens(t)) for _, t, _ in rows]
     y = np.array([label for *_, label in rows], np.float64)
     # A start that sees single words and n-grams.
     net.p["words"][:, 0] = np.clip(log_odds((vocabulary.slots(x)[0] for x in docs), y, WORDS), -3, 3)
@@ -245,7 +266,7 @@ class Scorer:
         """Score, deciding window and logits of all windows of each text."""
         if len(self.vocabulary.ids) > 150_000:
             self.forget()
-        ids = [self.vocabulary.add(t.translate(LOWER).split()) for t in texts]
+        ids = [self.vocabulary.add(tokens(t)) for t in texts]
         self.gates = np.concatenate([self.gates[:-1], self.net.all_gates(self.vocabulary, len(self.gates) - 1)])
         most, worst, each = self.net.documents(self.gates, ids)
         return self.net.score(most), worst, each
@@ -262,7 +283,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
         scorer = Scorer(sent.value)
         for at, texts in byte_chunks(batch.column(1), 1 << 21):
             scores, worst, each = scorer(texts)
-            yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": scores, "n_windows": [len(x) for x in each], "worst_start": [int(w) * STRIDE if w >= 0 else None for w in worst]}
+            yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": scores, "n_windows": [len(x) for x in each], "worst_start": [word_of(t, int(w) * STRIDE) if w >= 0 else None for t, w in zip(texts, worst)]}
 
     return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, score double, n_windows long, worst_start long")
 

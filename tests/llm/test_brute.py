@@ -163,6 +163,26 @@ def test_toxicity_learns_words_and_stems(spark):
     assert kept == {i for i in range(len(texts)) if got[i].score < 0.5}
 
 
+def test_toxicity_reads_long_words_to_their_end():
+    """A text without spaces is toxic by what lies after its first 64 bytes too, and all its n-grams are seen."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        words = prose(rng, 40).split()
+        if i % 3 == 0:
+            words.insert(rng.randrange(len(words)), "vejutement")
+        rows.append((i, " ".join(words).encode(), int(i % 3 == 0)))
+    scorer = toxicity.Scorer(toxicity.train(rows))
+    joined = ["-".join(prose(rng, 60).split()) for _ in range(20)]
+    clean, bad = scorer([x.encode() for x in joined])[0], scorer([(x[:200] + "-vejutement-" + x[200:]).encode() for x in joined])[0]
+    assert (bad > clean).all()
+    for n in (1, 63, 64, 65, 124, 125, 1000):
+        w = bytes(rng.randrange(97, 123) for _ in range(n))
+        t = toxicity.tokens(w)
+        assert t[0] + b"".join(x[4:] for x in t[1:]) == w and {w[i : i + 5] for i in range(n - 4)} == {x[i : i + 5] for x in t for i in range(len(x) - 4)}
+        assert toxicity.word_of(b"a " + w + b" b", len(t) + 1) == 2 and toxicity.word_of(b"a " + w + b" b", len(t)) == 1
+
+
 def test_toxicity_gradients():
     net, v = toxicity.Network(3), toxicity.Vocabulary()
     for k in net.p:
