@@ -2,11 +2,15 @@
 
 Texts are compared with A-Z lower-cased, each run of white space as one space, trimmed. A test item of m characters may
 occur in a document with at most k = floor(rate * m) edits. It is split into k + 1 pieces: any such occurrence holds one of them
-unchanged, so an Aho-Corasick automaton over all pieces finds every place to look at, and Myers' bit-parallel edit
-distance, over many places at once in numpy, decides. Items whose pieces would be shorter than MIN_PIECE get fewer edits.
+unchanged, so an Aho-Corasick automaton over all distinct pieces finds every place to look at, and Myers' bit-parallel edit
+distance, over many places at once in numpy, decides.
 
-The benchmark is a stated query set. It is sent to the tasks in blocks of at most BLOCK_CHARS characters; each block
-is a pass over the documents, so a larger benchmark needs more passes, not more memory.
+Places beside each other are looked at together, as one stretch; stretches are cut into lanes of about the pattern's length, so a
+text that repeats a piece at every position costs its length once for each item, not once a hit. Texts are searched in parts of
+PART characters that overlap by the longest occurrence, so memory doesn't grow with a text.
+
+The benchmark is a stated query set of at most MOST_CHARS characters. It is sent to the tasks in blocks of at most BLOCK_CHARS; each
+block is a pass over the documents, so a larger benchmark needs more passes, not more memory.
 Null and empty texts match nothing; null and empty items are left out; an item id that repeats counts once for each different
 text. Documents that repeat are each reported. Without documents or items the result is empty.
 """
@@ -20,17 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, id_text, keep_rows, map_arrow
+from .common import LOWER, byte_chunks, id_text, keep_rows
 
 #: Share of an item's characters that may be edited.
 RATE = 0.1
-#: Pieces of fewer characters are in too many texts.
-MIN_PIECE = 9
 #: Pieces that are verified together before the whole item is.
 GROUP = 4
-BLOCK_CHARS = 500_000
+BLOCK_CHARS, MOST_CHARS = 500_000, 100_000_000
 #: Pairs verified at once, about.
 AT_ONCE = 2048
+#: Characters searched at once; hits at most GAP apart are one stretch; places that are expanded at once.
+PART, GAP, EXPANDED = 1 << 20, 64, 1 << 20
 
 
 def normal(text: bytes) -> str:
@@ -38,7 +42,7 @@ def normal(text: bytes) -> str:
 
 
 def budget(m: int, rate: float) -> int:
-    return max(0, min(int(rate * m), m // MIN_PIECE - 1))
+    return int(rate * m)
 
 
 def split(item: str, rate: float) -> list[tuple[int, int]]:
@@ -112,6 +116,27 @@ def coded(text: str, alphabet: np.ndarray) -> np.ndarray:
     return np.where(alphabet[code] == x, code + 1, 0)
 
 
+def merged(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of an owner that overlap or are at most GAP apart, as one."""
+    order = np.lexsort((low, owner))
+    owner, low, high = owner[order], low[order], high[order]
+    if not len(owner):
+        return owner, low, high
+    rank = np.cumsum(np.concatenate([[0], owner[1:] != owner[:-1]])) * (int(high.max() - low.min()) + GAP + 2)
+    so_far = np.maximum.accumulate(high + rank)
+    new = np.concatenate([[True], low[1:] + rank[1:] > so_far[:-1] + GAP])
+    start = np.flatnonzero(new)
+    return owner[start], low[start], np.maximum.reduceat(high, start)
+
+
+def cut_in_lanes(low: np.ndarray, high: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of span places, and the stretch of each."""
+    n = (high - low) // span + 1
+    which = np.repeat(np.arange(len(low)), n)
+    begin = low[which] + span[which] * (np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n))
+    return which, begin, np.minimum(begin + span[which] - 1, high[which])
+
+
 class Matcher:
     """The automaton over all pieces, and the items and groups of pieces that hits are verified against."""
 
@@ -120,6 +145,7 @@ class Matcher:
 
         self.m = np.array([len(t) for t in items], np.int64)
         self.k = np.array([budget(len(t), rate) for t in items], np.int64)
+        self.overlap = int((self.m + self.k).max(initial=0))
         self.machine = ahocorasick.Automaton()
         where: dict[str, list[tuple[int, int]]] = {}
         groups: list[tuple[int, int, int, int]] = []  # item, from, to, budget
@@ -128,38 +154,83 @@ class Matcher:
             for own in np.array_split(np.array(pieces), -(-len(pieces) // GROUP)):
                 groups.append((i, int(own[0, 0]), int(own[-1, 1]), len(own) - 1))
                 for a, b in own.tolist():
-                    where.setdefault(item[a:b], []).append((len(groups) - 1, a))
-        for piece, found in where.items():
-            self.machine.add_word(piece, (len(piece), found))
+                    where.setdefault(item[a:b], []).append((len(groups) - 1, b - 1))  # where in the item the piece ends
+        for i, piece in enumerate(where):
+            self.machine.add_word(piece, i)
         if where:
             self.machine.make_automaton()
+        # Of each piece: the groups that hold it, one after another.
+        self.held = np.array([len(x) for x in where.values()], np.int64)
+        self.holds_from = np.cumsum(self.held) - self.held
+        self.group_of, self.ends_at = np.array([y for x in where.values() for y in x], np.int64).reshape(-1, 2).T
         self.groups = np.array(groups, np.int64).reshape(-1, 4)
         self.alphabet = np.unique(np.concatenate([letters(t) for t in items] or [letters(" ")]))
         self.whole = Patterns(items, self.alphabet)
         self.part = Patterns([items[i][a:b] for i, a, b, _ in groups], self.alphabet)
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
-        """(text, item, distance, end in the text) of each stretch that holds an item within its budget.
+        """(text, item, distance, end in the text) of stretches that hold an item within its budget; the best of each item is among them.
 
         Of the groups that make up an item, one must occur within its own budget, one edit less than it has pieces: otherwise
         the edits of all groups together would exceed the item's budget. Whole items are verified where one does.
         """
-        size = np.array([len(t) for t in texts], np.int64)
+        out, some, size = [], [], 0
+        for d, text in enumerate(texts):
+            for at in range(0, max(1, len(text) - self.overlap), PART):
+                part = text[at : at + PART + self.overlap]
+                if some and size + len(part) > PART:
+                    out += self.search_parts(some)
+                    some, size = [], 0
+                some.append((d, at, part))
+                size += len(part)
+        return out + self.search_parts(some)
+
+    def search_parts(self, parts: list[tuple[int, int, str]]) -> list[tuple[int, int, int, int]]:
+        pieces, size = len(self.held), np.array([len(t) for *_, t in parts], np.int64)
         base = np.cumsum(size) - size
-        found = {(d, g, end + 1 - n - at) for d, text in enumerate(texts) for end, (n, hits) in self.machine.iter(text) for g, at in hits}
-        if not found:
+        # A hit as one number: the part, the piece and where it ends.
+        hits = [np.fromiter((p * length + end for end, p in self.machine.iter(t)), np.int64) + d * pieces * length for d, (t, length) in enumerate((t, max(1, int(size.max()))) for *_, t in parts)] if pieces else []
+        hits = np.sort(np.concatenate([h for h in hits if len(h)] or [np.zeros(0, np.int64)]))
+        if not len(hits):
             return []
-        codes = np.concatenate([coded(t, self.alphabet) for t in texts])
-        d, g, at = np.array(sorted(found), np.int64).T
-        item, a, b, k = self.groups[g].T
-        low, high = base[d], base[d] + size[d]
-        best, _ = self.part.nearest(g, codes, np.clip(low + at + a - k, low, high), np.clip(low + at + b + k, low, high))
-        d, item, at = d[best <= k], item[best <= k], at[best <= k]
-        low, high, k = base[d], base[d] + size[d], self.k[item]
-        start, stop = np.clip(low + at - k, low, high), np.clip(low + at + self.m[item] + k, low, high)
-        best, end = self.whole.nearest(item, codes, start, stop)
+        longest = max(1, int(size.max()))
+        owner, end = np.divmod(hits, longest)
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (end[1:] - end[:-1] > GAP)])
+        start = np.flatnonzero(new)
+        low, high = end[start], end[np.append(start[1:], len(end)) - 1]
+        d, piece = np.divmod(owner[start], pieces)
+        codes = np.concatenate([coded(t, self.alphabet) for *_, t in parts])
+        n, out = self.held[piece], []
+        cuts = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), EXPANDED), side="left")
+        for a, b in zip(cuts, [*cuts[1:], len(n)]):
+            if b > a:
+                out += self.verified(parts, base, size, codes, d[a:b], piece[a:b], low[a:b], high[a:b])
+        return out
+
+    def verified(self, parts, base, size, codes, d, piece, low, high) -> list[tuple[int, int, int, int]]:
+        """What search returns, for the runs of hits of pieces in parts d."""
+        n = self.held[piece]
+        run = np.repeat(np.arange(len(n)), n)
+        held = np.arange(len(run)) + np.repeat(self.holds_from[piece] - (np.cumsum(n) - n), n)
+        group, shift = self.group_of[held], self.ends_at[held]
+        many = len(self.groups)
+        owner, low, high = merged(d[run] * many + group, low[run] - shift, high[run] - shift)  # where the item would start
+        group = owner % many
+        _, a, b, k = self.groups[group].T
+        which, low, high = cut_in_lanes(low, high, np.maximum(GAP, b - a))
+        owner, group, a, b, k = owner[which], group[which], a[which], b[which], k[which]
+        d = owner // many
+        first, last = base[d], base[d] + size[d]
+        best, _ = self.part.nearest(group, codes, np.clip(first + low + a - k, first, last), np.clip(first + high + b + k, first, last))
+        ok = best <= k
+        item = self.groups[group[ok], 0]
+        owner, low, high = merged(d[ok] * len(self.m) + item, low[ok], high[ok])
+        which, low, high = cut_in_lanes(low, high, np.maximum(GAP, self.m[owner % len(self.m)]))
+        d, item = np.divmod(owner[which], len(self.m))
+        first, last, k = base[d], base[d] + size[d], self.k[item]
+        best, end = self.whole.nearest(item, codes, np.clip(first + low - k, first, last), np.clip(first + high + self.m[item] + k, first, last))
         ok = best <= k
-        return list(zip(d[ok].tolist(), item[ok].tolist(), best[ok].tolist(), (end - low)[ok].tolist()))
+        return [(parts[x][0], i, e, at + parts[x][1]) for x, i, e, at in zip(d[ok].tolist(), item[ok].tolist(), best[ok].tolist(), (end - first)[ok].tolist())]
 
 
 def blocks(items: list[tuple[int, str]], most: int = BLOCK_CHARS) -> list[list[tuple[int, str]]]:
@@ -189,7 +260,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: s
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def start(sent=sent):
-            matcher = Matcher([t for _, t in sent.value], rate)
+            matcher = Matcher(sorted({t for _, t in sent.value}), rate)
 
             def keep(texts: list[bytes]) -> np.ndarray:
                 out = np.ones(len(texts), bool)
@@ -204,24 +275,32 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: s
 
 def query_set(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple[int, str]]:
     """The normalised items, which the driver sends out as the stated query set."""
-    items = id_text(benchmark, item_col, text_col).distinct().toLocalIterator()
-    return sorted({(r[0], t) for r in items if (t := normal(r[1].encode()))}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    items = id_text(benchmark, item_col, text_col).distinct()
+    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    if chars > MOST_CHARS:
+        raise ValueError(f"the benchmark has {chars} characters; a query set of at most {MOST_CHARS} is sent to the tasks")
+    return sorted({(r[0], t) for r in items.toLocalIterator() if (t := normal(r[1].encode()))}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def matches(rows: DataFrame, items: list[tuple[int, str]], rate: float) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(items)
-
-    def f(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts_of = [t for _, t in sent.value]
+    names = ["doc_id", "row", "item_id", "item_chars", "distance", "end_char"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of: dict[str, list[int]] = {}
+        for i, t in sent.value:
+            ids_of.setdefault(t, []).append(i)
+        texts_of = list(ids_of)
         matcher = Matcher(texts_of, rate)
-        for at in range(0, batch.num_rows if texts_of else 0, 1024):
-            part = batch.slice(at, 1024)
-            texts = [normal(t) for t in part.column(1).to_pylist()]
-            best: dict[tuple[int, int], tuple[int, int]] = {}
-            for doc, item, d, end in matcher.search(texts):
-                best[doc, item] = min(best.get((doc, item), (d, end)), (d, end))
-            ids, row = part.column(0).to_pylist(), part.column(2).to_pylist()
-            keys = sorted(best)
-            yield {"doc_id": [ids[k[0]] for k in keys], "row": [row[k[0]] for k in keys], "item_id": [sent.value[k[1]][0] for k in keys], "item_chars": [len(texts_of[k[1]]) for k in keys], "distance": [best[k][0] for k in keys], "end_char": [best[k][1] for k in keys]}
-
-    return map_arrow(rows, f, "doc_id long, row long, item_id long, item_chars int, distance int, end_char int")
+        for batch in batches if texts_of else ():
+            ids, row = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for at, texts in byte_chunks(batch.column(1)):
+                best: dict[tuple[int, int], tuple[int, int]] = {}
+                for doc, item, d, end in matcher.search([normal(t) for t in texts]):
+                    best[doc, item] = min(best.get((doc, item), (d, end)), (d, end))
+                found = [(ids[at + doc], row[at + doc], i, len(texts_of[item]), *best[doc, item]) for doc, item in sorted(best) for i in ids_of[texts_of[item]]]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names)
+
+    return rows.mapInArrow(run, "doc_id long, row long, item_id long, item_chars int, distance int, end_char int")

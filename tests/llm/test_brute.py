@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -126,14 +127,17 @@ def test_mixing_base_and_probability(spark):
     assert sum(-got[i].score for i in fresh) / math.log10(2) < 3 * sum(len(texts[i].encode()) for i in fresh)  # learns
 
 
-def exchanged(texts, asked, tree):
-    """The values that a block of the asked texts would be sent, if texts were the training corpus."""
+def forest_of(texts):
+    s = np.frombuffer(b"".join(t + b"\xff" for t in texts), np.uint8)
+    return mixing.Forest.of(np.bincount(mixing._KIND[np.concatenate([[255], s[:-1]])].astype(int) << 8 | s, minlength=1 << 16))
+
+
+def exchanged(texts, asked, forest):
+    """What a block of the asked texts would be answered, if texts were the training corpus."""
     out = []
-    for (k, n, _), (own, *_) in zip(mixing.pair_counts(texts, np.ones(len(texts), np.uint64)), mixing.pair_counts(asked, np.zeros(len(asked), np.uint64))):
+    for kind, ((k, n, _), (own, *_)) in enumerate(zip(mixing.pair_counts(texts, np.ones(len(texts), np.uint64), forest), mixing.pair_counts(asked, np.zeros(len(asked), np.uint64), forest))):
         keys, n = mixing.added(np.concatenate([k, own]), np.concatenate([n, np.zeros(len(own), np.int64)]))
-        every, length = mixing.values_in_parts(keys, n, tree, 50), tree.length[(keys & np.uint64(255)).astype(int)]
-        begin = np.cumsum(length) - length
-        out.append(np.concatenate([every[begin[i] : begin[i] + length[i]] for i in np.searchsorted(keys, own)]))
+        out.append(mixing.Values.of(kind, keys, n, forest, 50).at(np.searchsorted(keys, own)))
     return out
 
 
@@ -141,40 +145,68 @@ def test_mixing_values_are_the_corpus_counts():
     """Each value against a plain count of what followed the context, decision by decision."""
     rng = random.Random(14)
     texts = [prose(rng, 30).encode() for _ in range(6)]
-    tree = mixing.Tree.of(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256))
-    for k, n, _ in mixing.pair_counts(texts, np.ones(6, np.uint64)):
-        every, at = mixing.values(k, n, tree), 0
-        seen = {}
-        for key, m in zip(k.tolist(), n.tolist()):
-            seen.setdefault(key >> 8, []).append((key & 255, m))
-        for key in k.tolist():
-            path = [(int(tree.node[j]), int(tree.bit[j])) for j in range(tree.start[key & 255], tree.start[key & 255] + tree.length[key & 255])]
-            for node, bit in path:
-                there = [(m, next(int(tree.bit[j]) for j in range(tree.start[b], tree.start[b] + tree.length[b]) if tree.node[j] == node)) for b, m in seen[key >> 8] if node in tree.node[tree.start[b] : tree.start[b] + tree.length[b]]]
-                right, wrong = (sum(m for m, x in there if (x == bit) == same) for same in (True, False))
-                assert every[at] == mixing.stretched(np.array([wrong]), np.array([right]))[0]
-                at += 1
-        assert at == len(every)
+    forest = forest_of(texts)
+    path = lambda code: [(int(forest.node[j]), int(forest.bit[j])) for j in range(forest.start[code], forest.start[code] + forest.length[code])]
+    whole = b"".join(t + b"\xff" for t in texts)
+    for kind, (k, n, _) in enumerate(mixing.pair_counts(texts, np.ones(6, np.uint64), forest)):
+        assert n.sum() == len(whole)
+        # Pairs that nobody has a count of are asked for too.
+        keys, n = mixing.added(np.concatenate([k, k[::7] ^ np.uint64(3)]), np.concatenate([n, np.zeros(len(k[::7]), np.int64)]))
+        flags, several = mixing.Values.of(kind, keys, n, forest, 100).at(np.arange(len(keys)))
+        codes, at, seen = forest.codes(kind, keys).tolist(), 0, {}
+        for key, code, m in zip(keys.tolist(), codes, n.tolist()):
+            seen.setdefault(key >> 8, []).append((dict(path(code)), m))
+        for key, code, flag in zip(keys.tolist(), codes, flags.tolist()):
+            for node, bit in path(code):
+                right, wrong = (sum(m for p, m in seen[key >> 8] if node in p and (p[node] == bit) == same) for same in (True, False))
+                value = flag if flag != mixing.SEVERAL else int(several[at])
+                at += flag == mixing.SEVERAL
+                assert value == mixing.stretched(np.array([wrong]), np.array([right]))[0]
+        assert at == len(several)
+
+
+def test_mixing_contexts_are_the_bytes_before():
+    """Pairs are equal where the last bytes and the byte, or the words so far, are equal: against slices of the texts."""
+    rng = random.Random(18)
+    texts = [prose(rng, 60).encode() for _ in range(3)] + [b"", b"a", b"A a", b"x" * 60 + b"y " + b"z" * 60 + b"y"]
+    segment = next(mixing.segments(texts))
+    forest, strings = forest_of(texts), segment.strings()
+    words, places = segment.word_pairs(forest), []
+    for t in texts:
+        t += b"\xff"
+        for i in range(len(t)):
+            low = t[:i].translate(LOWER)
+            begin = max((j + 1 for j in range(i) if low[j : j + 1].isspace()), default=0)
+            word = low[begin:i]
+            before = b"" if word or not begin else low[: begin - 1].split(b" ")[-1][-24:] if not low[begin - 1 : begin - 1].isspace() else b""
+            last = t[i - 1] if i else 0
+            places.append((t[max(0, i - 4) : i], t[i], (min(len(word), 24), word[-24:], before if begin and not word else None, forest.tree[last])))
+    for order in (4, 3, 2):
+        keys = mixing.spread(mixing.shorter(strings, order)).tolist()
+        assert len(set(zip(keys, [(p[0][-order:], p[1]) for p in places]))) == len(set(keys)) == len({(p[0][-order:].rjust(order, b"\0"), p[1]) for p in places})
+    assert len(set(words.tolist())) == len({(p[2], p[1]) for p in places})
 
 
 def test_mixing_is_a_distribution():
     """Over all texts of one byte and the end, probabilities add up to less than 1; neither texts beside nor the cut of a long one matter."""
     rng = random.Random(15)
     train = [prose(rng, 50).encode() for _ in range(10)]
-    tree = mixing.Tree.of(np.bincount(np.frombuffer(b"".join(t + b"\xff" for t in train), np.uint8), minlength=256))
+    forest = forest_of(train)
     start = np.tile(mixing.FIRST, (mixing.GATES, 1))
-    code = lambda texts: mixing.Coder(tree, texts, exchanged(train, texts, tree)).bits(start)[0]
+    code = lambda texts: mixing.Coder(forest, texts, exchanged(train, texts, forest)).bits(start)[0]
     singles = [bytes([b]) for b in range(255)]
     p = 2.0 ** -code([b"", *singles])
     assert p.sum() < 1 + 1e-6
     assert np.allclose([2.0 ** -code([x])[0] for x in singles[:20]], p[1:21])
     long = prose(rng, 900).encode() + b" " + b"unspaced" * 40 + b" " + prose(rng, 90).encode()
-    coder = mixing.Coder(tree, [long], exchanged(train, [long], tree))
+    coder = mixing.Coder(forest, [long], exchanged(train, [long], forest))
     whole = coder.bits(start)[0]
-    coder.segments, coder.pairs = list(mixing.segments([long], 2 * mixing.BLOCK)), [k for k, *_ in mixing.pair_counts([long], np.zeros(1, np.uint64))]
+    coder = mixing.Coder(forest, [long], exchanged(train, [long], forest))
+    coder.segments, coder.pairs = list(mixing.segments([long], 2 * mixing.BLOCK)), [k for k, *_ in mixing.pair_counts([long], np.zeros(1, np.uint64), forest)]
     assert len(coder.segments) > 8 and np.allclose(coder.bits(start)[0], whole)
-    cut, full = (np.concatenate([list(s.keys())[3] for s in mixing.segments([long], n)]) for n in (512, 1 << 20))
-    assert (cut == full).all()
+    for keys in (lambda s: s.strings(), lambda s: s.word_pairs(forest)):
+        cut, full = (np.concatenate([keys(s) for s in mixing.segments([long], n)]) for n in (512, 1 << 20))
+        assert (cut == full).all()
 
 
 def test_mixing_learns_from_more_text(spark):
@@ -295,7 +327,7 @@ def edit_in(p, t):
 
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(7)
-    items = [prose(rng, rng.choice([3, 10, 12, 25, 40])) for _ in range(14)]
+    items = [prose(rng, rng.choice([2, 3, 4, 5, 10, 12, 25, 40])) for _ in range(18)]
     texts = []
     for k in range(70):
         t = list(rng.choice(items))
@@ -312,13 +344,35 @@ def test_decontamination_equals_brute_force(spark):
     got = {(r.doc_id, r.item_id): r.distance for r in decontam.contaminated(frame(spark, texts), items_df).collect()}
     for d, i in itertools.product(range(len(texts)), range(len(items))):
         p, t = decontam.normal(items[i].encode()), decontam.normal(texts[d].encode())
-        k = decontam.budget(len(p), decontam.RATE)
+        k = math.floor(0.1 * len(p))  # the contract's, not the module's
         e = edit_in(p, t)
         assert got.get((d, i)) == (e if e <= k else None), (d, i, e, k)
     kept = {r.doc_id for r in decontam.clean(frame(spark, texts), items_df).collect()}
     assert kept == set(range(len(texts))) - {d for d, _ in got}
 
 
+def test_decontamination_of_repetitive_texts(monkeypatch):
+    """Items and texts of one letter or one word again and again, cut into parts: the same as plain edit distance, in bounded time."""
+    rng = random.Random(17)
+    items = ["x" * 70, "ab" * 30, "x" * 12, "lorem " * 9 + "ipsum", "q" * 9]
+    texts = ["y" * 50 + "x" * n + "y" * 20 for n in (5, 11, 12, 62, 63, 70, 300)] + ["ab" * 26 + "ba" * 9, "lorem " * 12, "x" * 33 + "z" * 7 + "x" * 33, ""]
+    texts += ["".join(rng.choice("xxxxxab") for _ in range(260)) for _ in range(12)]
+    matcher = decontam.Matcher(items, 0.1)
+    for part in (1 << 20, 40):
+        monkeypatch.setattr(decontam, "PART", part)
+        best = {}
+        for d, i, e, end in matcher.search(texts):
+            best[d, i] = min(best.get((d, i), e), e)
+            assert edit_in(items[i], texts[d][max(0, end - len(items[i]) - 8) : end]) <= e
+        for d, i in itertools.product(range(len(texts)), range(len(items))):
+            e = edit_in(items[i], texts[d])
+            assert best.get((d, i)) == (e if e <= len(items[i]) // 10 else None), (part, d, i, e)
+    monkeypatch.setattr(decontam, "PART", 1 << 20)
+    began = time.time()
+    assert {i for _, i, *_ in decontam.Matcher(["x" * 700, "x" * 650], 0.1).search(["x" * 200_000])} == {0, 1}
+    assert time.time() - began < 20
+
+
 def test_decontamination_in_blocks_of_items():
     x = [(i, "a" * 30) for i in range(10)]
     assert [len(b) for b in decontam.blocks(x, 90)] == [3, 3, 3, 1] and decontam.blocks([]) == [[]]
