@@ -8,6 +8,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -76,6 +77,23 @@ def records(f) -> Iterator[tuple]:
         yield b[32 : 31 + l_name].decode(), flag, names[ref] if ref >= 0 else None, pos if here else None, pos + span if here else None, pos + l_seq - 1 if here else None, mapq, l_seq, nh, "-" if flag & 16 else "+"
 
 
+def _open(path: str):
+    """The file system of a path, and its place there."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def _files(path: str) -> list[str]:
+    from pyarrow import fs
+
+    system, place = _open(path)
+    if system.get_file_info(place).type != fs.FileType.Directory:
+        return [path]
+    names = sorted(f.base_name for f in system.get_file_info(fs.FileSelector(place)) if f.base_name.lower().endswith(".bam"))
+    return [f"{path.rstrip('/')}/{n}" for n in names]
+
+
 class _Part(InputPartition):
     def __init__(self, path: str) -> None:
         self.path = path
@@ -88,23 +106,34 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[_Part]:
         return [_Part(p) for p in self.paths]
 
-    def read(self, partition: _Part) -> Iterator[tuple]:
-        from pyarrow import fs
+    def read(self, partition: _Part) -> Iterator:
+        """Arrow batches of some thousand rows."""
+        import pyarrow as pa
 
-        system, path = fs.FileSystem.from_uri(partition.path) if "://" in partition.path else (fs.LocalFileSystem(), partition.path)
+        if partition is None:  # no file at all
+            return
+        system, path = _open(partition.path)
+        name = path.rsplit("/", 1)[-1]
+        schema = pa.schema([("read_id", pa.string()), ("flag", pa.int32()), ("chrom", pa.string()), ("start0", pa.int64()), ("end0", pa.int64()), ("stop0", pa.int64()), ("mapq", pa.int32()), ("read_length", pa.int64()), ("nh", pa.int32()), ("strand", pa.string())])
         with system.open_input_stream(path, compression=None) as f:
-            yield from records(f)
+            rows = records(f)
+            while some := list(islice(rows, 8192)):
+                columns = [pa.array(c, t) for c, t in zip(zip(*some), schema.types)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([name] * len(some))], [*schema.names, "file"])
 
 
 class BamSource(DataSource):
-    """spark.read.format("bam").load("a.bam,b.bam"): a comma-separated list of files."""
+    """spark.read.format("bam").load("a.bam,b.bam"): a comma-separated list of files, and of folders whose .bam files are read.
+
+    file is the name of an alignment's file.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "bam"
 
     def schema(self) -> str:
-        return schemas.ALIGNMENTS
+        return f"{schemas.ALIGNMENTS}, file string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader([p for p in self.options["path"].split(",") if p])
+        return _Reader([f for p in self.options["path"].split(",") if p for f in _files(p)])

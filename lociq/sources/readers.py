@@ -1,7 +1,7 @@
 """Readers. Coordinates become 0-based closed; tables keep their column names."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import schemas
@@ -27,11 +27,12 @@ def is_gtf(rows: DataFrame) -> Column:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """chrom (first word of the header), seq: a row a record."""
-    x = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
+    """chrom (first word of the header), seq: a row a record. Only a > that begins a line begins a record."""
+    x = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")
+    x = x.select(F.regexp_replace("value", "^>", "").alias("value"))
     head = F.split_part("value", F.lit("\n"), F.lit(1))
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*", ""), r"\s", "")
-    return x.select(F.regexp_extract(head, r"^(\S+)", 1).alias("chrom"), body.alias("seq"))
+    return x.select(F.regexp_extract(head, r"^\s*(\S+)", 1).alias("chrom"), body.alias("seq"))
 
 
 def fasta_lengths(spark: SparkSession, path: str) -> DataFrame:
@@ -39,11 +40,26 @@ def fasta_lengths(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """id, seq, quality of reads of four lines. Records are told apart by the @ that follows a quality line of the sequence's length."""
+    """id, seq, quality of reads of four lines; a file that isn't made of these raises.
+
+    Records are split at lines that begin with @. A quality line may begin so too: then a part of three lines is followed by one of
+    a single line, the rest of its quality. Only such parts are ordered within their file to be put together.
+    """
     x = spark.read.option("lineSep", "\n@").text(path)
-    line = lambda i: F.regexp_replace(F.split_part("value", F.lit("\n"), F.lit(i)), r"\r$", "")
-    out = x.select(F.regexp_replace(F.split_part(line(1), F.lit(" "), F.lit(1)), "^@", "").alias("id"), line(2).alias("seq"), line(4).alias("quality"))
-    return out.where(F.length("seq") == F.length("quality"))
+    text = F.regexp_replace(F.regexp_replace("value", r"\r(?=\n|$)", ""), r"\n+$", "")
+    x = x.select(text.alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
+    x = x.withColumn("lines", F.when(F.col("text") == "", 1).otherwise(F.size(F.split("text", "\n"))))
+    first = (F.col("block") == 0) & F.col("text").startswith("@")
+    whole = x.where("lines > 3").select(F.when(first, F.substr("text", F.lit(2))).otherwise(F.col("text")).alias("text"))
+    along = Window.partitionBy("file").orderBy("block", "i")
+    parts = x.where("lines <= 3").withColumn("next", F.lead("text").over(along)).withColumn("next_lines", F.lead("lines").over(along)).withColumn("before", F.lag("lines").over(along))
+    rest = F.when(F.col("next_lines") == 1, F.concat_ws("\n@", "text", "next")).otherwise(F.raise_error(F.concat(F.lit("not a read of four lines: "), "text")))
+    stray = (F.col("lines") == 1) & (F.coalesce("before", F.lit(0)) != 3) & (F.col("text") != "")
+    joined = parts.where((F.col("lines") > 1) | stray).select(F.regexp_replace(rest, "^@", "").alias("text"))
+    line = F.split("text", "\n")
+    out = whole.unionByName(joined).select(F.split_part(line[0], F.lit(" "), F.lit(1)).alias("id"), line[1].alias("seq"), line[2].alias("plus"), line[3].alias("quality"), F.size(line).alias("lines"))
+    fits = (F.col("lines") == 4) & F.col("plus").startswith("+") & (F.length("seq") == F.length("quality"))
+    return out.select("id", F.when(fits, F.col("seq")).otherwise(F.raise_error(F.concat(F.lit("not a read of four lines: "), "id"))).alias("seq"), "quality")
 
 
 def cigar_span(cigar: Column) -> Column:
@@ -52,9 +68,12 @@ def cigar_span(cigar: Column) -> Column:
     return F.aggregate(n, F.lit(0).cast("long"), lambda a, b: a + b.cast("long"))
 
 
-def sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments: end0 (exclusive) by CIGAR, stop0 by the read's length; nh is 1 without the tag; unmapped reads keep null places."""
-    x = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != ""))
+def sam(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    """Alignments: end0 (exclusive) by CIGAR, stop0 by the read's length; nh is 1 without the tag; unmapped reads keep null places.
+
+    path: of the files, or their lines as value beside other columns, which stay.
+    """
+    x = (spark.read.text(path) if isinstance(path, str) else path).where(~F.col("value").startswith("@") & (F.col("value") != ""))
     f = F.split("value", "\t")
     flag = f[1].cast("int")
     start = F.when(flag.bitwiseAND(F.lit(4)) == 0, f[3].cast("long") - 1)
@@ -63,6 +82,7 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return x.select(
         f[0].alias("read_id"), flag.alias("flag"), F.nullif(f[2], F.lit("*")).alias("chrom"), start.alias("start0"), (start + cigar_span(f[5])).alias("end0"), (start + length - 1).alias("stop0"),
         f[4].cast("int").alias("mapq"), length.alias("read_length"), nh.alias("nh"), F.when(flag.bitwiseAND(F.lit(16)) != 0, "-").otherwise("+").alias("strand"),
+        *[c for c in x.columns if c != "value"],
     )
 
 
@@ -73,9 +93,18 @@ def track_strand(flag: Column) -> Column:
 
 
 def alignments_of(spark: SparkSession, folder: str) -> DataFrame:
-    """All SAM files of a folder, with library: the file's name without its ending."""
-    x = sam(spark, f"{folder}/*.[sS][aA][mM]")
-    return x.withColumn("library", F.regexp_extract(F.input_file_name(), r"([^/]+)\.[sS][aA][mM]$", 1))
+    """All SAM and BAM files of a folder, with library: the file's name without its ending."""
+    from .bam import BamSource
+
+    x = sam(spark, spark.read.option("pathGlobFilter", "*.[sS][aA][mM]").text(folder).select("value", F.col("_metadata.file_name").alias("file")))
+    spark.dataSource.register(BamSource)
+    x = x.unionByName(spark.read.format("bam").load(folder))
+    return x.withColumn("library", F.regexp_replace("file", r"\.[^.]*$", "")).drop("file")
+
+
+def in_region(alignments: DataFrame, chrom: str, start0: int, stop0: int) -> DataFrame:
+    """Alignments that touch the closed region. Over sinks.alignments' layout only the chromosome's files, and in these the row groups of the place, are read."""
+    return alignments.where((F.col("chrom") == chrom) & (F.col("start0") <= stop0) & (F.col("end0") > start0))
 
 
 def bed(spark: SparkSession, path: str) -> DataFrame:

@@ -49,6 +49,12 @@ def test_bam(spark, tmp_path):
     got = {r.read_id: r for r in spark.read.format("bam").load(str(tmp_path / "a.bam")).collect()}
     assert (got["r1"].chrom, got["r1"].start0, got["r1"].end0, got["r1"].stop0, got["r1"].nh) == ("c1", 4, 10, 8, 2)
     assert got["r2"].start0 is None and got["r2"].chrom is None and (got["r3"].strand, got["r3"].nh) == ("-", 1)
+    write(tmp_path / "RIBO-A-1.sam", SAM)
+    both = readers.alignments_of(spark, str(tmp_path))
+    assert sorted((r.library, r.read_id) for r in both.collect()) == [(x, f"r{i}") for x in ("RIBO-A-1", "a") for i in (1, 2, 3)]
+    sinks.alignments(both.where("chrom is not null"), str(tmp_path / "reads"))
+    near = readers.in_region(spark.read.parquet(str(tmp_path / "reads")), "c1", 4, 5)
+    assert sorted((r.library, r.read_id) for r in near.collect()) == [("RIBO-A-1", "r1"), ("a", "r1")]
 
 
 def test_feature_counts_and_samples(spark, tmp_path):
@@ -64,6 +70,30 @@ def test_fastq(spark, tmp_path):
     assert [(r.id, r.seq, r.quality) for r in got] == [("r1", "ACG", "III"), ("r2", "AC", "II")]
 
 
+def test_fastq_quality_and_fasta_header_signs(spark, tmp_path):
+    """A quality line may begin with @ or be nothing but @s; a header may hold >. Files are cut at every few bytes, and end in several ways."""
+    reads = [("r1", "ACG", "III"), ("r2", "ACGT", "@III"), ("r3", "A", "@"), ("r4", "AC", "@@"), ("r5", "ACG", "@+@"), ("r6", "AC", "II")]
+    text = "".join(f"@{i} about @{i}\n{s}\n+{i}\n{q}\n" for i, s, q in reads)
+    for k, t in enumerate((text, text.rstrip("\n"), text.replace("\n", "\r\n"))):
+        p = write(tmp_path / f"{k}.fq", t)
+        for size in ("128m", "30"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = sorted(tuple(r) for r in readers.fastq(spark, p).collect())
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+            assert got == reads, (k, size)
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "a.fq.gz").write_bytes(gzip.compress(text.encode()))
+    write(tmp_path / "z" / "b.fq", text)
+    assert sorted(tuple(r) for r in readers.fastq(spark, str(tmp_path / "z")).collect()) == sorted(reads * 2)
+    for bad in ("@r\nACG\n+\nII\n", "@r\nACG\n+\n", "@r\nACG\nIII\n@s\nA\n+\nI\n"):
+        with pytest.raises(Exception, match="four lines"):
+            readers.fastq(spark, write(tmp_path / "bad.fq", bad)).collect()
+    fa = readers.fasta(spark, write(tmp_path / "h.fa", ">c1 len>3 x\nAC\nGT\n>c2\r\nGG\r\n"))
+    assert sorted(map(tuple, fa.collect())) == [("c1", "ACGT"), ("c2", "GG")]
+
+
 def test_bedgraph_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("c", 0, 9, 1), ("c", 5, 14, 1)], "chrom string, s long, e long, w int")
     runs = intervals.runs_of_depth(df, ["chrom"], ("s", "e"), "w")
