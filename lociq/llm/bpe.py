@@ -1,8 +1,12 @@
 """Byte-level BPE with the tiktoken library and a local rank file.
 
 A text is cut where no match of the pattern can span, between a word character and a single space that a
-word character follows, so that long texts reach the regular expression in pieces. The ids are the same as
+word character follows, so that long texts reach the regular expression in pieces. A long run of white space can't be cut: it is
+one match, but for its last character where other text follows. Such runs are found first, and given to the library's
+merges as single pieces, as the regular expression's stack doesn't hold them. The ids are the same as
 for the whole text. Decoding joins the raw bytes of the ids.
+The pattern must end in `\\s+(?!\\S)|\\s+` and begin no other alternative with more than one space; this holds for the public patterns of
+byte-level vocabularies, and others are refused.
 Null and empty texts have no ids. Repeated rows give repeated results.
 """
 from __future__ import annotations
@@ -15,10 +19,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_text, map_arrow
+from .common import byte_chunks, id_text, map_arrow
 
 #: A cut may go before the space: every match that could reach it ends there, and the space starts the next.
 SAFE = re.compile(r"(?<=\w) (?=\w)")
+#: White space as the pattern's \\s has it, in runs that are too long for the regular expression.
+LONG_RUN = 10_000
+RUNS = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{%d,}" % LONG_RUN)
 _LOADED: dict = {}
 
 
@@ -42,27 +49,49 @@ def pieces(text: str, piece_chars: int) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def ids_of(enc, text: str, piece_chars: int) -> list[bytes]:
+    """The ids of a text, in parts."""
+    out, at = [], 0
+
+    def plain(part: str) -> None:
+        out.extend(enc.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes() for p in pieces(part, piece_chars))
+
+    for m in RUNS.finditer(text) if len(text) >= LONG_RUN else ():
+        end = m.end() - (m.end() < len(text))  # the last one goes with what follows
+        plain(text[at : m.start()])
+        out.append(np.array(enc._core_bpe.encode_single_piece(text[m.start() : end].encode()), "<u4").tobytes())
+        at = end
+    plain(text[at:] if at else text)
+    return out
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", piece_chars: int = 1 << 16) -> DataFrame:
     """doc_id, n_tokens, ids: the ids as little-endian unsigned 32-bit integers."""
 
+    if not pattern.endswith(r"|\s+(?!\S)|\s+"):
+        raise ValueError("texts are cut by the white space rules of patterns that end in \\\\s+(?!\\\\S)|\\\\s+")
+
     def f(batch: pa.RecordBatch) -> Iterator[dict]:
         enc = encoding(ranks_path, pattern)
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            ids = [b"".join(enc.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes() for p in pieces(t, piece_chars)) for t in part.column(1).to_pylist()]
-            yield {"doc_id": part.column(0), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+        for at, texts in byte_chunks(batch.column(1)):
+            ids = [b"".join(ids_of(enc, t.decode("utf-8", "replace"), piece_chars)) for t in texts]
+            yield {"doc_id": batch.column(0).slice(at, len(texts)), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
 
     return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, n_tokens long, ids binary")
 
 
+def decoded(enc, ids: bytes, at_once: int = 1 << 20) -> bytes:
+    """The bytes of ids, of which at_once at a time become Python numbers."""
+    x = np.frombuffer(ids, "<u4")
+    return b"".join(enc.decode_bytes(x[i : i + at_once].tolist()) for i in range(0, len(x), at_once))
+
+
 def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Adds to encode's result decoded: the raw bytes that the ids stand for."""
 
     def f(batch: pa.RecordBatch) -> Iterator[dict]:
         enc = encoding(ranks_path, pattern)
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            ids = part.column(2).to_pylist()
-            yield {"doc_id": part.column(0), "n_tokens": part.column(1), "ids": ids, "decoded": [enc.decode_bytes(np.frombuffer(x, "<u4").tolist()) for x in ids]}
+        for at, ids in byte_chunks(batch.column(2)):
+            yield {"doc_id": batch.column(0).slice(at, len(ids)), "n_tokens": batch.column(1).slice(at, len(ids)), "ids": ids, "decoded": [decoded(enc, x) for x in ids]}
 
     return map_arrow(tokens.select("doc_id", "n_tokens", "ids"), f, "doc_id long, n_tokens long, ids binary, decoded binary")

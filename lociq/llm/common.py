@@ -26,9 +26,11 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, a temporary one."""
+    """The folder in spark.checkpoint.dir, or that of setCheckpointDir. Only a session of one machine gets a temporary one where both are unset."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         place = tempfile.mkdtemp(prefix="lociq-")
         spark.sparkContext.setCheckpointDir(place)
         place = spark.sparkContext.getCheckpointDir()
@@ -96,8 +98,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     given = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != 0))
     given = given.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y"))
     given = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    found = id_text(docs, id_col, text_col).join(F.broadcast(given), "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "y").limit(2 * most)
-    return sorted({(r[0], bytes(r[1]), int(r[2] > 0)) for r in found.toLocalIterator()})
+    found = id_text(docs, id_col, text_col).join(F.broadcast(given), "doc_id")
+    # A repeated id has one text, the first by value, so the sample doesn't depend on the order of rows.
+    found = found.groupBy("doc_id").agg(F.min("text").cast("binary").alias("text"), F.max("y").alias("y"))
+    return sorted((r[0], bytes(r[1]), int(r[2] > 0)) for r in found.toLocalIterator())
 
 
 def sigmoid(x):

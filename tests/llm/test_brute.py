@@ -391,6 +391,21 @@ def test_bpe_equals_library_and_round_trips(spark):
         assert bytes(got[i].decoded) == (t or "").encode()
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\u3000"])
+def test_bpe_of_long_white_space(spark, space):
+    """Runs that the library's regular expression can't hold: the ids of shorter ones by the library, and a round trip of five million."""
+    path, pattern = queries.tokenizer()
+    enc = bpe.encoding(path, pattern)
+    n = bpe.LONG_RUN
+    for text in (space * n, "a" + space * n + "b", "a" + space * (n + 3), space * n + "\n", "x." + space * n + " 's" + space * (n - 1) + "\n\n", "é" + space * n + " " + "9" + space * n + "\u0085y", space * (n - 1) + "\x1c" + space * n + "z"):
+        assert np.frombuffer(b"".join(bpe.ids_of(enc, text, 64)), "<u4").tolist() == enc.encode_ordinary(text)
+    long = ["start" + space * 5_000_000 + "end", space * 5_000_000]
+    got = by_id(bpe.decode(bpe.encode(frame(spark, long), path, pattern), path, pattern))
+    assert all(bytes(got[i].decoded) == t.encode() for i, t in enumerate(long))
+    with pytest.raises(ValueError):
+        bpe.encode(frame(spark, long), path, r"\S+|\s+")
+
+
 def brute_fingerprint(t):
     import xxhash
 
