@@ -20,6 +20,15 @@ def parsed(key: str | Column) -> Column:
     return F.when(good, fields)
 
 
+def natural(name: str | Column) -> Column:
+    """Sort key that orders the numbers in names as numbers: chr2 before chr10."""
+    n = F.col(name) if isinstance(name, str) else name
+    parts = F.regexp_extract_all(n, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+    # A number's length without leading zeros comes before its digits; other text sorts after numbers.
+    digits = lambda x: F.regexp_replace(x, "^0+(?=.)", "")
+    return F.struct(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), F.struct(F.length(digits(x)).alias("n"), digits(x).alias("x"))).otherwise(F.struct(F.lit(1 << 30).alias("n"), x.alias("x")))).alias("parts"), n.alias("name"))
+
+
 def library(method: str, condition: str, replicate: str) -> Column:
     return F.concat_ws("-", method, condition, replicate)
 

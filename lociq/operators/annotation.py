@@ -15,14 +15,19 @@ def roots(df: DataFrame, id_col: str = "id", parent_col: str = "parent", most_ro
     ids = df.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"))
     known = ids.select(F.col("id").alias("up"), F.lit(True).alias("there"))
     now = ids.join(known, "up", "left").select("id", F.when(F.col("there"), F.col("up")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"))
+    shared, held = bool(now.sparkSession.sparkContext.getCheckpointDir() or now.sparkSession.conf.get("spark.checkpoint.dir", None)), []
     for _ in range(most_rounds):
-        now = now.checkpoint() if now.sparkSession.sparkContext.getCheckpointDir() else now.persist()
+        now = now.checkpoint() if shared else now.persist()
+        held = [*held, now]
         if now.where("up is not null").isEmpty():
             break
         more = now.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("further"))
         now = now.join(more, "up", "left")
         if now.where("next is not null").isEmpty():
             break
+        for old in held[:-1] if not shared else ():  # the last round's rows are made of the one before
+            old.unpersist()
+        held = held[-1:]
         now = now.select("id", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"))
     else:
         raise ValueError("parents form a cycle")
@@ -48,15 +53,41 @@ def enriched(df: DataFrame, root_of: DataFrame, names: tuple[str, ...] = ("locus
     return x.select("id", "root", "depth", *[F.coalesce(A.first_of("attrs", n), F.col(f"root_{n}")).alias(n) for n in names])
 
 
-def with_uid(df: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """An id uid1, uid2, ... by group, then by a total order within it, without one task that holds all rows.
+def with_uid(df: DataFrame, group: str, order: list[str], tile: int = 1 << 20) -> DataFrame:
+    """An id uid1, uid2, ... by group, then by a total order within it that begins with a number, without one task that holds all rows of either.
 
-    Rows are numbered within their group (a contig), and each group starts after the rows of those before it.
+    Rows are numbered within tiles of their group (a contig), and each tile starts after the rows of those before it.
     """
-    inside = df.withColumn("__i", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    sizes = df.groupBy(group).count()  # a row a contig
-    before = sizes.select(group, F.coalesce(F.sum("count").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    return inside.join(before, group).withColumn("uid", F.concat(F.lit("uid"), (F.col("__i") + F.col("__before")).cast("string"))).drop("__i", "__before")
+    df = df.withColumn("__tile", F.floor(F.col(order[0]) / tile))
+    inside = df.withColumn("__i", F.row_number().over(Window.partitionBy(group, "__tile").orderBy(*order)))
+    sizes = df.groupBy(group, "__tile").count()  # a row a tile
+    before = sizes.select(group, "__tile", F.coalesce(F.sum("count").over(Window.orderBy(group, "__tile").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return inside.join(before, [group, "__tile"]).withColumn("uid", F.concat(F.lit("uid"), (F.col("__i") + F.col("__before")).cast("string"))).drop("__i", "__before", "__tile")
+
+
+def with_kind_counter(df: DataFrame, kind: str, order: list[str], tile: int = 1 << 20) -> DataFrame:
+    """An id gene1, gene2, ..., cds1, ... of each kind in lower case, by a total order that begins with the contig and a number. Rows are numbered as by with_uid."""
+    df = df.withColumn("__k", F.lower(kind)).withColumn("__tile", F.floor(F.col(order[1]) / tile))
+    inside = df.withColumn("__i", F.row_number().over(Window.partitionBy("__k", order[0], "__tile").orderBy(*order)))
+    sizes = df.groupBy("__k", order[0], "__tile").count()  # a row a tile and kind
+    earlier = Window.partitionBy("__k").orderBy(order[0], "__tile").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__k", order[0], "__tile", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
+    return inside.join(before, ["__k", order[0], "__tile"]).withColumn("kind_id", F.concat("__k", (F.col("__i") + F.col("__before")).cast("string"))).drop("__k", "__i", "__before", "__tile")
+
+
+def tagged_by_annotation(orfs: DataFrame, annotation: DataFrame, keys: list[str], tags: tuple[str, ...]) -> DataFrame:
+    """orfs(keys, attrs map) renamed as by renamed_by_annotation, and with those of the named tags that the annotation(keys, id, attrs) has and they lack."""
+    a = annotation.groupBy(*keys).agg(F.min_by("attrs", "id").alias("a"))  # of rows at one place the first by id
+    x = orfs.join(a, keys, "left")
+    name = F.coalesce(A.first_of("a", "gene_name", "name"), A.first_of("attrs", "name"))
+    more = F.map_filter(F.col("a"), lambda k, v: k.isin(*tags) & (v != "") & ~F.map_contains_key(F.col("attrs"), k))
+    rest = F.map_concat(F.map_filter("attrs", lambda k, v: k != "name"), F.coalesce(more, F.create_map().cast("map<string, string>")))
+    return x.withColumn("attrs", F.when(name.isNull(), rest).otherwise(F.map_concat(rest, F.create_map(F.lit("name"), name)))).drop("a")
+
+
+def plain_features(df: DataFrame) -> DataFrame:
+    """Features that aren't coding sequences or what contains these."""
+    return df.where(~F.lower("feature").isin("cds", "gene", "pseudogene", "exon"))
 
 
 def reclassified(biotype: Column) -> Column:

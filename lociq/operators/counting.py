@@ -76,7 +76,7 @@ def count_by_style(reads: DataFrame, genes: DataFrame, style: str) -> DataFrame:
 
 def outside(reads: DataFrame, mask: DataFrame) -> DataFrame:
     """Reads that overlap no masked feature, on whichever strand."""
-    m = mask.select("chrom", F.col("f_start0").alias("m0"), F.col("f_stop0").alias("m1"))
+    m = mask.select("chrom", F.col("f_start0").alias("m0"), F.col("f_stop0").alias("m1")).distinct()
     return overlap_join(reads, m, ["chrom"], ("start0", "stop0"), ("m0", "m1"), how="left_anti")
 
 
@@ -88,10 +88,8 @@ def totals(reads: DataFrame) -> DataFrame:
 def length_histogram(reads: DataFrame, lengths: list[int] | None = None) -> DataFrame:
     """chrom, library, read_length, cnt with a 0 where a length that is seen elsewhere, or in lengths, isn't."""
     counts = reads.groupBy("chrom", "library", "read_length").agg(F.sum("n").alias("cnt"))
-    spark = reads.sparkSession
-    places = counts.select("chrom", "library").distinct()
-    grid = spark.createDataFrame([(x,) for x in lengths], "read_length long") if lengths else counts.select("read_length").distinct()
-    filled = places.select("*", F.lit(1).alias("one")).join(grid.withColumn("one", F.lit(1)), "one").drop("one")
+    grid = F.array(*[F.lit(x).cast("long") for x in lengths]) if lengths else counts.agg(F.collect_set("read_length")).scalar()  # a value a length
+    filled = counts.select("chrom", "library").distinct().withColumn("read_length", F.explode(grid))
     return filled.join(counts, ["chrom", "library", "read_length"], "left").select("chrom", "library", "read_length", F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
@@ -121,6 +119,17 @@ def on_annotation(annotation: DataFrame, counts: DataFrame, keys: list[str]) ->
     return annotation.join(one, keys, "left").withColumn("cnt", F.coalesce("cnt", F.lit(0.0)))
 
 
+def on_loci(annotation: DataFrame, counts: DataFrame, order: str, keys: tuple[str, ...] = ("feature", "chrom", "start1", "stop1", "strand")) -> DataFrame:
+    """Annotation rows with the counts of their feature and place, 0 without any; of counts that repeat, the last by order."""
+    one = counts.groupBy(*keys).agg(F.max_by("cnt", order).alias("cnt"))
+    return annotation.join(one, list(keys), "left").withColumn("cnt", F.coalesce("cnt", F.lit(0.0)))
+
+
+def counted_features(features: DataFrame) -> DataFrame:
+    """What differential tools are given: all features but genes and pseudogenes, which repeat their parts."""
+    return features.where(~F.lower("feature").isin("gene", "pseudogene"))
+
+
 def read_table(counts: DataFrame, classes: dict[str, str]) -> DataFrame:
     """class, library-free totals: features and reads of each class, and of all; classes without rows have 0."""
     spark = counts.sparkSession

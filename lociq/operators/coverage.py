@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import ends_of, running
+
 STYLES = ("global", "fiveprime", "threeprime", "centered")
 KEYS = ["library", "chrom", "strand"]
 
@@ -18,7 +20,8 @@ def _fwd() -> Column:
 def track(reads: DataFrame, style: str, clip: int = 11, split_multi: bool = True, count: str = "n") -> DataFrame:
     """library, chrom, strand, pos, value: summed increments of 1 / nh at the positions that the style covers.
 
-    Equal reads are summed before positions are expanded.
+    Equal reads are summed first. Where they cover stretches, changes at their ends are added up along the chromosome, and only the
+    result is expanded to positions. A whole number, the reads that cover a position, says where a stretch of rounded sums ends.
     """
     if style not in STYLES:
         raise ValueError(style)
@@ -34,7 +37,9 @@ def track(reads: DataFrame, style: str, clip: int = 11, split_multi: bool = True
         cut = 0 if style == "global" else clip
         base = base.withColumn("a", first + cut).withColumn("b", last - cut).where("b >= a")
         value = F.col("inc") if style == "global" else F.col("inc") / (F.col("b") - F.col("a") + 1)
-        points = base.select(*KEYS, F.explode(F.sequence("a", "b")).alias("pos"), value.alias("value"))
+        ends = ends_of(base.select(*KEYS, "a", "b", value.alias("value"), F.lit(1).cast("long").alias("reads")), KEYS, ("a", "b"), ["value", "reads"])
+        runs = running(ends, KEYS, ["value", "reads"]).where("reads > 0")
+        return runs.select(*KEYS, F.explode(F.sequence("p", F.col("next") - 1)).alias("pos"), "value").where("value <> 0")
     return points.groupBy(*KEYS, "pos").agg(F.sum("value").alias("value")).where("value <> 0")
 
 

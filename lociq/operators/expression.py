@@ -11,11 +11,15 @@ def efficiency(ribo: Column, rna: Column) -> Column:
 
 
 def te_pairs(rpkm: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    """id, method, cond, rep, te from rpkm(id, method, cond, rep, rpkm): each method by its partner of the same condition and replicate."""
-    partner = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-    top = rpkm.where(F.col("method").isin(*pairs)).withColumn("partner", F.try_element_at(partner, F.col("method")))
-    low = rpkm.select("id", F.col("method").alias("partner"), "cond", "rep", F.col("rpkm").alias("below"))
-    return top.join(low, ["id", "partner", "cond", "rep"]).select("id", "method", "cond", "rep", efficiency(F.col("rpkm"), F.col("below")).alias("te"))
+    """id, method, cond, rep, te from rpkm(id, method, cond, rep, rpkm), a row each: each method by its partner of the same condition and replicate.
+
+    Both are found by one grouping of the table, which is read once. No method is in two pairs.
+    """
+    pair_of = F.create_map(*[F.lit(x) for top, low in pairs.items() for x in (top, top, low, top)])
+    x = rpkm.withColumn("pair", F.try_element_at(pair_of, F.col("method"))).where("pair is not null")
+    of = lambda top: F.max(F.when((F.col("method") == F.col("pair")) == top, F.struct("rpkm")))
+    both = x.groupBy("id", F.col("pair").alias("method"), "cond", "rep").agg(of(True).alias("top"), of(False).alias("low")).where("top is not null and low is not null")
+    return both.select("id", "method", "cond", "rep", efficiency(F.col("top.rpkm"), F.col("low.rpkm")).alias("te"))
 
 
 def te_means(te: DataFrame) -> DataFrame:
@@ -43,6 +47,39 @@ def all_three(ribo: DataFrame, rna: DataFrame, te: DataFrame, key: str = "id") -
     return named(ribo, "ribo").join(named(rna, "rna"), key).join(named(te, "te"), key)
 
 
+def placed(results: DataFrame, annotation: DataFrame) -> DataFrame:
+    """results(id) with the annotation's place, else the one that the id itself spells; an id without either raises."""
+    from ..functions.coords import parsed
+    from .predictions import LOCUS
+
+    a = annotation.groupBy("id").agg(F.min(F.struct(*LOCUS)).alias("a"))  # one place an id
+    place = F.coalesce("a", parsed("id"), F.raise_error(F.concat(F.lit("neither annotated nor a locus: "), "id")).cast("struct<chrom: string, start1: bigint, stop1: bigint, strand: string>"))
+    return results.join(a, "id", "left").withColumn("place", place).drop("a").select(*results.columns, "place.*")
+
+
+def sorted_results(results: DataFrame, group: str, order: str, bands: int = 100) -> DataFrame:
+    """results with place: their number within the group by the adjusted p-value padj, missing ones last, then locus, then order.
+
+    Rows are numbered within bands of p-values, and each band starts after the rows of the better ones.
+    """
+    from .predictions import LOCUS, banded
+
+    x = banded(results, "padj", bands).withColumn("band", F.when(F.col("padj").isNull(), bands).otherwise(F.col("band")))
+    within = Window.partitionBy(group, "band").orderBy(F.asc_nulls_last("padj"), *LOCUS, order)
+    sizes = x.groupBy(group, "band").agg(F.count(F.lit(1)).alias("n"))  # a row a group and band
+    before = sizes.select(group, "band", F.coalesce(F.sum("n").over(Window.partitionBy(group).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("n0"))
+    return x.withColumn("i", F.row_number().over(within)).join(before, [group, "band"]).withColumn("place", (F.col("i") + F.col("n0")).cast("long")).drop("band", "i", "n0")
+
+
+def ratio_columns(samples: list[tuple[str, str, str]]) -> list[str]:
+    """Column names of a table of ratios: method-condition-replicate of each sample(method, condition, replicate), and -avg after those with several replicates."""
+    out: list[str] = []
+    for method, condition in dict.fromkeys((m, c) for m, c, _ in samples):
+        own = [f"{method}-{condition}-{r}" for m, c, r in samples if (m, c) == (method, condition)]
+        out += [*own, *([f"{method}-{condition}-avg"] if len(own) > 1 else [])]
+    return out
+
+
 def contrast_pairs(conditions: DataFrame) -> DataFrame:
     """Every pair of conditions once, in case-insensitive order."""
     a = conditions.select(F.col("cond").alias("a"))

@@ -27,14 +27,26 @@ def collapsed(calls: DataFrame, order: str) -> DataFrame:
     return calls.groupBy(*LOCUS).agg(best, seen, F.max_by("dist", order).alias("dist"), F.count(F.lit(1)).alias("calls"))
 
 
-def ranked(loci: DataFrame, bands: int = 1000) -> DataFrame:
+def collapsed_by_id(calls: DataFrame, order: str, keep: list[str]) -> DataFrame:
+    """One row an id of calls(id, evidence, orf_type, prob): distinct evidence and types, the largest probability, and the first row's other columns by order."""
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), " ").alias(c)
+    out = calls.groupBy("id").agg(listed("evidence"), listed("orf_type"), F.max("prob").alias("prob"), F.min_by(F.struct(*keep), order).alias("first"))
+    return out.select("id", "evidence", "orf_type", "prob", *[F.col(f"first.{c}").alias(c) for c in keep])
+
+
+def banded(df: DataFrame, column: str, bands: int) -> DataFrame:
+    """df with band: how many of the column's approximate quantiles a row's value exceeds, so that bands have nearly equal numbers of rows, however skewed, but for ties."""
+    edges = df.agg(F.percentile_approx(F.col(column), [i / bands for i in range(1, bands)], 10 * bands)).scalar()
+    return df.withColumn("edges", edges).withColumn("band", F.size(F.filter("edges", lambda e: e < F.col(column)))).drop("edges")
+
+
+def ranked(loci: DataFrame, bands: int = 100) -> DataFrame:
     """pred_rank by falling score (ties by locus), and novel_rank among the loci with dist -1, else null.
 
     Rows are numbered within bands of scores, and each band starts after the rows of the better ones, so no task holds all.
     """
-    ends = loci.agg(F.min("pred").alias("lo"), F.max("pred").alias("hi"))
-    width = F.greatest((F.col("hi") - F.col("lo")) / bands, F.lit(1e-12))
-    x = loci.join(F.broadcast(ends)).withColumn("band", F.coalesce(F.floor((F.col("hi") - F.col("pred")) / width), F.lit(bands + 1))).drop("lo", "hi")
+    x = banded(loci, "pred", bands)
+    x = x.withColumn("band", F.when(F.col("pred").isNull(), bands).otherwise(bands - 1 - F.col("band")))
     order = [F.desc_nulls_last("pred"), *LOCUS]
     novel = (F.col("dist") == -1).cast("long")
     within = Window.partitionBy("band").orderBy(*order)

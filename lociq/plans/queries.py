@@ -18,7 +18,6 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 LENGTHS = coords.lengths("20-70")
-CONTRASTS = ["click", "purchase", "scroll", "signup", "view"]
 #: Codons and the ribosome binding site that tracks are made for.
 MOTIFS = ["ATG", "GTG", "TTG", "CTG", "TAG", "TGA", "TAA", "AAGG"]
 
@@ -126,8 +125,8 @@ _OVER = "r.chrom = f.chrom AND r.strand = f.strand AND start0 <= f_stop0 AND sto
 
 @query("rrna_mask_antijoin", "SELECT library, chrom, count(*) AS n, cast(sum(start0) AS BIGINT) AS sum_start FROM reads r WHERE NOT EXISTS (SELECT 1 FROM features f WHERE feature IN ('rRNA', 'tRNA') AND r.chrom = f.chrom AND start0 <= f_stop0 AND stop0 >= f_start0) GROUP BY ALL")
 def rrna_mask_antijoin(spark, d):
-    kept = counting.outside(V.reads(spark, d), V.features(spark, d).where("feature in ('rRNA', 'tRNA')"))
-    return kept.groupBy("library", "chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("start0").alias("sum_start"))
+    kept = counting.outside(packed(spark, d), V.features(spark, d).where("feature in ('rRNA', 'tRNA')"))
+    return kept.groupBy("library", "chrom").agg(F.sum("n").alias("n"), F.sum(F.col("start0") * F.col("n")).alias("sum_start"))
 
 
 @query("overlap_count_cds", f"SELECT f.id, count(*) AS pairs, cast(sum(least(stop0, f_stop0) - greatest(start0, f_start0) + 1) AS BIGINT) AS bases FROM reads r JOIN cds f ON {_OVER} WHERE nh <= 1 GROUP BY ALL")
@@ -170,6 +169,15 @@ def counts_to_annotation_left(spark, d):
     return counting.on_annotation(V.features(spark, d).select("id", "feature", "chrom", "strand"), c, ["id"])
 
 
+@query("counts_on_loci", f"WITH c AS (SELECT f.id, count(*) AS cnt FROM reads r JOIN features f ON {_OVER} WHERE nh <= 1 GROUP BY ALL) SELECT f.id, f.feature, cast(coalesce(cnt, 0) AS DOUBLE) AS cnt FROM features f LEFT JOIN c USING (id)")
+def counts_on_loci(spark, d):
+    """As a counter's table, which has no ids, would be joined: by feature and place."""
+    a = V.annotation(spark, d).select("id", "feature", "chrom", "start1", "stop1", "strand")
+    c = counting.count_all_overlaps(packed(spark, d), V.features(spark, d)).groupBy("id").agg(F.sum("cnt").alias("cnt"))
+    table = a.join(c, "id").withColumnRenamed("id", "row")
+    return counting.on_loci(a, table, "row").select("id", "feature", "cnt")
+
+
 _LIBS = [f"{m}-{c}-{r}" for m in ("RIBO", "RNA") for c in "ANR" for r in "12"]
 
 
@@ -179,6 +187,12 @@ def de_matrix_pivot(spark, d):
     return x.select("id", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c.replace("-", "_")) for c in _LIBS])
 
 
+@query("de_matrix_features", f"WITH c AS (SELECT f.id, library, count(*) AS cnt FROM reads r JOIN features f ON {_OVER} WHERE nh <= 1 AND lower(feature) NOT IN ('gene', 'pseudogene') GROUP BY ALL) SELECT id, " + ", ".join(f"cast(coalesce(sum(cnt) FILTER (library = '{x}'), 0) AS DOUBLE) AS \"{x.replace('-', '_')}\"" for x in _LIBS) + " FROM c GROUP BY id")
+def de_matrix_features(spark, d):
+    x = counting.count_all_overlaps(packed(spark, d), counting.counted_features(V.features(spark, d))).groupBy("id").pivot("library", _LIBS).agg(F.sum("cnt"))
+    return x.select("id", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c.replace("-", "_")) for c in _LIBS])
+
+
 @query("de_dedup_keep_first", "SELECT chrom, start1, stop1, strand, contrast, event_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY padj, event_id) AS rn FROM de_results) WHERE rn = 1")
 def de_dedup_keep_first(spark, d):
     return counting.keep_first(V.de_results(spark, d), "id", [F.asc_nulls_last("padj"), "event_id"]).select("chrom", "start1", "stop1", "strand", "contrast", "event_id")
@@ -340,6 +354,21 @@ def metagene_stop(spark, d):
     return _metagene(spark, d, "stop", "threeprime")
 
 
+_MIDDLE = "cast(round_even((start0 + stop0) / 2, 0) AS BIGINT)"
+
+
+@query("metagene_centered", f"SELECT * FROM {_metagene_sql('start', _MIDDLE)}")
+def metagene_centered(spark, d):
+    return _metagene(spark, d, "start", "centered")
+
+
+@query("metagene_global", """WITH w AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN f_start0 ELSE f_stop0 END AS anchor FROM cds), v AS (SELECT *, CASE WHEN strand = '+' THEN anchor - 20 ELSE anchor - 39 END AS w0 FROM w),
+    p AS (SELECT r.chrom, read_length, r.strand, anchor, unnest(range(greatest(start0, w0), least(stop0, w0 + 59) + 1)) AS p FROM reads r JOIN v ON r.chrom = v.chrom AND r.strand = v.strand AND start0 <= w0 + 59 AND stop0 >= w0 WHERE nh <= 1 AND flag & 4 = 0)
+    SELECT chrom, read_length, CASE WHEN strand = '+' THEN p - anchor ELSE anchor - p END AS coord, count(*) AS cnt FROM p GROUP BY ALL""")
+def metagene_global(spark, d):
+    return _metagene(spark, d, "start", "global")
+
+
 @query("metagene_cpm", f"SELECT m.chrom, read_length, coord, cnt, round(cnt * 1e6 / total, 6) AS value FROM {_metagene_sql('start', _FIVE)} m JOIN (SELECT chrom, count(*) AS total FROM reads WHERE nh <= 1 GROUP BY chrom) USING (chrom)")
 def metagene_cpm(spark, d):
     total = V.reads(spark, d).where(counting.accepted()).groupBy("chrom").agg(F.count(F.lit(1)).alias("total"))
@@ -371,8 +400,8 @@ def _motif_sql(src: str) -> str:
 
 def _motifs(contigs: DataFrame) -> DataFrame:
     each = F.array(*[F.struct(F.lit(m).alias("motif"), sequence.motif_starts(F.col("seq"), m).alias("starts")) for m in MOTIFS])
-    x = contigs.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.motif", F.explode("x.starts").alias("start0"))
-    return x.select("doc_id", "motif", F.col("start0").cast("long").alias("start0"))
+    x = contigs.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.motif", F.explode("x.starts").alias("starts"))
+    return x.select("doc_id", "motif", F.explode("starts").alias("start0"))
 
 
 _RC = "(SELECT doc_id, reverse(translate(seq, 'ACGT', 'TGCA')) AS seq FROM genome)"
@@ -389,6 +418,23 @@ def motif_scan_rev(spark, d):
     return _motifs(x).groupBy("doc_id", "motif").agg(F.count(F.lit(1)).alias("hits"), F.sum("start0").alias("starts"))
 
 
+@query("feature_sequences", "WITH f AS (SELECT doc_id, doc_id % 40 AS a, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, doc_id % 7 = 0 AS gone FROM genome) SELECT doc_id, CASE WHEN gone THEN '' WHEN strand = '+' THEN substring(seq, a + 1, 200) ELSE reverse(translate(substring(seq, a + 1, 200), 'ACGT', 'TGCA')) END AS seq FROM f JOIN genome USING (doc_id)")
+def feature_sequences(spark, d):
+    """Features and contigs joined by the contig's name, every seventh of which isn't there."""
+    g = V.genome(spark, d)
+    name = F.concat(F.lit("ctg"), F.when(F.col("doc_id") % 7 == 0, F.lit("?")).otherwise(F.lit("")), "doc_id")
+    f = g.select(F.col("doc_id").alias("id"), name.alias("chrom"), (F.col("doc_id") % 40).alias("start0"), (F.col("doc_id") % 40 + 199).alias("stop0"), F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-").alias("strand"))
+    return sequence.of_features(f, g.select(F.concat(F.lit("ctg"), "doc_id").alias("chrom"), "seq"), 128).select(F.col("id").alias("doc_id"), "seq")
+
+
+@query("contigs_natural_order", "SELECT concat('ctg', suppkey, 'b') AS chrom, row_number() OVER (ORDER BY suppkey) AS place FROM (SELECT DISTINCT s_suppkey AS suppkey FROM supplier)")
+def contigs_natural_order(spark, d):
+    from pyspark.sql import Window
+
+    x = spark.read.parquet(f"{d}/supplier.parquet").select(F.concat(F.lit("ctg"), "s_suppkey", F.lit("b")).alias("chrom")).distinct()  # a row a contig
+    return x.select("chrom", F.row_number().over(Window.orderBy(coords.natural("chrom"))).cast("long").alias("place"))
+
+
 @query("genome_lengths", "SELECT concat('ctg', doc_id) AS chrom, len(seq) AS length FROM genome")
 def genome_lengths(spark, d):
     return V.genome(spark, d).select(F.concat(F.lit("ctg"), "doc_id").alias("chrom"), F.length("seq").cast("long").alias("length"))
@@ -462,7 +508,7 @@ _ROOTS = "WITH up AS (SELECT id, id AS root, 0 AS depth FROM annotation UNION AL
 @query("parent_root_inherit", _ROOTS + " SELECT a.id, root, cast(depth AS BIGINT) AS depth, coalesce(a.locus_tag, r.locus_tag) AS locus_tag, coalesce(a.p_name, r.p_name) AS name FROM annotation a JOIN top USING (id) JOIN annotation r ON r.id = top.root")
 def parent_root_inherit(spark, d):
     x = V.annotation(spark, d).withColumn("attrs", A.gff3("attributes"))
-    return ann.enriched(x, ann.roots_within(x, 3))
+    return ann.enriched(x, ann.roots(x))
 
 
 @query("reannotate_name", "WITH o AS (SELECT DISTINCT chrom, start1, stop1, strand FROM predictions), a AS (SELECT chrom, start1, stop1, strand, min(p_name) AS n FROM annotation GROUP BY ALL) SELECT o.*, coalesce(a.n, concat(o.chrom, '-', o.start1)) AS name, a.n IS NOT NULL AS found FROM o LEFT JOIN a USING (chrom, start1, stop1, strand)")
@@ -472,6 +518,31 @@ def reannotate_name(spark, d):
     return ann.renamed_by_annotation(o, a, pred.LOCUS)
 
 
+@query("reannotate_tags", """WITH o AS (SELECT DISTINCT chrom, start1, stop1, strand FROM predictions), a AS (SELECT chrom, start1, stop1, strand, min_by(p_name, id) AS n, min_by(coalesce(locus_tag, ''), id) AS t FROM annotation GROUP BY ALL)
+    SELECT o.*, concat('id=', o.chrom, '-', o.start1, ';', CASE WHEN t <> '' THEN concat('locus_tag=', t, ';') ELSE '' END, 'name=', coalesce(a.n, 'orf'), ';') AS attributes FROM o LEFT JOIN a USING (chrom, start1, stop1, strand)""")
+def reannotate_tags(spark, d):
+    o = V.predictions(spark, d).select(*pred.LOCUS).distinct().withColumn("attrs", F.create_map(F.lit("id"), F.concat_ws("-", "chrom", "start1"), F.lit("name"), F.lit("orf")))
+    a = V.annotation(spark, d).withColumn("attrs", A.gff3("attributes")).select(*pred.LOCUS, "id", "attrs")
+    return ann.tagged_by_annotation(o, a, pred.LOCUS, ("locus_tag", "old_locus_tag")).select(*pred.LOCUS, A.written("attrs").alias("attributes"))
+
+
+@query("fill_from_gene_locus", """WITH g AS (SELECT chrom, start1, stop1, strand, min(p_brand) AS tag FROM annotation WHERE k % 2 = 0 GROUP BY ALL)
+    SELECT id, feature, coalesce(nullif(locus_tag, ''), g.tag) AS locus_tag FROM (SELECT * FROM annotation WHERE k % 5 <> 0) LEFT JOIN g USING (chrom, start1, stop1, strand) WHERE lower(feature) NOT IN ('gene', 'pseudogene', 'exon')""")
+def fill_from_gene_locus(spark, d):
+    """Coding sequences, and features without parts, take what they lack from the gene at the same place."""
+    x = V.annotation(spark, d)
+    brand = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("k"), "p_brand")
+    genes = x.where("k % 2 = 0").join(brand, "k").groupBy(*pred.LOCUS).agg(F.min("p_brand").alias("locus_tag"))
+    rows = x.where("k % 5 <> 0").select("id", "feature", *pred.LOCUS, "locus_tag")
+    parts = (rows.where("lower(feature) = 'cds'"), ann.plain_features(rows))
+    return pred.united([ann.filled_from_gene(r, genes, pred.LOCUS, ("locus_tag",)) for r in parts]).select("id", "feature", "locus_tag")
+
+
+@query("kind_counters", "SELECT id, concat(lower(feature), row_number() OVER (PARTITION BY feature ORDER BY chrom, start1, stop1, id)) AS kind_id FROM annotation")
+def kind_counters(spark, d):
+    return ann.with_kind_counter(V.annotation(spark, d), "feature", ["chrom", "start1", "stop1", "id"], 1 << 12).select("id", "kind_id")
+
+
 @query("fill_from_gene", "SELECT c.id, c.chrom, coalesce(c.locus_tag, g.locus_tag) AS locus_tag FROM (SELECT id, chrom, f_start0 // 300 AS region, locus_tag FROM cds) c LEFT JOIN (SELECT chrom, f_start0 // 300 AS region, max(locus_tag) AS locus_tag FROM features WHERE feature = 'gene' GROUP BY ALL) g USING (chrom, region)")
 def fill_from_gene(spark, d):
     x = V.features(spark, d).withColumn("region", F.floor(F.col("f_start0") / 300))
@@ -521,6 +592,14 @@ def pred_plus(spark, d):
     return _collapsed(spark, d).where("pred >= 0").select(*pred.LOCUS, "pred")
 
 
+@query("pred_collapse_by_id", """WITH x AS (SELECT concat(chrom, ':', start1, '-', stop1, ':', strand) AS id, concat('reparation-', cond, '-', rep) AS evidence, CASE WHEN dist = -1 THEN 'novel' ELSE 'annotated' END AS orf_type, pred AS prob, chrom, dist, o_orderkey FROM predictions)
+    SELECT id, string_agg(DISTINCT evidence, ' ' ORDER BY evidence) AS evidence, string_agg(DISTINCT orf_type, ' ' ORDER BY orf_type) AS orf_type, max(prob) AS prob, min_by(chrom, o_orderkey) AS chrom, min_by(dist, o_orderkey) AS dist FROM x GROUP BY id""")
+def pred_collapse_by_id(spark, d):
+    x = V.predictions(spark, d).withColumn("id", coords.locus("chrom", "start1", "stop1", "strand")).withColumn("evidence", pred.evidence("reparation", F.col("cond"), F.col("rep")))
+    x = x.withColumn("orf_type", F.when(F.col("dist") == -1, "novel").otherwise("annotated")).withColumnRenamed("pred", "prob")
+    return pred.collapsed_by_id(x, "o_orderkey", ["chrom", "dist"])
+
+
 @query("evidence_prefix", _PRED + " SELECT chrom, start1, stop1, strand, evidence FROM c")
 def evidence_prefix(spark, d):
     x = V.predictions(spark, d).groupBy(*pred.LOCUS).agg(F.array_join(F.collect_list(F.concat_ws("-", "cond", "rep")), " ").alias("e"))
@@ -548,9 +627,15 @@ def overview_full_outer(spark, d):
     return pred.overview({"deepribo": dp, "reparation": rp, "annotation": an}, ["pred", "locus_tag", "calls"]).withColumn("calls", F.coalesce("calls", F.lit(0)))
 
 
-@query("overview_contrast_pivot", "WITH one AS (SELECT chrom, start1, stop1, strand, contrast, min_by(log2fc, event_id) AS log2fc, min_by(padj, event_id) AS padj FROM de_results GROUP BY ALL) SELECT chrom, start1, stop1, strand, " + ", ".join(f"max(log2fc) FILTER (contrast = '{c}') AS {c}_log2fc, max(padj) FILTER (contrast = '{c}') AS {c}_padj" for c in CONTRASTS) + " FROM one GROUP BY ALL")
+#: The test tables' contrasts, which SQL has to spell; the query takes them from the table.
+_CONTRASTS = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("overview_contrast_pivot", "WITH one AS (SELECT chrom, start1, stop1, strand, contrast, min_by(log2fc, event_id) AS log2fc, min_by(padj, event_id) AS padj FROM de_results GROUP BY ALL) SELECT chrom, start1, stop1, strand, " + ", ".join(f"max(log2fc) FILTER (contrast = '{c}') AS {c}_log2fc, max(padj) FILTER (contrast = '{c}') AS {c}_padj" for c in _CONTRASTS) + " FROM one GROUP BY ALL")
 def overview_contrast_pivot(spark, d):
-    return pred.by_contrast(V.de_results(spark, d), CONTRASTS, ["log2fc", "padj"], "event_id")
+    x = V.de_results(spark, d)
+    contrasts = sorted(r[0] for r in x.select("contrast").distinct().collect())  # a row a contrast
+    return pred.by_contrast(x, contrasts, ["log2fc", "padj"], "event_id")
 
 
 @query("de_up_down", "SELECT id, contrast, event_id, log2fc, padj, CASE WHEN log2fc >= 1.0 AND padj <= 0.05 THEN 'up' WHEN log2fc <= -1.0 AND padj <= 0.05 THEN 'down' ELSE 'none' END AS direction FROM de_results")
@@ -574,12 +659,15 @@ def deltate_inner3(spark, d):
     return expression.all_three(**{k: one.where(F.col("contrast") == c).drop("contrast") for k, c in _SIDES.items()})
 
 
-@query("de_sorted", "SELECT row_number() OVER (ORDER BY padj NULLS LAST, chrom, start1, stop1, strand, event_id) AS place, event_id FROM de_results WHERE contrast = 'purchase' ORDER BY place LIMIT 200")
+@query("de_sorted", "SELECT contrast, row_number() OVER (PARTITION BY contrast ORDER BY padj NULLS LAST, chrom, start1, stop1, strand, event_id) AS place, event_id FROM de_results")
 def de_sorted(spark, d):
-    from pyspark.sql import Window
+    return expression.sorted_results(V.de_results(spark, d), "contrast", "event_id").select("contrast", "place", "event_id")
+
 
-    top = V.de_results(spark, d).where("contrast = 'purchase'").orderBy(F.asc_nulls_last("padj"), *pred.LOCUS, "event_id").limit(200)  # a report of the best 200
-    return top.select(F.row_number().over(Window.orderBy(F.asc_nulls_last("padj"), *pred.LOCUS, "event_id")).cast("long").alias("place"), "event_id")
+@query("de_placed", "SELECT event_id, chrom, start1, stop1, strand FROM de_results")
+def de_placed(spark, d):
+    x = V.de_results(spark, d).withColumn("id", F.when(F.col("event_id") % 2 == 0, F.col("id")).otherwise(coords.locus("chrom", "start1", "stop1", "strand"))).select("id", "event_id")
+    return expression.placed(x, V.annotation(spark, d)).drop("id")
 
 
 @query("sheet_split_counts", "SELECT CASE lower(feature) WHEN 'cds' THEN 'CDS' WHEN 'rrna' THEN 'rRNA' WHEN 'trna' THEN 'tRNA' WHEN 'srna' THEN 'sRNA' WHEN 'ncrna' THEN 'ncRNA' ELSE 'misc' END AS sheet, count(*) AS n, count(locus_tag) AS annotated FROM annotation GROUP BY 1")

@@ -9,12 +9,15 @@ from ..operators import coverage
 
 
 def gff3(df: DataFrame, path: str) -> None:
-    """Rows with schemas.GFF's columns (attributes as a list or a map), sorted by place, under the version line; one file."""
+    """Rows with schemas.GFF's columns (attributes as a list or a map), sorted by place, under the version line.
+
+    Files are ranges of places, in the order of their names; the version line begins the first.
+    """
     attrs = attributes.written("attributes") if dict(df.dtypes)["attributes"].startswith("map") else F.col("attributes")
     columns = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in ("seq", "source", "feature", "start", "stop", "score", "strand", "phase")]
     rows = df.select(F.lit(1).alias("k"), F.col("seq").alias("s"), F.col("start").alias("a"), F.col("stop").alias("b"), F.concat_ws("\t", *columns, attrs).alias("value"))
     head = df.sparkSession.sql("select 0 as k, '' as s, 0L as a, 0L as b, '##gff-version 3' as value")
-    head.unionByName(rows).repartition(1).sortWithinPartitions("k", "s", "a", "b", "value").select("value").write.text(path)
+    head.unionByName(rows).repartitionByRange("k", "s", "a", "b").sortWithinPartitions("k", "s", "a", "b", "value").select("value").write.text(path)
 
 
 def tsv(df: DataFrame, path: str, header: bool = True) -> None:

@@ -1,5 +1,6 @@
 """Hand-computed cases of the interval engine."""
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,8 +78,6 @@ def test_counting_weights(spark):
 
 
 def test_binned_join_equals_plain(spark):
-    import random
-
     rng = random.Random(1)
     a = [(f"c{rng.randrange(2)}", s, s + rng.randrange(60)) for s in (rng.randrange(6000) for _ in range(300))] + [(None, 1, 5), ("c0", None, None)]
     b = [(f"c{rng.randrange(2)}", s, s + rng.choice([5, 300, 5000, 200000, 5000000])) for s in (rng.randrange(6000) for _ in range(80))]
@@ -97,9 +96,17 @@ def seq(spark, text, column):
 def test_sequences(spark):
     s = "ACGTATGGTGTGATTGAAGG"
     assert seq(spark, s, sequence.reverse_complement(F.col("seq"))) == "CCTTCAATCACACCATACGT"
-    starts = lambda t, m: seq(spark, t, sequence.motif_starts(F.col("seq"), m))
+    starts = lambda t, m, w=1024: seq(spark, t, F.flatten(sequence.motif_starts(F.col("seq"), m, w, 2 * w)))
     assert [starts(s, m) for m in ("ATG", "GTG", "TTG", "TGA", "AAGG", "CTG")] == [[4], [7], [13], [10, 14], [16], []]
-    assert starts("GTGTGTG", "GTG") == [0, 4]
+    assert starts("GTGTGTG", "GTG") == [0, 4] and starts("", "GTG") == []
+    rng = random.Random(5)
+    for text in ["GTG" * 30, "GT" * 50, "A" + "GT" * 41 + "GCC" + "TG" * 30, "AAAAAAAAAAAAAAAAAAAAAAA"] + ["".join(rng.choice("GTGTGA") for _ in range(120)) for _ in range(6)]:
+        for motif in ("GTG", "ATG", "AA", "GTGTG"):
+            want, at = [], text.find(motif)
+            while at >= 0:
+                want.append(at)
+                at = text.find(motif, at + len(motif))
+            assert starts(text, motif, 8) == want == starts(text, motif), (text, motif)
     assert seq(spark, "ATGGTGTGATAA", sequence.translated(F.col("seq"))) == "MV"
     assert seq(spark, "ATGGT", sequence.translated(F.col("seq"))) == "" and seq(spark, "ATGNNN", sequence.translated(F.col("seq"))) == "MX"
 
@@ -139,6 +146,26 @@ def test_directions(spark):
     assert [r.d for r in got] == ["up", "down", "none", "none", "none"]
 
 
+def test_natural_order_and_ratio_columns(spark):
+    names = ["chr10", "chr2", "chr02a", "X", "2L", "chr2a", "10", "9"]
+    got = [r.c for r in spark.createDataFrame([(n,) for n in names], "c string").orderBy(coords.natural("c")).collect()]
+    assert got == ["2L", "9", "10", "X", "chr2", "chr02a", "chr2a", "chr10"]
+    assert expression.ratio_columns([("TE", "A", "1"), ("TE", "A", "2"), ("TE", "B", "1")]) == ["TE-A-1", "TE-A-2", "TE-A-avg", "TE-B-1"]
+
+
+def test_genes_stay_in_bounds(spark):
+    genes = spark.createDataFrame([("a", "c", "+", 5, 90), ("b", "c", "-", 20, 79), ("d", "c", "-", 20, 80), ("e", "gone", "+", 50, 60)], "id string, chrom string, strand string, f_start0 long, f_stop0 long")
+    lengths = spark.createDataFrame([("c", 100)], "chrom string, length long")
+    assert {r.id for r in metagene.in_bounds(genes, lengths, 20).collect()} == {"b"}
+
+
+def test_placed_results_raise_without_a_place(spark):
+    results, a = spark.createDataFrame([("f1",), ("c:3-9:-",)], "id string"), spark.createDataFrame([("f1", "c", 1, 2, "+")], "id string, chrom string, start1 long, stop1 long, strand string")
+    assert {(r.id, r.start1) for r in expression.placed(results, a).collect()} == {("f1", 1), ("c:3-9:-", 3)}
+    with pytest.raises(Exception, match="neither annotated"):
+        expression.placed(results.union(spark.createDataFrame([("what",)], "id string")), a).collect()
+
+
 def test_settings(spark):
     assert config.Settings().problems(["a", "b"]) == []
     bad = config.Settings(filtering=["x"], padj_cutoff=2, read_lengths="a", contrasts=["a-z"], differential_expression=True, workflow="no")
