@@ -79,7 +79,7 @@ def keep_rows(df: DataFrame, text_col: str, start: Callable[[], Callable[[list[b
         keep = start()
         for batch in batches:
             text = pc.fill_null(batch.column(at).cast(pa.binary()), b"")
-            for i, texts in byte_chunks(text):
+            for i, texts in byte_chunks(text, 1 << 20):
                 yield batch.slice(i, len(texts)).filter(pa.array(np.asarray(keep(texts), bool)))
 
     return df.mapInArrow(run, df.schema)

@@ -264,7 +264,7 @@ class Scorer:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Score, deciding window and logits of all windows of each text."""
-        if len(self.vocabulary.ids) > 150_000:
+        if len(self.vocabulary.ids) > 100_000:
             self.forget()
         ids = [self.vocabulary.add(tokens(t)) for t in texts]
         self.gates = np.concatenate([self.gates[:-1], self.net.all_gates(self.vocabulary, len(self.gates) - 1)])
@@ -281,7 +281,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
 
     def f(batch: pa.RecordBatch) -> Iterator[dict]:
         scorer = Scorer(sent.value)
-        for at, texts in byte_chunks(batch.column(1), 1 << 21):
+        for at, texts in byte_chunks(batch.column(1), 1 << 20):
             scores, worst, each = scorer(texts)
             yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": scores, "n_windows": [len(x) for x in each], "worst_start": [word_of(t, int(w) * STRIDE) if w >= 0 else None for t, w in zip(texts, worst)]}
 
