@@ -5,8 +5,9 @@ A template of n shingles is looked for in windows of W >= 2 (n + 1) shingles, a
 occurrence lies whole in one of them. If a share c of the template's shingles is in the window, their
 Jaccard similarity is at least c n / (W + (1 - c) n). With HASHES bands of one row, collision_probability() is over 0.99 for all
 templates at the threshold. What is retrieved is verified exactly: a stretch where the share of the template's
-distinct shingles is at least `share` (0.8). Null and empty texts and texts of under five words hold nothing; templates of under
-five words are refused. Repeated rows give repeated results.
+distinct shingles is at least `share` (0.8). A template of under five words is one shingle of all its words, so only itself contains
+it; such places are reported where no longer notice of the licence covers them. Null and empty texts hold nothing; templates without
+words are refused. Repeated rows give repeated results.
 """
 from __future__ import annotations
 
@@ -56,11 +57,11 @@ def words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mixed((total[end] - total[start]) * powers(_INVERSE, len(raw))[start] + (end - start).astype(np.uint64)), start, end
 
 
-def shingles(h: np.ndarray) -> np.ndarray:
-    """Hash of each run of SHINGLE words."""
-    n = len(h) - SHINGLE + 1
+def shingles(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Hash of each run of `size` words."""
+    n = len(h) - size + 1
     out = np.zeros(max(0, n), np.uint64)
-    for i in range(SHINGLE if n > 0 else 0):
+    for i in range(size if n > 0 else 0):
         out = out * np.uint64(0x2545F4914F6CDD1D) + h[i : n + i]
     return mixed(out)
 
@@ -83,13 +84,17 @@ def hashed(s: np.ndarray) -> np.ndarray:
 
 class Templates:
     def __init__(self, texts: dict[str, tuple[str, ...]]) -> None:
-        self.names, self.sets, levels = [], [], {}
+        self.names, self.sets, levels, self.short = [], [], {}, {}
         for name, versions in texts.items():
             for text in versions:
-                s = np.unique(shingles(words(text.encode())[0]))
-                if not len(s):
-                    raise ValueError(f"a template of {name} has under {SHINGLE} words")
-                levels.setdefault(window(len(s)), []).append(len(self.sets))
+                h = words(text.encode())[0]
+                if not len(h):
+                    raise ValueError(f"a template of {name} has no words")
+                s = np.unique(shingles(h, min(SHINGLE, len(h))))
+                if len(h) < SHINGLE:
+                    self.short.setdefault(len(h), []).append((int(s[0]), len(self.sets)))
+                else:
+                    levels.setdefault(window(len(s)), []).append(len(self.sets))
                 self.names.append(name)
                 self.sets.append(s)
         self.levels = {}
@@ -159,6 +164,18 @@ def occurrences(k: int, s: np.ndarray, at: np.ndarray, own: np.ndarray, share: f
             at = at[1:]
 
 
+def places(h: np.ndarray, t: Templates, share: float) -> list[tuple[int, int, int, float]]:
+    """(template, first and last word, share) of all places in a text of words h."""
+    s = shingles(h)
+    out = [(k, a, b + SHINGLE - 1, got) for k, a, b, got in verified(s, retrieved(s, t), t, share)] if len(s) and t.levels else []
+    for size, own in t.short.items():
+        runs = shingles(h, size)
+        for value, k in own:
+            covered = [(a, b) for j, a, b, _ in out if t.names[j] == t.names[k]]
+            out += [(k, a, a + size - 1, 1.0) for a in np.flatnonzero(runs == np.uint64(value)).tolist() if not any(c <= a and a + size - 1 <= d for c, d in covered)]
+    return out
+
+
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, license, template (its number), share, start_byte, end_byte of each place that holds a template.
 
@@ -173,9 +190,7 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, s
             out = []
             for i, text in enumerate(texts):
                 h, start, end = words(text)
-                s = shingles(h)
-                if len(s) and t.sets:
-                    out += [(ids[at + i], t.names[k], k, got, int(start[a]), int(end[b + SHINGLE - 1])) for k, a, b, got in verified(s, retrieved(s, t), t, share)]
+                out += [(ids[at + i], t.names[k], k, got, int(start[a]), int(end[b])) for k, a, b, got in places(h, t, share)]
             yield dict(zip(("doc_id", "license", "template", "share", "start_byte", "end_byte"), map(list, zip(*out)) if out else [[]] * 6))
 
     return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, license string, template int, share double, start_byte long, end_byte long")

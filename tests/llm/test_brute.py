@@ -49,7 +49,43 @@ def test_licenses_find_whole_notices_in_long_text(spark):
 def test_license_bands_are_likely_to_meet():
     assert all(licenses.collision_probability(n) > 0.99 for n in range(1, 400))
     with pytest.raises(ValueError):
-        licenses.Templates({"short": ("too few words",)})
+        licenses.Templates({"none": ("...",)})
+
+
+def test_short_notices(spark):
+    """A notice of under five words is found where all its words are, but not inside a longer one of the same licence."""
+    whole = TEMPLATES["Proprietary"][1]
+    texts = ["All rights reserved.", "x y all  RIGHTS\nreserved, 2020. All rights  reserved", "all rights are reserved", whole, "reserved", "", None]
+    found = {}
+    for r in licenses.scan(frame(spark, texts)).collect():
+        found.setdefault(r.doc_id, []).append((r.license, r.share, (texts[r.doc_id] or "").encode()[r.start_byte : r.end_byte].decode()))
+    assert found[0] == [("Proprietary", 1.0, "All rights reserved")] and [x[2] for x in found[1]] == ["all  RIGHTS\nreserved", "All rights  reserved"]
+    assert set(found) == {0, 1, 3} and len(found[3]) == 1 and len(found[3][0][2]) > 100
+
+
+def test_licenses_equal_brute_force_on_edited_notices(spark):
+    """Notices with words replaced at random: every text in which a stretch holds 0.8 of a template's shingles is found, and none below."""
+    rng = random.Random(19)
+    names = [(n, i) for n, v in TEMPLATES.items() for i in range(len(v)) if len(v[i].split()) >= 12]
+    texts, want = [], []
+    for k in range(150):
+        n, i = names[k % len(names)]
+        w = TEMPLATES[n][i].split()
+        for _ in range(rng.randrange(0, 1 + len(w) // 20)):
+            w[rng.randrange(len(w))] = f"other{k}"
+        texts.append(prose(rng, 150 + k) + " " + " ".join(w) + " " + prose(rng, 60))
+        h = licenses.shingles(licenses.words(texts[-1].encode())[0])
+        template = np.unique(licenses.shingles(licenses.words(TEMPLATES[n][i].encode())[0]))
+        want.append((n, len(np.intersect1d(h, template)) / len(template)))
+    found = {}
+    for r in licenses.scan(frame(spark, texts)).collect():
+        found.setdefault((r.doc_id, r.license), []).append(r.share)
+    hits = [k for k, (n, share) in enumerate(want) if share >= 0.8]
+    assert 40 < len(hits) < 150 and sum((k, want[k][0]) in found for k in hits) >= 0.99 * len(hits)
+    for k, n in found:  # nothing is found that isn't there
+        h = licenses.words(texts[k].encode())[0]
+        held = [np.unique(licenses.shingles(own, min(5, len(own)))) for own in (licenses.words(v.encode())[0] for v in TEMPLATES[n])]
+        assert any(np.isin(x, licenses.shingles(h)).mean() >= 0.8 for x in held)
 
 
 def base_secrets(t):
