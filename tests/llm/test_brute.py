@@ -569,3 +569,27 @@ def test_held_out_labels_are_not_used(spark):
     rows = common.labelled_sample(docs, labels, "quality", 5, 1000)
     assert {r[0] for r in rows} == {i for i in range(60) if zlib.crc32(str(i).encode()) % 5}
     assert len(common.labelled_sample(docs, labels, "quality", 5, 10)) == 10
+
+
+def test_secrets_recall_and_false_discoveries(spark):
+    """Random strings of 32 and more characters over both cases (and digits), which no base pattern finds, among long words of prose: nine of ten are found, and few others.
+
+    Over smaller alphabets text of such length may look as uniform: by the README, those are found from 64 characters on only in part.
+    """
+    rng = random.Random(20)
+    texts, planted = [], {}
+    for i in range(600):
+        w = prose(rng, 80).split()
+        w.insert(rng.randrange(len(w)), "".join(prose(rng, 12).replace(",", "").split())[:60])  # a long word that isn't random
+        if i % 2:
+            name = rng.choice(["letters", "base62", "base64", "base64url"])
+            value = "".join(rng.choice(secrets.ALPHABETS[name]) for _ in range(rng.choice([32, 40, 48, 64])))
+            at = rng.randrange(len(w))
+            w.insert(at, value)
+            start = len(" ".join(w[:at])) + bool(at)
+            planted[i] = f"random:{start}:{start + len(value)}"
+        texts.append(" ".join(w))
+    found = {i: {s for s in (r.spans or "").split(",") if s.startswith("random")} for i, r in by_id(queries.digest(secrets.find(frame(spark, texts)), secrets.BASE)).items()}
+    hits = sum(planted[i] in found[i] for i in planted)
+    others = sum(len(v - {planted.get(i)}) for i, v in found.items())
+    assert hits >= 0.9 * len(planted) and others <= 0.05 * (hits + others), (hits, len(planted), others)
