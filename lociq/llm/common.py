@@ -56,16 +56,17 @@ def byte_chunks(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, li
         at = to
 
 
-def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """mapInArrow for a function that turns a batch into dicts of columns."""
+def map_arrow(df: DataFrame, f: Callable, schema: str, once_a_task: bool = False) -> DataFrame:
+    """mapInArrow for a function that turns a batch into dicts of columns; once_a_task: for one that makes this function when a task begins."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     names = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = f() if once_a_task else f
         for batch in batches:
-            for out in f(batch):
+            for out in g(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(out[x.name], type=x.type) for x in names], schema=names)
 
     return df.mapInArrow(run, schema)

@@ -183,14 +183,18 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, s
     """
     sent = docs.sparkSession.sparkContext.broadcast(TEMPLATES if templates is None else templates)
 
-    def f(batch: pa.RecordBatch) -> Iterator[dict]:
+    def start():
         t = Templates(sent.value)
-        ids = batch.column(0).to_pylist()
-        for at, texts in byte_chunks(batch.column(1)):
-            out = []
-            for i, text in enumerate(texts):
-                h, start, end = words(text)
-                out += [(ids[at + i], t.names[k], k, got, int(start[a]), int(end[b])) for k, a, b, got in places(h, t, share)]
-            yield dict(zip(("doc_id", "license", "template", "share", "start_byte", "end_byte"), map(list, zip(*out)) if out else [[]] * 6))
-
-    return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, license string, template int, share double, start_byte long, end_byte long")
+
+        def f(batch: pa.RecordBatch) -> Iterator[dict]:
+            ids = batch.column(0).to_pylist()
+            for at, texts in byte_chunks(batch.column(1)):
+                out = []
+                for i, text in enumerate(texts):
+                    h, begin, end = words(text)
+                    out += [(ids[at + i], t.names[k], k, got, int(begin[a]), int(end[b])) for k, a, b, got in places(h, t, share)]
+                yield dict(zip(("doc_id", "license", "template", "share", "start_byte", "end_byte"), map(list, zip(*out)) if out else [[]] * 6))
+
+        return f
+
+    return map_arrow(id_text(docs, id_col, text_col), start, "doc_id long, license string, template int, share double, start_byte long, end_byte long", once_a_task=True)

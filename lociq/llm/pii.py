@@ -37,6 +37,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
+#: What the IPv6 generator needs, which may be without digits.
+COLONS = re.compile("[A-Fa-f]:[A-Fa-f]{1,4}:")
 #: Words before a candidate that speak for each group of kinds, and words that speak against all.
 HINTS = (
     re.compile(r"mail|contact|write|reach", re.I), re.compile(r"phone|tel|call|mobile|fax|cell|ring", re.I), re.compile(r"ssn|social|security no", re.I),
@@ -197,7 +199,7 @@ def find(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
                 digits = bool(DIGIT.search(text))
                 spans = base(text, digits)
                 first.append(struct(spans))
-                every.append(struct(spans + m.select(text, spans)) if digits or "at" in text and "dot" in text else first[-1])
+                every.append(struct(spans + m.select(text, spans)) if digits or "at" in text and "dot" in text or COLONS.search(text) else first[-1])
             yield {"doc_id": batch.column(0).slice(at, len(texts)), "base": first, "spans": every}
 
     span = "array<struct<kind: string, start: long, end: long>>"

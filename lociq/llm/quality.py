@@ -104,10 +104,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """doc_id, score, n_features of every row. The model has a fixed size, 4 bytes a slot."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def f(batch: pa.RecordBatch) -> Iterator[dict]:
+    def start():
         m, hashes = sent.value, WordHash()
-        for at, texts in byte_chunks(batch.column(1)):
-            found = [slots(t, hashes, m.bits) for t in texts]
-            yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": [m.score(x) for x in found], "n_features": [len(x) for x in found]}
 
-    return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, score double, n_features long")
+        def f(batch: pa.RecordBatch) -> Iterator[dict]:
+            for at, texts in byte_chunks(batch.column(1)):
+                found = [slots(t, hashes, m.bits) for t in texts]
+                yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": [m.score(x) for x in found], "n_features": [len(x) for x in found]}
+
+        return f
+
+    return map_arrow(id_text(docs, id_col, text_col), start, "doc_id long, score double, n_features long", once_a_task=True)

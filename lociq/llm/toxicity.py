@@ -279,13 +279,17 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     """
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
-    def f(batch: pa.RecordBatch) -> Iterator[dict]:
+    def start():
         scorer = Scorer(sent.value)
-        for at, texts in byte_chunks(batch.column(1), 1 << 20):
-            scores, worst, each = scorer(texts)
-            yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": scores, "n_windows": [len(x) for x in each], "worst_start": [word_of(t, int(w) * STRIDE) if w >= 0 else None for t, w in zip(texts, worst)]}
 
-    return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, score double, n_windows long, worst_start long")
+        def f(batch: pa.RecordBatch) -> Iterator[dict]:
+            for at, texts in byte_chunks(batch.column(1), 1 << 20):
+                scores, worst, each = scorer(texts)
+                yield {"doc_id": batch.column(0).slice(at, len(texts)), "score": scores, "n_windows": [len(x) for x in each], "worst_start": [word_of(t, int(w) * STRIDE) if w >= 0 else None for t, w in zip(texts, worst)]}
+
+        return f
+
+    return map_arrow(id_text(docs, id_col, text_col), start, "doc_id long, score double, n_windows long, worst_start long", once_a_task=True)
 
 
 def clean(docs: DataFrame, net: Network, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
