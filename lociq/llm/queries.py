@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, secrets, simhash, toxicity
+from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, sampling, secrets, simhash, toxicity
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -85,6 +85,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sampling.shares(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_simhash": op9_simhash,
         "op10_quality": op10_quality,
+        "op11_mixing": op11_mixing,
     }
 
 
@@ -107,4 +113,16 @@ def oracle_sql() -> dict[str, str]:
             WITH d AS (SELECT doc_id, {normal} AS t FROM documents),
             g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g ON d.t = g.t""",
+        "op11_mixing": r"""
+            WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+            s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+            b AS (SELECT *, 3.0 * source_size / w AS b, sum(source_size) OVER () AS total, sum(w) OVER () AS whole FROM s),
+            c AS (SELECT *, row_number() OVER (ORDER BY b, source NULLS LAST) AS k, coalesce(sum(3 * source_size) OVER before, 0) AS full_size, coalesce(sum(w) OVER before, 0) AS full_w FROM b
+                WINDOW before AS (ORDER BY b, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            l AS (SELECT arg_min(CAST(total - full_size AS DOUBLE) / CAST(whole - full_w AS DOUBLE), k) AS level FROM c WHERE CAST(total - full_size AS DOUBLE) / CAST(whole - full_w AS DOUBLE) <= b),
+            t AS (SELECT source, source_size, CASE WHEN w * level > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE w * level END AS target,
+                CAST(CAST('0x' || substr(md5('42:' || coalesce('=' || source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u FROM s, l),
+            r AS (SELECT d.doc_id, d.size, t.source_size, t.target, u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
+                row_number() OVER (PARTITION BY d.source ORDER BY d.size DESC, md5('42:' || coalesce(CAST(d.doc_id AS VARCHAR), ''))) AS k FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+            SELECT doc_id, size, source_size, target, size * CAST(floor(k * rate + u) - floor((k - 1) * rate + u) AS BIGINT) AS taken FROM r""",
     }
