@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, sampling, secrets, simhash, toxicity
+from . import bpe, decontam, exact_dedup, licenses, mixing, pii, quality, repair, sampling, secrets, simhash, toxicity, whitening
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -90,6 +90,14 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
@@ -103,6 +111,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash": op9_simhash,
         "op10_quality": op10_quality,
         "op11_mixing": op11_mixing,
+        "op12_whitening": op12_whitening,
+        "op13_repair": op13_repair,
     }
 
 
