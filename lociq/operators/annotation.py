@@ -5,29 +5,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import attributes as A
+from ..tables import stored
+
+
+def one_row_an_id(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
+    return df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(parent_col).alias("up"))
 
 
 def roots(df: DataFrame, id_col: str = "id", parent_col: str = "parent", most_rounds: int = 40) -> DataFrame:
     """id, root, depth: the furthest ancestor that exists, by doubling the distance climbed each round.
 
-    A missing parent ends the climb. Cycles don't end it: they raise.
+    A row an id, however often it repeats (a feature in segments has one id); of several parents the first by name counts. A missing
+    parent ends the climb. Cycles don't end it: they raise. Rows without an id are left out.
     """
-    ids = df.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"))
+    ids = one_row_an_id(df, id_col, parent_col)
     known = ids.select(F.col("id").alias("up"), F.lit(True).alias("there"))
     now = ids.join(known, "up", "left").select("id", F.when(F.col("there"), F.col("up")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"))
-    shared, held = bool(now.sparkSession.sparkContext.getCheckpointDir() or now.sparkSession.conf.get("spark.checkpoint.dir", None)), []
     for _ in range(most_rounds):
-        now = now.checkpoint() if shared else now.persist()
-        held = [*held, now]
+        now = stored(now)
         if now.where("up is not null").isEmpty():
             break
         more = now.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("further"))
         now = now.join(more, "up", "left")
         if now.where("next is not null").isEmpty():
             break
-        for old in held[:-1] if not shared else ():  # the last round's rows are made of the one before
-            old.unpersist()
-        held = held[-1:]
         now = now.select("id", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"))
     else:
         raise ValueError("parents form a cycle")
@@ -36,7 +37,7 @@ def roots(df: DataFrame, id_col: str = "id", parent_col: str = "parent", most_ro
 
 def roots_within(df: DataFrame, levels: int, id_col: str = "id", parent_col: str = "parent") -> DataFrame:
     """roots() for a known number of levels, as one plan without rounds."""
-    ids = df.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"))
+    ids = one_row_an_id(df, id_col, parent_col)
     out = ids.select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("depth"))
     step = ids.select(F.col("id").alias("root"), F.col("up").alias("next"))
     there = ids.select(F.col("id").alias("next"), F.lit(1).cast("long").alias("one"))
@@ -47,9 +48,9 @@ def roots_within(df: DataFrame, levels: int, id_col: str = "id", parent_col: str
 
 
 def enriched(df: DataFrame, root_of: DataFrame, names: tuple[str, ...] = ("locus_tag", "name")) -> DataFrame:
-    """df(id, attrs map) with the named attributes, taken from its root where a row lacks them."""
-    top = df.select(F.col("id").alias("root"), *[A.first_of("attrs", n).alias(f"root_{n}") for n in names])
-    x = df.join(root_of, "id").join(top, "root", "left")
+    """df(id, attrs map), all its rows, with the named attributes, taken from its root where a row lacks them; of a root's several rows the first value counts."""
+    top = df.groupBy(F.col("id").alias("root")).agg(*[F.min(A.first_of("attrs", n)).alias(f"root_{n}") for n in names])
+    x = df.join(root_of, "id", "left").join(top, "root", "left")
     return x.select("id", "root", "depth", *[F.coalesce(A.first_of("attrs", n), F.col(f"root_{n}")).alias(n) for n in names])
 
 

@@ -39,7 +39,8 @@ def count_all_overlaps(reads: DataFrame, features: DataFrame, stranded: bool = T
     multi keeps reads that map to several places; fraction divides by these and by the features of its kind that it overlaps.
     """
     reads = reads if multi else reads.where("nh <= 1")
-    pairs = overlaps(reads, features, stranded)
+    # Features are counted for each kind of read, which must be one row then.
+    pairs = overlaps(collapsed(reads) if fraction else reads, features, stranded)
     if not fraction:
         return pairs.groupBy("feature", "id", "library").agg(F.sum("n").cast("double").alias("cnt"))
     same_read = [c for c in READ if stranded or c != "strand"] + ([] if stranded else ["strand"])
@@ -50,7 +51,7 @@ def count_all_overlaps(reads: DataFrame, features: DataFrame, stranded: bool = T
 
 def count_single_hits(reads: DataFrame, features: DataFrame, stranded: bool = False) -> DataFrame:
     """feature, id, library, cnt: only reads that overlap one feature of their kind."""
-    pairs = overlaps(reads, features, stranded)
+    pairs = overlaps(collapsed(reads), features, stranded)
     hits = F.count(F.lit(1)).over(Window.partitionBy(*READ, "feature"))
     return pairs.withColumn("hits", hits).where("hits = 1").groupBy("feature", "id", "library").agg(F.sum("n").cast("double").alias("cnt"))
 

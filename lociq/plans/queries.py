@@ -511,6 +511,14 @@ def parent_root_inherit(spark, d):
     return ann.enriched(x, ann.roots(x))
 
 
+@query("parent_root_segments", """WITH seg AS (SELECT * FROM annotation UNION ALL SELECT * FROM annotation WHERE k % 4 = 0), """ + _ROOTS[5:] + " SELECT a.id, root, cast(depth AS BIGINT) AS depth, coalesce(a.locus_tag, r.locus_tag) AS locus_tag, count(*) AS segments FROM seg a JOIN top USING (id) JOIN annotation r ON r.id = top.root GROUP BY ALL")
+def parent_root_segments(spark, d):
+    """Features in two segments of one id keep their rows."""
+    x = V.annotation(spark, d).withColumn("attrs", A.gff3("attributes"))
+    x = x.unionByName(x.where("k % 4 = 0"))
+    return ann.enriched(x, ann.roots(x)).groupBy("id", "root", "depth", "locus_tag").agg(F.count(F.lit(1)).alias("segments"))
+
+
 @query("reannotate_name", "WITH o AS (SELECT DISTINCT chrom, start1, stop1, strand FROM predictions), a AS (SELECT chrom, start1, stop1, strand, min(p_name) AS n FROM annotation GROUP BY ALL) SELECT o.*, coalesce(a.n, concat(o.chrom, '-', o.start1)) AS name, a.n IS NOT NULL AS found FROM o LEFT JOIN a USING (chrom, start1, stop1, strand)")
 def reannotate_name(spark, d):
     o = V.predictions(spark, d).select(*pred.LOCUS).distinct().withColumn("name", F.concat_ws("-", "chrom", "start1"))

@@ -17,8 +17,9 @@ def samples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gff(spark: SparkSession, path: str) -> DataFrame:
-    """GFF3, GFF2 or GTF rows, with start0 and stop0 beside the file's columns. Only whole lines are comments."""
-    return _tsv(spark, path, schemas.GFF).withColumn("start0", F.col("start") - 1).withColumn("stop0", F.col("stop") - 1)
+    """GFF3, GFF2 or GTF rows, with start0 and stop0 beside the file's columns. Only whole lines are comments. Sequences after ##FASTA aren't rows."""
+    # Their lines have no third column, and no place's name begins with >.
+    return _tsv(spark, path, schemas.GFF).where(F.col("feature").isNotNull() & ~F.col("seq").startswith(">")).withColumn("start0", F.col("start") - 1).withColumn("stop0", F.col("stop") - 1)
 
 
 def is_gtf(rows: DataFrame) -> Column:
@@ -43,10 +44,12 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
     """id, seq, quality of reads of four lines; a file that isn't made of these raises.
 
     Records are split at lines that begin with @. A quality line may begin so too: then a part of three lines is followed by one of
-    a single line, the rest of its quality. Only such parts are ordered within their file to be put together.
+    a single line, the rest of its quality. Only such parts are ordered within their file to be put together. A read may have no bases.
     """
     x = spark.read.option("lineSep", "\n@").text(path)
-    text = F.regexp_replace(F.regexp_replace("value", r"\r(?=\n|$)", ""), r"\n+$", "")
+    text = F.regexp_replace("value", r"\r(?=\n|$)", "")
+    bare = F.regexp_replace(text, r"\n+$", "")
+    text = F.when(text.rlike(r"\A[^\n]*\n\n\+[^\n]*\n*\z"), F.concat(bare, F.lit("\n"))).otherwise(bare)  # no bases: the fourth line is empty
     x = x.select(text.alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
     x = x.withColumn("lines", F.when(F.col("text") == "", 1).otherwise(F.size(F.split("text", "\n"))))
     first = (F.col("block") == 0) & F.col("text").startswith("@")
@@ -98,7 +101,8 @@ def alignments_of(spark: SparkSession, folder: str) -> DataFrame:
 
     x = sam(spark, spark.read.option("pathGlobFilter", "*.[sS][aA][mM]").text(folder).select("value", F.col("_metadata.file_name").alias("file")))
     spark.dataSource.register(BamSource)
-    x = x.unionByName(spark.read.format("bam").load(folder))
+    chosen = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    x = x.unionByName(spark.read.format("bam").option("push_filters", chosen).load(folder))
     return x.withColumn("library", F.regexp_replace("file", r"\.[^.]*$", "")).drop("file")
 
 

@@ -172,3 +172,23 @@ def test_settings(spark):
     assert len(bad.problems(["a"])) == 6
     sheet = spark.createDataFrame([("RIBO", "A", "1", "f", None), ("X", "a b", "0", " ", None), ("RIBO", "A", "1", "f", None)], "method string, condition string, replicate string, fastqFile string, fastqFile2 string")
     assert sorted(r.problem for r in config.sample_problems(sheet).collect()) == sorted(["unknown method", "condition isn't of letters and digits", "replicate isn't a whole number from 1", "no file", "sample is there twice"])
+
+
+def test_counts_of_equal_reads_as_rows(spark):
+    """Equal reads as rows of their own count as the collapsed ones do."""
+    schema = "library string, chrom string, strand string, start0 long, stop0 long, read_length long, nh int, flag int, n long"
+    reads = spark.createDataFrame([("L", "c", "+", 5, 9, 5, 2, 0, 1)] * 2 + [("L", "c", "+", 5, 30, 26, 1, 0, 1)] * 3, schema)
+    genes = spark.createDataFrame([("g", "CDS", "c", "+", 0, 20), ("h", "CDS", "c", "+", 25, 40)], "id string, feature string, chrom string, strand string, f_start0 long, f_stop0 long")
+    for r in (reads, counting.collapsed(reads)):
+        got = {(x.id, x.cnt) for x in counting.count_all_overlaps(r, genes, multi=True, fraction=True).collect()}
+        assert got == {("g", 2 / 2 + 3 / 2), ("h", 3 / 2)}
+        assert {(x.id, x.cnt) for x in counting.count_single_hits(r, genes).collect()} == {("g", 2.0)}
+
+
+def test_repeated_ids_keep_rows(spark):
+    rows = [("g", None, {"locus_tag": "T"}), ("m", "g", {}), ("m", "g", {}), ("c", "m", {}), ("c", "m", {}), ("c", "m", {"locus_tag": "own"}), (None, "m", {})]
+    df = spark.createDataFrame(rows, "id string, parent string, attrs map<string, string>")
+    root = annotation.roots(df)
+    assert {tuple(r) for r in root.collect()} == {("g", "g", 0), ("m", "g", 1), ("c", "g", 2)} == {tuple(r) for r in annotation.roots_within(df, 3).collect()}
+    got = sorted(((r.id, r.root, r.locus_tag) for r in annotation.enriched(df, root).collect()), key=str)
+    assert got == sorted([("g", "g", "T"), ("m", "g", "T"), ("m", "g", "T"), ("c", "g", "T"), ("c", "g", "T"), ("c", "g", "own"), (None, None, None)], key=str)

@@ -21,6 +21,8 @@ def test_fasta_and_gff(spark, tmp_path):
     gff = readers.gff(spark, write(tmp_path / "a.gff", "##gff-version 3\nc1\tx\tCDS\t2\t4\t.\t+\t0\tID=a#1;\n"))
     r = gff.first()
     assert gff.count() == 1 and (r.start0, r.stop0, r.attributes) == (1, 3, "ID=a#1;")
+    more = readers.gff(spark, write(tmp_path / "b.gff", "##gff-version 3\nc1\tx\tCDS\t2\t4\t.\t+\t0\tID=a;\n##FASTA\n>c1 a\tb\tc\nACGT\nAC\n"))
+    assert [r.attributes for r in more.collect()] == ["ID=a;"]
     sinks.gff3(gff.drop("start0", "stop0"), str(tmp_path / "out"))
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["##gff-version 3", "c1\tx\tCDS\t2\t4\t.\t+\t0\tID=a#1;"]
 
@@ -87,6 +89,10 @@ def test_fastq_quality_and_fasta_header_signs(spark, tmp_path):
     (tmp_path / "z" / "a.fq.gz").write_bytes(gzip.compress(text.encode()))
     write(tmp_path / "z" / "b.fq", text)
     assert sorted(tuple(r) for r in readers.fastq(spark, str(tmp_path / "z")).collect()) == sorted(reads * 2)
+    empty = "@r1\n\n+\n\n@r2 x\nAC\n+\nII\n@r3\n\n+r3\n\n"
+    for k, t in enumerate((empty, empty[:-1], empty + "\n", empty.replace("\n", "\r\n"))):
+        p = write(tmp_path / f"empty{k}.fq", t)
+        assert sorted((r.id, r.seq, r.quality) for r in readers.fastq(spark, p).collect()) == [("r1", "", ""), ("r2", "AC", "II"), ("r3", "", "")], k
     for bad in ("@r\nACG\n+\nII\n", "@r\nACG\n+\n", "@r\nACG\nIII\n@s\nA\n+\nI\n"):
         with pytest.raises(Exception, match="four lines"):
             readers.fastq(spark, write(tmp_path / "bad.fq", bad)).collect()
