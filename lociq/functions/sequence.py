@@ -1,8 +1,6 @@
 """Nucleotide sequences as columns. Positions are 0-based."""
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,45 +59,3 @@ def translated(seq: Column) -> Column:
     letter = lambda c: F.when(codon_index(c) > 0, F.substring(F.lit(AMINO_ACIDS), codon_index(c), F.lit(1))).otherwise("X")
     whole = F.array_join(F.transform(codons, letter), "")
     return F.when(F.length(seq) % 3 == 0, F.substring_index(whole, "*", 1)).otherwise("")
-
-
-def _let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f(value), with the value made once: lambda bodies don't share what is written in them twice."""
-    return F.element_at(F.transform(F.array(value), f), 1)
-
-
-def _starts(text: Column, motif: str, first: Column) -> Column:
-    """Starts of the motif's occurrences in a short text from the left, without overlap, counted from first. They are found from the gaps between them."""
-    lengths = lambda gaps: F.transform(F.slice(gaps, F.lit(1), F.size(gaps) - 1), lambda g: F.length(g).cast("long"))
-    ends = lambda gaps: F.aggregate(lengths(gaps), F.array(first - len(motif)), lambda a, g: F.concat(a, F.array(F.element_at(a, -1) + len(motif) + g)))
-    return _let(F.split(text, motif, -1), lambda gaps: F.when(F.size(gaps) > 1, _let(ends(gaps), lambda e: F.slice(e, F.lit(2), F.size(e) - 1))).otherwise(F.array().cast("array<bigint>")))
-
-
-def motif_starts(seq: Column, motif: str, window: int = 1024, back: int = 4096) -> Column:
-    """0-based starts of the motif's occurrences from the left, without overlap: an array of those in each window of the sequence.
-
-    Work grows with the sequence, not with its square. A motif that can overlap itself (period shorter than its length) has its window
-    begin where the chain of overlapping occurrences that reaches into it does, so that the same ones count as from the left end. The
-    chain is looked for in the `back` letters before, and in all of them where it fills these.
-    """
-    k = len(motif)
-    period = next((q for q in range(1, k) if motif[q:] == motif[: k - q]), k)
-    chain = f"(?:{motif[:period]})*(?:{'|'.join(motif[:i] for i in range(period - 1, 0, -1)) or motif[:period]})?$"
-
-    def part(raw: Column, at: Column, size: Column) -> Column:
-        return F.decode(F.substring(raw, (at + 1).cast("int"), size.cast("int")), "UTF-8")
-
-    def lead(raw: Column, at: Column) -> Column:
-        """Letters of a chain before at."""
-        length = lambda text: F.length(F.regexp_extract(text, chain, 0)).cast("long")
-        return _let(length(part(raw, F.greatest(at - back, F.lit(0)), F.least(at, F.lit(back)))), lambda near: F.when(near < back - k, near).otherwise(length(part(raw, F.lit(0), at))))
-
-    def of(raw: Column, at: Column) -> Column:
-        if period == k:
-            return _starts(part(raw, at, F.lit(window + k - 1)), motif, at)
-        found = lambda before: F.filter(_starts(part(raw, at - before, before + window + k - 1), motif, at - before), lambda s: (s >= at) & (s < at + window))
-        return _let(lead(raw, at), found)
-
-    # Letters are ASCII: places are bytes, which are cut without counting from the start. As a variable they are made once.
-    windows = lambda raw: F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.length(raw).cast("long") - 1, F.lit(0)), F.lit(window).cast("long")), lambda at: of(raw, at))
-    return _let(F.encode(seq, "UTF-8"), windows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import attributes as A
 from ..functions import coords, sequence
 from ..operators import annotation as ann
-from ..operators import counting, coverage, expression, intervals, metagene
+from ..operators import binning, counting, coverage, expression, intervals, metagene, motifs
 from ..operators import predictions as pred
 from . import views as V
 
@@ -129,6 +129,16 @@ def rrna_mask_antijoin(spark, d):
     return kept.groupBy("library", "chrom").agg(F.sum("n").alias("n"), F.sum(F.col("start0") * F.col("n")).alias("sum_start"))
 
 
+_BIN = "CASE " + " ".join(f"WHEN start0 >> {binning.shift_of(k)} = stop0 >> {binning.shift_of(k)} THEN {binning.first_bin(k)} + (start0 >> {binning.shift_of(k)})" for k in range(binning.LEVELS, 0, -1)) + " ELSE 0 END"
+
+
+@query("region_bins", f"SELECT chrom, {_BIN} AS region_bin, count(*) AS n FROM reads GROUP BY ALL")
+def region_bins(spark, d):
+    """Reads by the smallest bin of the region index that holds them."""
+    x = V.reads(spark, d).withColumn("region_bin", binning.bin_of(F.col("start0"), F.col("stop0")))
+    return x.groupBy("chrom", "region_bin").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("overlap_count_cds", f"SELECT f.id, count(*) AS pairs, cast(sum(least(stop0, f_stop0) - greatest(start0, f_start0) + 1) AS BIGINT) AS bases FROM reads r JOIN cds f ON {_OVER} WHERE nh <= 1 GROUP BY ALL")
 def overlap_count_cds(spark, d):
     pairs = counting.overlaps(packed(spark, d).where("nh <= 1"), cds(spark, d))
@@ -399,9 +409,7 @@ def _motif_sql(src: str) -> str:
 
 
 def _motifs(contigs: DataFrame) -> DataFrame:
-    each = F.array(*[F.struct(F.lit(m).alias("motif"), sequence.motif_starts(F.col("seq"), m).alias("starts")) for m in MOTIFS])
-    x = contigs.select("doc_id", F.explode(each).alias("x")).select("doc_id", "x.motif", F.explode("x.starts").alias("starts"))
-    return x.select("doc_id", "motif", F.explode("starts").alias("start0"))
+    return motifs.hits(contigs, MOTIFS, "doc_id")
 
 
 _RC = "(SELECT doc_id, reverse(translate(seq, 'ACGT', 'TGCA')) AS seq FROM genome)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import binning
 from . import schemas
 
 
@@ -107,8 +108,12 @@ def alignments_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def in_region(alignments: DataFrame, chrom: str, start0: int, stop0: int) -> DataFrame:
-    """Alignments that touch the closed region. Over sinks.alignments' layout only the chromosome's files, and in these the row groups of the place, are read."""
-    return alignments.where((F.col("chrom") == chrom) & (F.col("start0") <= stop0) & (F.col("end0") > start0))
+    """Alignments that touch the closed region. Over sinks.alignments' layout only the chromosome's files, and in these the row groups of the region's
+    bins, are read; other tables are filtered by place."""
+    hit = (F.col("chrom") == chrom) & (F.col("start0") <= stop0) & (F.col("end0") > start0)
+    if "region_bin" in alignments.columns:
+        hit = hit & binning.in_bins(F.col("region_bin"), binning.bins_of_region(start0, stop0))
+    return alignments.where(hit)
 
 
 def bed(spark: SparkSession, path: str) -> DataFrame:

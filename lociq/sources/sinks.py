@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import attributes
-from ..operators import coverage
+from ..operators import binning, coverage
 
 
 def gff3(df: DataFrame, path: str) -> None:
@@ -47,9 +47,17 @@ def bed6(features: DataFrame, path: str) -> None:
     x.repartitionByRange("chrom", "start").sortWithinPartitions("chrom", "start").write.csv(path, sep="\t")
 
 
-def alignments(reads: DataFrame, path: str) -> None:
-    """Reads by chromosome, sorted by place: a later read of a region opens its chromosome's files only."""
-    reads.repartitionByRange("chrom", "start0").sortWithinPartitions("chrom", "start0", "stop0").write.partitionBy("chrom").parquet(path)
+def alignments(reads: DataFrame, path: str, rows: int = 1_000_000) -> None:
+    """Reads in folders by chromosome, in files of at most `rows` rows that are sorted by bin, then place.
+
+    region_bin is the smallest bin of a hierarchy that holds the alignment, so a region's alignments, long ones included, lie in a handful of bins
+    and of row groups (readers.in_region).
+    """
+    x = reads.withColumn("region_bin", binning.bin_of(F.col("start0"), F.greatest("start0", F.col("end0") - 1)))
+    keys = ["chrom", "region_bin", "start0", "stop0"]
+    # Row groups of a few MB, so that statistics tell places apart.
+    writer = x.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("chrom")
+    writer.option("maxRecordsPerFile", rows).option("parquet.block.size", 1 << 23).parquet(path)
 
 
 def count_matrix(counts: DataFrame, path: str, libraries: list[str]) -> None:
