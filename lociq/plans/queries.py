@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import attributes as A
 from ..functions import coords, sequence
 from ..operators import annotation as ann
-from ..operators import binning, counting, coverage, expression, intervals, metagene, motifs
+from ..operators import binning, counting, coverage, expression, intervals, metagene, motifs, readprep
 from ..operators import predictions as pred
 from . import views as V
 
@@ -395,6 +395,62 @@ def metagene_wide(spark, d):
     return metagene.wide(_metagene(spark, d, "start", "threeprime"), coords.lengths("25-34")).withColumn("sum", F.col("sum").cast("long"))
 
 
+# Reads before alignment
+
+_CUT = """WITH p AS (SELECT id, seq, quality, unnest(range(1, len(seq) + 1)) AS i FROM fastq), s AS (SELECT *, sum(20 - (ord(substring(quality, i, 1)) - 33)) OVER (PARTITION BY id ORDER BY i DESC) AS s FROM p),
+    b AS (SELECT *, max(CASE WHEN s < 0 THEN i ELSE 0 END) OVER (PARTITION BY id) AS bad FROM s), g AS (SELECT id, i, s, max(s) OVER (PARTITION BY id) AS best FROM b WHERE i > bad),
+    c AS (SELECT id, max(i) - 1 AS stop FROM g WHERE s = best AND s > 0 GROUP BY id), t AS (SELECT f.id, substring(seq, 1, coalesce(stop, len(seq))) AS seq, substring(quality, 1, coalesce(stop, len(seq))) AS quality FROM fastq f LEFT JOIN c USING (id))"""
+
+
+@query("reads_quality_trimmed", _CUT + " SELECT * FROM t")
+def reads_quality_trimmed(spark, d):
+    return readprep.quality_trimmed(V.fastq(spark, d))
+
+
+@query("reads_prepared", _CUT + ", n AS (SELECT id, ltrim(rtrim(seq, 'N'), 'N') AS s, substring(quality, len(seq) - len(ltrim(seq, 'N')) + 1) AS q FROM t) SELECT id, s AS seq, substring(q, 1, len(s)) AS quality FROM n WHERE len(s) >= 10")
+def reads_prepared(spark, d):
+    return readprep.prepared(V.fastq(spark, d))
+
+
+@query("reads_without_adapters")
+def reads_without_adapters(spark, d):
+    """Two adapters of the far end and one of the near end, with edits."""
+    found = readprep.adapters("AGATCGGAAGAGC,ACGTATTACG") + readprep.adapters("GTTCAGAGTT", 5)
+    return readprep.adapter_trimmed(V.fastq(spark, d), found)
+
+
+@query("pairs_merged")
+def pairs_merged(spark, d):
+    return readprep.merged_pairs(*V.pairs(spark, d))
+
+
+@query("read_quality_positions", "SELECT i - 1 AS position, cast(ord(substring(quality, i, 1)) - 33 AS INTEGER) AS quality, substring(seq, i, 1) AS base, count(*) AS n FROM (SELECT *, unnest(range(1, len(seq) + 1)) AS i FROM fastq) GROUP BY ALL")
+def read_quality_positions(spark, d):
+    return readprep.by_position(V.fastq(spark, d))
+
+
+@query("read_quality_quantiles", """WITH p AS (SELECT i - 1 AS position, cast(ord(substring(quality, i, 1)) - 33 AS INTEGER) AS q FROM (SELECT *, unnest(range(1, len(seq) + 1)) AS i FROM fastq)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY q) AS r, count(*) OVER (PARTITION BY position) AS n FROM p)
+    SELECT position, count(*) AS n, round(avg(q), 6) AS mean, min(q) FILTER (r >= 0.1 * n) AS q10, min(q) FILTER (r >= 0.25 * n) AS q25, min(q) FILTER (r >= 0.5 * n) AS q50, min(q) FILTER (r >= 0.75 * n) AS q75, min(q) FILTER (r >= 0.9 * n) AS q90 FROM r GROUP BY position""")
+def read_quality_quantiles(spark, d):
+    return readprep.quality_quantiles(readprep.by_position(V.fastq(spark, d))).withColumn("mean", r6("mean"))
+
+
+@query("read_content", "WITH c AS (SELECT len(seq) AS length, len(seq) - len(translate(seq, 'GC', '')) AS gc, len(seq) - len(translate(seq, 'AT', '')) AS rest FROM fastq) SELECT cast(coalesce(round(100 * gc / nullif(gc + rest, 0)), -1) AS INTEGER) AS gc, cast(length AS INTEGER) AS length, count(*) AS n FROM c GROUP BY ALL")
+def read_content(spark, d):
+    return readprep.content(V.fastq(spark, d)).withColumn("gc", F.coalesce("gc", F.lit(-1)))
+
+
+@query("read_heavy_sequences", "SELECT seq, count(*) AS n FROM fastq GROUP BY seq HAVING count(*) > 0.0005 * (SELECT count(*) FROM fastq)")
+def read_heavy_sequences(spark, d):
+    return readprep.heavy_sequences(V.fastq(spark, d), 0.0005)
+
+
+@query("read_duplication", "SELECT n AS level, count(*) AS sequences, cast(sum(n) AS BIGINT) AS reads FROM (SELECT seq, count(*) AS n FROM fastq GROUP BY seq) GROUP BY n")
+def read_duplication(spark, d):
+    return readprep.duplication(V.fastq(spark, d))
+
+
 # Sequences
 
 _POSITIONS = "(SELECT doc_id, seq, unnest(range(1, greatest(len(seq), 1) - {k} + 2)) AS i FROM {src}) WHERE substring(seq, i, {k}) = '{m}'"

@@ -8,6 +8,10 @@ CLASSES = {"CDS": "CDS", "gene": "gene", "rRNA": "rRNA", "tRNA": "tRNA", "sRNA":
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTACACGTACGTACGTACGTACGTACGTAC")
 
 
+#: Letters of a read, and the qualities that small and capital letters stand for.
+PIECE, QUALITIES = 100, "".join(chr(48 + 9 * i % 26) for i in range(26)) + "+" * 26
+
+
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -45,6 +49,23 @@ def genome(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "documents").select("doc_id", F.regexp_replace(F.translate("text", *LETTERS), "[^ACGT]", "").alias("seq"))
 
 
+def fastq(spark: SparkSession, d: str) -> DataFrame:
+    """Reads: pieces of the texts, with qualities by their letters."""
+    at = F.sequence(F.lit(0), F.length("text") - 1, F.lit(PIECE))
+    x = _table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", "text", F.explode(at).alias("i"))
+    piece = F.substring(F.col("text"), F.col("i") + 1, F.lit(PIECE))
+    seq = F.regexp_replace(F.translate(piece, *LETTERS), "[^ACGT]", "N")
+    quality = F.translate(F.regexp_replace(piece, "[^A-Za-z]", "#"), LETTERS[0], QUALITIES)
+    return x.select(F.concat_ws("-", "doc_id", "i").alias("id"), seq.alias("seq"), quality.alias("quality"))
+
+
+def pairs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The first and the last 60 bases of each read, the last as read from the other strand."""
+    x = fastq(spark, d)
+    mate = F.reverse(F.translate(F.substring("seq", 41, 60), "ACGT", "TGCA"))
+    return x.select("id", F.substring("seq", 1, 60).alias("seq"), F.substring("quality", 1, 60).alias("quality")), x.select("id", mate.alias("seq"), F.reverse(F.substring("quality", 41, 60)).alias("quality"))
+
+
 def predictions(spark: SparkSession, d: str) -> DataFrame:
     orders = _table(spark, d, "orders")
     x = orders.join(annotation(spark, d), F.col("o_custkey") == F.col("k"))
@@ -75,6 +96,8 @@ SQL = {
     "features": "SELECT id, feature, chrom, strand, start1 - 1 AS f_start0, stop1 - 1 AS f_stop0, locus_tag FROM annotation",
     "cds": "SELECT * FROM features WHERE feature = 'CDS'",
     "genome": f"SELECT doc_id, regexp_replace(translate(text, '{LETTERS[0]}', '{LETTERS[1]}'), '[^ACGT]', '', 'g') AS seq FROM documents",
+    "fastq": f"""SELECT concat(doc_id, '-', i) AS id, regexp_replace(translate(piece, '{LETTERS[0]}', '{LETTERS[1]}'), '[^ACGT]', 'N', 'g') AS seq, translate(regexp_replace(piece, '[^A-Za-z]', '#', 'g'), '{LETTERS[0]}', '{QUALITIES}') AS quality
+        FROM (SELECT doc_id, i, substring(text, i + 1, {PIECE}) AS piece FROM (SELECT doc_id, text, unnest(range(0, len(text), {PIECE})) AS i FROM documents))""",
     "predictions": """SELECT a.chrom, a.start1, a.stop1 + CASE WHEN o_custkey % 4 = 0 THEN 3 ELSE 0 END AS stop1, a.strand, o_orderstatus AS cond, 1 + o_orderkey % 2 AS rep,
         o_totalprice / 1000 - 200 AS pred, CASE WHEN o_orderpriority = '1-URGENT' THEN -1 ELSE 0 END AS dist, o_orderkey FROM orders JOIN annotation a ON a.k = o_custkey""",
     "de_results": """SELECT a.id, a.chrom, a.start1, a.stop1, a.strand, event_type AS contrast, round(value / 50 - 2, 6) AS log2fc, (event_id % 1000) / 1000 AS padj, event_id
