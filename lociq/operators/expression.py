@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranking
+
 
 def efficiency(ribo: Column, rna: Column) -> Column:
     """ribo / rna; null where rna is 0."""
@@ -57,18 +59,11 @@ def placed(results: DataFrame, annotation: DataFrame) -> DataFrame:
     return results.join(a, "id", "left").withColumn("place", place).drop("a").select(*results.columns, "place.*")
 
 
-def sorted_results(results: DataFrame, group: str, order: str, bands: int = 100) -> DataFrame:
-    """results with place: their number within the group by the adjusted p-value padj, missing ones last, then locus, then order.
-
-    Rows are numbered within bands of p-values, and each band starts after the rows of the better ones.
-    """
-    from .predictions import LOCUS, banded
+def sorted_results(results: DataFrame, group: str, order: str) -> DataFrame:
+    """results with place: their number within the group by the adjusted p-value padj, missing ones last, then locus, then order. Tied p-values are spread over tasks too."""
+    from .predictions import LOCUS
 
-    x = banded(results, "padj", bands).withColumn("band", F.when(F.col("padj").isNull(), bands).otherwise(F.col("band")))
-    within = Window.partitionBy(group, "band").orderBy(F.asc_nulls_last("padj"), *LOCUS, order)
-    sizes = x.groupBy(group, "band").agg(F.count(F.lit(1)).alias("n"))  # a row a group and band
-    before = sizes.select(group, "band", F.coalesce(F.sum("n").over(Window.partitionBy(group).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("n0"))
-    return x.withColumn("i", F.row_number().over(within)).join(before, [group, "band"]).withColumn("place", (F.col("i") + F.col("n0")).cast("long")).drop("band", "i", "n0")
+    return ranking.ranked(results, [group], [F.asc_nulls_last("padj"), *map(F.col, LOCUS), F.col(order)], "place")
 
 
 def ratio_columns(samples: list[tuple[str, str, str]]) -> list[str]:
@@ -120,9 +115,7 @@ def correlations(values: DataFrame, key: str, value: str) -> DataFrame:
 
 def bin_ranks(values: DataFrame, key: str, value: str) -> DataFrame:
     """Adds rank: the mean rank among the library's keys, ties shared."""
-    w = Window.partitionBy("library").orderBy(value)
-    tied = F.count(F.lit(1)).over(Window.partitionBy("library", value))
-    return values.withColumn("rank", F.rank().over(w) + (tied - 1) / 2)
+    return ranking.mean_ranked(values, ["library"], value)
 
 
 def most_variable(values: DataFrame, key: str, value: str, k: int) -> DataFrame:

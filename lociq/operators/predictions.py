@@ -3,9 +3,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ranking
+
 LOCUS = ["chrom", "start1", "stop1", "strand"]
 
 
@@ -34,28 +36,11 @@ def collapsed_by_id(calls: DataFrame, order: str, keep: list[str]) -> DataFrame:
     return out.select("id", "evidence", "orf_type", "prob", *[F.col(f"first.{c}").alias(c) for c in keep])
 
 
-def banded(df: DataFrame, column: str, bands: int) -> DataFrame:
-    """df with band: how many of the column's approximate quantiles a row's value exceeds, so that bands have nearly equal numbers of rows, however skewed, but for ties."""
-    edges = df.agg(F.percentile_approx(F.col(column), [i / bands for i in range(1, bands)], 10 * bands)).scalar()
-    return df.withColumn("edges", edges).withColumn("band", F.size(F.filter("edges", lambda e: e < F.col(column)))).drop("edges")
-
-
-def ranked(loci: DataFrame, bands: int = 100) -> DataFrame:
-    """pred_rank by falling score (ties by locus), and novel_rank among the loci with dist -1, else null.
-
-    Rows are numbered within bands of scores, and each band starts after the rows of the better ones, so no task holds all.
-    """
-    x = banded(loci, "pred", bands)
-    x = x.withColumn("band", F.when(F.col("pred").isNull(), bands).otherwise(bands - 1 - F.col("band")))
-    order = [F.desc_nulls_last("pred"), *LOCUS]
-    novel = (F.col("dist") == -1).cast("long")
-    within = Window.partitionBy("band").orderBy(*order)
-    x = x.withColumn("i", F.row_number().over(within)).withColumn("j", F.sum(F.coalesce(novel, F.lit(0))).over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    sizes = x.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(novel, F.lit(0))).alias("m"))  # at most bands + 2 rows
-    earlier = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("band", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("m0"))
-    x = x.join(F.broadcast(before), "band")
-    return x.withColumn("pred_rank", (F.col("i") + F.col("n0")).cast("long")).withColumn("novel_rank", F.when(F.col("dist") == -1, F.col("j") + F.col("m0"))).drop("band", "i", "j", "n0", "m0")
+def ranked(loci: DataFrame) -> DataFrame:
+    """pred_rank by falling score (ties by locus), and novel_rank among the loci with dist -1, else null. No task holds all rows, or all of a score."""
+    novel = F.col("dist") == -1
+    out = ranking.ranked(loci, [], [F.desc_nulls_last("pred"), *map(F.col, LOCUS)], "pred_rank", {"novel_rank": novel})
+    return out.withColumn("novel_rank", F.when(novel, F.col("novel_rank")))
 
 
 def united(parts: list[DataFrame]) -> DataFrame:

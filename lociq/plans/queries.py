@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import attributes as A
 from ..functions import coords, sequence
 from ..operators import annotation as ann
-from ..operators import binning, counting, coverage, expression, intervals, metagene, motifs, readprep
+from ..operators import binning, counting, coverage, expression, intervals, metagene, motifs, ranking, readprep
 from ..operators import predictions as pred
 from . import views as V
 
@@ -731,6 +731,13 @@ def deltate_inner3(spark, d):
     return expression.all_three(**{k: one.where(F.col("contrast") == c).drop("contrast") for k, c in _SIDES.items()})
 
 
+@query("de_adjusted", """WITH r AS (SELECT *, row_number() OVER (PARTITION BY contrast ORDER BY padj) AS k, count(padj) OVER (PARTITION BY contrast) AS m FROM de_results)
+    SELECT contrast, event_id, round(least(1.0, min(padj * m / k) OVER (PARTITION BY contrast ORDER BY k DESC)), 6) AS adjusted FROM r""")
+def de_adjusted(spark, d):
+    """The step-up adjustment of a contrast's p-values."""
+    return ranking.step_up(V.de_results(spark, d), "padj", ["contrast"], "adjusted").select("contrast", "event_id", r6("adjusted").alias("adjusted"))
+
+
 @query("de_sorted", "SELECT contrast, row_number() OVER (PARTITION BY contrast ORDER BY padj NULLS LAST, chrom, start1, stop1, strand, event_id) AS place, event_id FROM de_results")
 def de_sorted(spark, d):
     return expression.sorted_results(V.de_results(spark, d), "contrast", "event_id").select("contrast", "place", "event_id")
