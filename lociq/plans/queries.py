@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import attributes as A
 from ..functions import coords, sequence
 from ..operators import annotation as ann
-from ..operators import binning, counting, coverage, expression, intervals, metagene, motifs, ranking, readprep
+from ..operators import binning, counting, countmodels, coverage, curves, expression, intervals, metagene, motifs, pyramid, ranking, readprep
 from ..operators import predictions as pred
+from ..tables import stored
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,6 +332,18 @@ def bedgraph_runs(spark, d):
     return intervals.runs_of_depth(V.reads(spark, d), ["chrom", "strand"], ("start0", "stop0"), "n")
 
 
+_RUNS = """WITH e AS (SELECT chrom, strand, start0 AS p, 1 AS d FROM reads UNION ALL SELECT chrom, strand, stop0 + 1, -1 FROM reads), s AS (SELECT chrom, strand, p, sum(d) AS d FROM e GROUP BY ALL HAVING sum(d) <> 0),
+    w AS (SELECT chrom, strand, p, sum(d) OVER o AS depth, lead(p) OVER o AS nxt FROM s WINDOW o AS (PARTITION BY chrom, strand ORDER BY p)), u AS (SELECT chrom, strand, p AS start0, nxt - 1 AS stop0, cast(depth AS DOUBLE) AS depth FROM w WHERE depth <> 0)"""
+
+
+@query("track_pyramid", _RUNS + """, c AS (SELECT *, unnest(range(start0 // w, stop0 // w + 1)) AS tile FROM (SELECT *, 64 << level AS w FROM (SELECT *, unnest(range(0, 16)) AS level FROM u))),
+    n AS (SELECT *, least(stop0, (tile + 1) * w - 1) - greatest(start0, tile * w) + 1 AS n FROM c)
+    SELECT cast(level AS INTEGER) AS level, chrom, strand, tile, cast(sum(n) AS BIGINT) AS count, min(depth) AS least, max(depth) AS greatest, sum(depth * n) AS total, sum(depth * depth * n) AS squares FROM n GROUP BY ALL""")
+def track_pyramid(spark, d):
+    runs = intervals.runs_of_depth(V.reads(spark, d), ["chrom", "strand"], ("start0", "stop0"), "n")
+    return pyramid.levels(runs, ["chrom", "strand"])
+
+
 @query("asite_occupancy", "SELECT library, chrom, strand, CASE WHEN strand = '+' THEN start0 + read_length - 11 ELSE start0 + 10 END AS pos, count(*) AS cnt FROM reads WHERE flag IN (0, 16) GROUP BY ALL")
 def asite_occupancy(spark, d):
     return coverage.a_sites(packed(spark, d))
@@ -825,3 +838,58 @@ def pca_scores(spark, d):
     v = _counts(spark, d).withColumn("v", F.log1p("cnt"))
     top = [r[0] for r in expression.most_variable(v, "id", "v", 500).collect()]  # 500 at most
     return expression.principal_components(v, "id", "v", top)
+
+
+# Count models
+
+#: Intercept, method, two conditions, and how much more the conditions change one method than the other.
+_DESIGN = {f"{m}-{c}-{r}": [1.0, float(m == "RIBO"), float(c == "N"), float(c == "R"), float(m == "RIBO" and c == "N"), float(m == "RIBO" and c == "R")] for m in ("RIBO", "RNA") for c in ("A", "N", "R") for r in ("1", "2")}
+
+
+def _gene_counts(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, float]]:
+    counts = counting.count_all_overlaps(packed(spark, d), V.features(spark, d)).groupBy("id", "library").agg(F.sum("cnt").alias("cnt"))
+    counts = stored(counts)
+    found = {r.library: r.size_factor for r in expression.size_factors(counts, len(_DESIGN)).collect()}  # a row a library
+    return counts, {c: found.get(c, 1.0) for c in _DESIGN}
+
+
+@query("count_dispersions")
+def count_dispersions(spark, d):
+    """Each gene's own, expected and shrunken dispersion."""
+    return countmodels.shrunken(*_with_design(*_gene_counts(spark, d)))
+
+
+def _with_design(counts: DataFrame, factors: dict[str, float]) -> tuple:
+    return counts, _DESIGN, factors
+
+
+@query("count_models_tested")
+def count_models_tested(spark, d):
+    """Whether a condition changes the methods' ratio, by gene, with adjusted p-values."""
+    out = countmodels.tested(*_with_design(*_gene_counts(spark, d)), column=4)
+    return ranking.step_up(out, "p")
+
+
+@query("counts_stabilised")
+def counts_stabilised(spark, d):
+    counts, factors = _gene_counts(spark, d)
+    a0, a1 = countmodels.trend(countmodels.gene_dispersions(counts, _DESIGN, factors))
+    size = F.create_map(*[F.lit(x) for c, f in factors.items() for x in (c, f)])
+    return counts.select("id", "library", countmodels.stabilised(F.col("cnt") / size[F.col("library")], a0, a1).alias("value"))
+
+
+@query("s_curve_cutoffs")
+def s_curve_cutoffs(spark, d):
+    """Least expression and coverage of genes, where the curve of covered share over log expression begins to rise, and where it ends."""
+    genes = cds(spark, d)
+    total = F.lit(V.reads(spark, d).where(counting.mapped()).count())  # one number
+    reads = packed(spark, d)
+    counts = counting.count_all_overlaps(reads, genes, multi=True).groupBy("id").agg(F.sum("cnt").alias("cnt"))
+    runs = intervals.runs_of_depth(reads, ["chrom", "strand"], ("start0", "stop0"), "n")
+    size = F.least("stop0", "f_stop0") - F.greatest("start0", "f_start0") + 1
+    covered = intervals.overlap_join(runs, genes, ["chrom", "strand"], ("start0", "stop0"), ("f_start0", "f_stop0")).groupBy("id").agg(F.sum(size).alias("covered"))
+    length = F.col("f_stop0") - F.col("f_start0") + 1
+    x = genes.join(counts, "id").join(covered, "id").select(F.log2(F.col("cnt") * 1e9 / (total * length)).alias("x"), (F.col("covered") / length).alias("y"))
+    c = curves.fitted(x)
+    rows = [(*map(float, (c.low, c.high, c.slope, c.middle)), *(v for p in c.bends() for v in p))] if c else []
+    return spark.createDataFrame(rows, "low double, high double, slope double, middle double, rise_x double, rise_y double, end_x double, end_y double")
