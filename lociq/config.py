@@ -1,6 +1,8 @@
 """Settings of a run, and their checks."""
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -59,6 +61,95 @@ class Settings:
         return out
 
 
+def _within(low: float, high: float = float("inf"), inside: bool = False) -> tuple[str, Callable]:
+    return f"isn't {'between' if inside else 'within'} {low} and {high}", (lambda v: low < v < high) if inside else (lambda v: low <= v <= high)
+
+
+def _one_of(*known: str) -> tuple[str, Callable]:
+    return f"isn't one of {', '.join(known)}", lambda v: v.lower() in known
+
+
+_SWITCH = (str, *_one_of("on", "off"))
+_FILE = ("file", "isn't a file", None)
+_LENGTHS = (str, "isn't a list of lengths", lambda v: bool(v) and bool(lengths(v)))
+#: Sections and keys of a settings file. A key has its kind, what is wrong otherwise, and what its value, or each value of a list, must fulfil.
+KEYS: dict[str, dict[str, tuple]] = {
+    "biologySettings": {**{k: (str, "", None) for k in ("adapterS3", "adapterS5", "adapterP3R1", "adapterP5R1", "adapterP3R2", "adapterP5R2")}, "genome": _FILE, "annotation": _FILE, "samples": _FILE, "alternativeStartCodons": (list, "isn't a codon", lambda v: bool(re.fullmatch("[ACGT]{3}", v)))},
+    "differentialExpressionSettings": {"differentialExpression": _SWITCH, "features": (list, "", None), "contrasts": (list, "isn't a pair of conditions", lambda v: v.count("-") == 1), "padjCutoff": (float, *_within(0, 1, inside=True)), "log2fcCutoff": (float, *_within(0))},
+    "predictionSettings": {"deepribo": _SWITCH},
+    "readstatSettings": {"readLengths": _LENGTHS},
+    "metageneSettings": {
+        "positionsOutsideORF": (int, *_within(0)), "positionsInORF": (int, *_within(0)), "filteringMethods": (list, *_one_of(*FILTERS)), "neighboringGenesDistance": (int, *_within(0)), "rpkmThreshold": (float, *_within(0)), "lengthCutoff": (int, *_within(0)),
+        "mappingMethods": (list, *_one_of(*STYLES)), "readLengths": _LENGTHS, "normalizationMethods": (list, *_one_of(*NORMS)), "outputFormats": (list, *_one_of("interactive", "svg", "png", "pdf", "jpg")), "includePlotlyJS": (str, *_one_of("integrated", "online", "local")), "colorList": (list, "", None),
+    },
+    "workflowSettings": {"workflow": (str, *_one_of(*WORKFLOWS))},
+}
+#: Where a key's value goes in Settings.
+FIELDS = {
+    "differentialExpression": "differential_expression", "features": "features", "contrasts": "contrasts", "padjCutoff": "padj_cutoff", "log2fcCutoff": "log2fc_cutoff", "readstatSettings.readLengths": "read_lengths", "positionsOutsideORF": "positions_outside", "positionsInORF": "positions_inside",
+    "filteringMethods": "filtering", "neighboringGenesDistance": "neighbour_distance", "rpkmThreshold": "rpkm_threshold", "lengthCutoff": "length_cutoff", "mappingMethods": "mapping_styles", "metageneSettings.readLengths": "metagene_lengths", "normalizationMethods": "normalisation", "workflow": "workflow",
+}
+
+
+def file_problems(settings: dict, conditions: list[str] | None = None, exists: Callable[[str], bool] | None = None) -> list[str]:
+    """What is wrong with a settings file's contents: missing sections and keys, kinds, values, files that exists() denies, contrasts of other conditions."""
+    out = []
+    for section, keys in KEYS.items():
+        held = settings.get(section)
+        if not isinstance(held, dict):
+            out.append(f"{section}: missing")
+            continue
+        for key, (kind, text, good) in keys.items():
+            name = f"{section}.{key}"
+            if key not in held:
+                out.append(f"{name}: missing")
+                continue
+            value = held[key]
+            if not isinstance(value, str if kind == "file" else kind) or isinstance(value, bool):
+                out.append(f"{name}: {value!r} isn't of type {'str' if kind == 'file' else kind.__name__}")
+                continue
+            if kind == "file":
+                out += [f"{name}: {value} {text}"] if exists and not exists(value) else []
+            for one in value if kind is list else [value]:
+                if kind is list and not isinstance(one, str):
+                    out.append(f"{name}: {one!r} isn't of type str")
+                    continue
+                try:
+                    fine = good is None or kind == "file" or good(one)
+                except ValueError:
+                    fine = False
+                if not fine:
+                    out.append(f"{name}: {one} {text}")
+    de = settings.get("differentialExpressionSettings")
+    if isinstance(de, dict):
+        if de.get("features") == []:
+            out.append("differentialExpressionSettings.features: none given")
+        if conditions is not None and isinstance(de.get("contrasts"), list):
+            known = set(conditions)
+            out += [f"differentialExpressionSettings.contrasts: {c} has an unknown condition" for c in de["contrasts"] if isinstance(c, str) and c.count("-") == 1 and set(c.split("-")) - known]
+    return out
+
+
+def loaded(settings: dict) -> Settings:
+    """Settings of a settings file's contents; what it lacks keeps its default."""
+    out = Settings()
+    for section, held in settings.items():
+        for key, value in held.items() if isinstance(held, dict) else ():
+            name = FIELDS.get(f"{section}.{key}") or (FIELDS.get(key) if section in KEYS and key in KEYS[section] else None)
+            if name:
+                value = value.lower() == "on" if name == "differential_expression" and isinstance(value, str) else value
+                setattr(out, name, [v.lower() for v in value] if name in ("filtering", "mapping_styles", "normalisation") else value)
+    return out
+
+
+def read_file(path: str) -> dict:
+    """The contents of a YAML settings file."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        return yaml.safe_load(f) or {}
+
+
 def sample_problems(samples: DataFrame) -> DataFrame:
     """method, condition, replicate, problem of each bad row of the sample sheet."""
     checks = [

@@ -123,3 +123,14 @@ def genes_of_gtf(rows: DataFrame) -> DataFrame:
     stop = F.when(orphan & (strand == "+"), high + 3).otherwise(high)
     parts = F.filter(F.array(F.lit("gene"), F.when(F.col("CDS_start1").isNotNull(), F.lit("CDS")), F.when(F.col("RNA_start1").isNotNull(), F.lit("RNA"))), lambda p: p.isNotNull())
     return x.select("gene_id", F.explode(parts).alias("feature"), chrom.alias("chrom"), start.alias("start1"), stop.alias("stop1"), strand.alias("strand"))
+
+
+def with_parent(df: DataFrame, columns: list[str], id_col: str = "id", parent_col: str = "parent") -> DataFrame:
+    """All rows of df with their direct parent's columns as parent_...; of a parent's several rows the least by columns counts."""
+    up = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__up")).agg(F.min(F.struct(*columns)).alias("__p"))
+    return df.join(up, F.col(parent_col) == F.col("__up"), "left").select(*df.columns, *[F.col(f"__p.{c}").alias(f"parent_{c}") for c in columns])
+
+
+def annotated(df: DataFrame, attrs: str = "attrs", names: tuple[str, ...] = ("locus_tag", "name", "gene_name", "old_locus_tag")) -> DataFrame:
+    """The rows of which one of the named attributes at least isn't empty."""
+    return df.where(A.first_of(attrs, *names).isNotNull())

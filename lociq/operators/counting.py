@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import overlap_join
+from .intervals import overlap_join, runs_of_depth
 
 READ = ["library", "chrom", "strand", "start0", "stop0", "read_length", "nh", "flag"]
 
@@ -75,10 +75,21 @@ def count_by_style(reads: DataFrame, genes: DataFrame, style: str) -> DataFrame:
     return genes.select("id").join(counts, "id", "left").select("id", F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
-def outside(reads: DataFrame, mask: DataFrame) -> DataFrame:
-    """Reads that overlap no masked feature, on whichever strand."""
-    m = mask.select("chrom", F.col("f_start0").alias("m0"), F.col("f_stop0").alias("m1")).distinct()
-    return overlap_join(reads, m, ["chrom"], ("start0", "stop0"), ("m0", "m1"), how="left_anti")
+def outside(reads: DataFrame, mask: DataFrame, size: int = 4096) -> DataFrame:
+    """Reads that overlap no masked feature, on whichever strand; rows with a null chrom or end overlap none.
+
+    The mask becomes disjoint stretches, listed in the bins that they touch and the one behind, so a read of at most `size` bases looks into the list of its last base's bin
+    only: it's neither entered in several bins nor joined twice. A list has at most as many stretches as a bin has bases. Longer reads take the general join.
+    """
+    m = mask.select("chrom", F.col("f_start0").alias("m0"), F.col("f_stop0").alias("m1"), F.lit(1).cast("long").alias("w"))
+    m = runs_of_depth(m.where("m1 >= m0"), ["chrom"], ("m0", "m1"), "w").select("chrom", F.col("start0").alias("m0"), F.col("stop0").alias("m1"))
+    bins = F.explode(F.sequence(F.floor(F.col("m0") / size), F.floor(F.col("m1") / size) + 1))
+    lists = m.withColumn("__bin", bins).groupBy("chrom", "__bin").agg(F.collect_list(F.struct("m0", "m1")).alias("__m"))
+    wide = F.coalesce(F.col("stop0") - F.col("start0") >= size, F.lit(False))
+    short = reads.where(~wide).withColumn("__bin", F.floor(F.col("stop0") / size)).join(lists, ["chrom", "__bin"], "left")
+    hit = F.exists("__m", lambda x: (x["m0"] <= F.col("stop0")) & (x["m1"] >= F.col("start0")) & (F.col("stop0") >= F.col("start0")))
+    kept = short.where(~F.coalesce(hit, F.lit(False))).select(*reads.columns)
+    return kept.unionByName(overlap_join(reads.where(wide), m, ["chrom"], ("start0", "stop0"), ("m0", "m1"), how="left_anti"))
 
 
 def totals(reads: DataFrame) -> DataFrame:

@@ -152,3 +152,40 @@ def histogram(counts: DataFrame, bins: int) -> DataFrame:
     x = counts.join(F.broadcast(top))
     b = F.least(F.floor(F.col("cnt") * bins / F.greatest("top", F.lit(1e-9))), F.lit(bins - 1)).cast("long")
     return x.groupBy("library", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sample_meta(samples: DataFrame) -> DataFrame:
+    """name (method_condition_replicate), sampletype (method_condition), expr (condition) of each sample."""
+    return samples.select(F.concat_ws("_", "method", "cond", "rep").alias("name"), F.concat_ws("_", "method", "cond").alias("sampletype"), F.col("cond").alias("expr"))
+
+
+#: What tracks are made of, and methods whose reads are footprints of ribosomes.
+TRACK_STYLES, TRACK_NORMS, TRACK_STRANDS, FOOTPRINTS = ("global", "centered", "fiveprime", "threeprime"), ("raw", "mil", "min"), ("fwd", "rev"), ("RIBO", "TIS", "TTS")
+
+
+def track_list(samples: DataFrame) -> DataFrame:
+    """track, style, norm, library, strand: every track of every sample(library)."""
+    every = lambda values: F.explode(F.array(*map(F.lit, values)))
+    x = samples.select("library").distinct().withColumn("style", every(TRACK_STYLES)).withColumn("norm", every(TRACK_NORMS)).withColumn("strand", every(TRACK_STRANDS))
+    return x.select(F.concat_ws(".", "library", "norm", "strand", "style").alias("track"), "style", "norm", "library", "strand")
+
+
+def footprints(samples: DataFrame) -> DataFrame:
+    """Samples that profiles are made of."""
+    return samples.where(F.col("method").isin(*FOOTPRINTS))
+
+
+def of_result_file(path: Column) -> Column:
+    """(contrast, tool) of a result file named contrast_tool... or contrast alone (tool null)."""
+    parts = F.split(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", ""), "_")
+    return F.struct(F.nullif(parts[0], F.lit("")).alias("contrast"), F.get(parts, F.lit(1)).alias("tool"))
+
+
+def file_name(path: Column) -> Column:
+    """What follows the last / of a path; null for null and empty ones."""
+    return F.nullif(F.element_at(F.split(path, "/"), -1), F.lit(""))
+
+
+def by_score(calls: DataFrame, score: str, ties: list[str]) -> DataFrame:
+    """calls with place: their number by rising score, missing ones first, then by ties, a total order."""
+    return ranking.ranked(calls, [], [F.asc_nulls_first(score), *map(F.col, ties)], "place")

@@ -119,6 +119,49 @@ def read_length_selected(spark, d):
     return V.reads(spark, d).where(F.col("read_length").isin(coords.lengths("22,23,27,35-34"))).groupBy("library", "read_length").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("sample_meta", "SELECT DISTINCT concat_ws('_', method, cond, rep) AS name, concat_ws('_', method, cond) AS sampletype, cond AS expr FROM reads")
+def sample_meta(spark, d):
+    return expression.sample_meta(V.reads(spark, d)).distinct()
+
+
+@query("track_list", "SELECT concat(library, '.', norm, '.', strand, '.', style) AS track, style, norm, library, strand FROM (SELECT DISTINCT library FROM reads), (SELECT unnest(['global', 'centered', 'fiveprime', 'threeprime']) AS style), (SELECT unnest(['raw', 'mil', 'min']) AS norm), (SELECT unnest(['fwd', 'rev']) AS strand)")
+def track_list(spark, d):
+    return expression.track_list(V.reads(spark, d))
+
+
+@query("footprint_reads", "SELECT library, count(*) AS n FROM reads WHERE method IN ('RIBO', 'TIS', 'TTS') GROUP BY ALL")
+def footprint_reads(spark, d):
+    return expression.footprints(V.reads(spark, d)).groupBy("library").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("page_files", "SELECT page_id, nullif(regexp_extract(url, '[^/]*$'), '') AS file FROM pages")
+def page_files(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", expression.file_name(F.col("url")).alias("file"))
+
+
+@query("result_files", "SELECT event_type AS contrast, concat('tool', event_id % 3) AS tool, count(*) AS n FROM events GROUP BY ALL")
+def result_files(spark, d):
+    """Contrast and tool from the names of files."""
+    name = F.concat(F.lit("results/"), F.col("event_type"), F.lit("_tool"), F.col("event_id") % 3, F.lit("_sorted.csv"))
+    x = spark.read.parquet(f"{d}/events.parquet").select(expression.of_result_file(name).alias("x"))
+    return x.groupBy("x.contrast", "x.tool").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("child_parent", "SELECT a.id, a.parent, p.feature AS parent_feature, coalesce(p.start1, -1) AS parent_start1 FROM annotation a LEFT JOIN annotation p ON a.parent = p.id")
+def child_parent(spark, d):
+    return ann.with_parent(V.annotation(spark, d), ["feature", "start1"]).select("id", "parent", "parent_feature", F.coalesce("parent_start1", F.lit(-1)).alias("parent_start1"))
+
+
+@query("annotated_subset", "SELECT id FROM annotation WHERE k % 3 = 0 OR p_name <> ''")
+def annotated_subset(spark, d):
+    return ann.annotated(V.annotation(spark, d).withColumn("attrs", A.gff3("attributes"))).select("id")
+
+
+@query("predictions_by_score", "SELECT o_orderkey, row_number() OVER (ORDER BY pred NULLS FIRST, o_orderkey) AS place FROM predictions")
+def predictions_by_score(spark, d):
+    return expression.by_score(V.predictions(spark, d), "pred", ["o_orderkey"]).select("o_orderkey", "place")
+
+
 # Interval joins and counts
 
 _OVER = "r.chrom = f.chrom AND r.strand = f.strand AND start0 <= f_stop0 AND stop0 >= f_start0"

@@ -156,3 +156,8 @@ def feature_counts(spark: SparkSession, path: str, libraries: list[str]) -> Data
     parts = F.arrays_zip(*[F.split(c, ";").alias(c) for c in ("chrom", "start", "stop", "strand")])
     x = x.withColumn("p", F.explode(parts)).select("id", "p.chrom", F.col("p.start").cast("long").alias("start"), F.col("p.stop").cast("long").alias("stop"), "p.strand", "length", *[F.col(f"`{c}`") for c in libraries])
     return x.unpivot(["id", "chrom", "start", "stop", "strand", "length"], [F.col(f"`{c}`") for c in libraries], "library", "cnt")
+
+
+def sheet(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A sheet of a folder that sinks.sheets has written; only its files are read."""
+    return spark.read.parquet(path).where(F.col("sheet") == name).drop("sheet")

@@ -25,14 +25,18 @@ def tsv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def sheets(df: DataFrame, path: str, sheet: str = "sheet") -> None:
-    """A folder of Parquet files for each sheet."""
-    df.repartition(sheet).write.partitionBy(sheet).parquet(path)
+    """A folder of Parquet files for each sheet (readers.sheet). Large sheets are several files."""
+    df.hint("rebalance", sheet).write.partitionBy(sheet).parquet(path)
 
 
 def wiggle(tracks: DataFrame, path: str) -> None:
-    """variableStep text, in folders by library and strand."""
-    blocks = coverage.wiggle(tracks).repartition("library", "strand", "chrom").sortWithinPartitions("library", "strand", "chrom", "part")
-    blocks.select("library", "strand", F.col("block").alias("value")).write.partitionBy("library", "strand").text(path)
+    """variableStep text, in folders by library and strand. Files are ranges of places in the order of their names; the track line begins the first of a folder."""
+    blocks = coverage.wiggle(tracks).select("library", "strand", F.lit(1).alias("k"), "chrom", "part", F.col("block").alias("value"))
+    name = F.concat(F.lit('track type=wiggle_0 name="'), F.col("library"), F.lit(" "), F.col("strand"), F.lit('"'))
+    heads = tracks.select("library", "strand").distinct().select("library", "strand", F.lit(0).alias("k"), F.lit("").alias("chrom"), F.lit(0).cast("long").alias("part"), name.alias("value"))
+    keys = ["library", "strand", "k", "chrom", "part"]
+    x = heads.unionByName(blocks).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    x.select("library", "strand", "value").write.partitionBy("library", "strand").text(path)
 
 
 def bedgraph(runs: DataFrame, path: str, value: str = "depth") -> None:

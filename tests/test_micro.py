@@ -181,3 +181,13 @@ def test_repeated_ids_keep_rows(spark):
     assert {tuple(r) for r in root.collect()} == {("g", "g", 0), ("m", "g", 1), ("c", "g", 2)} == {tuple(r) for r in annotation.roots_within(df, 3).collect()}
     got = sorted(((r.id, r.root, r.locus_tag) for r in annotation.enriched(df, root).collect()), key=str)
     assert got == sorted([("g", "g", "T"), ("m", "g", "T"), ("m", "g", "T"), ("c", "g", "T"), ("c", "g", "T"), ("c", "g", "own"), (None, None, None)], key=str)
+
+
+def test_outside_a_mask(spark):
+    """Short, long, null and reversed reads against every feature, with nested and touching ones."""
+    rng = random.Random(8)
+    reads = [(f"c{rng.randrange(3)}", s, s + rng.choice([0, 20, 300, 4095, 4096, 4097, 20000, -5]), i) for i, s in enumerate(rng.randrange(60000) for _ in range(500))] + [(None, 1, 5, 900), ("c0", None, 5, 901), ("c0", 5, None, 902)]
+    mask = [(f"c{rng.randrange(2)}", s, s + rng.choice([0, 10, 700, 9000])) for s in (rng.randrange(60000) for _ in range(12))] + [("c0", 100, 200), ("c0", 120, 130), ("c0", 201, 250), (None, 0, 9), ("c1", 5, 3)]
+    got = counting.outside(spark.createDataFrame(reads, "chrom string, start0 long, stop0 long, i int"), spark.createDataFrame(mask, "chrom string, f_start0 long, f_stop0 long"))
+    hit = lambda r: any(r[0] is not None and r[0] == m[0] and r[1] is not None and r[2] is not None and r[1] <= r[2] and m[1] <= m[2] and r[1] <= m[2] and r[2] >= m[1] for m in mask)
+    assert sorted(r.i for r in got.collect()) == [r[3] for r in reads if not hit(r)] and got.columns == ["chrom", "start0", "stop0", "i"]
