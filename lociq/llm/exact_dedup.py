@@ -94,23 +94,32 @@ def suspects(rows: DataFrame, n_rows: int, owners: int | None = None) -> DataFra
     return blocks.cogroup(maps.groupBy("block")).applyInPandas(apply, "doc_id long, fp long")
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64, owners: int | None = None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None, owners: int | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every row.
+
+    salts: parts of a group of equal texts; by default 64, and more where these would have over a million rows if all rows were equal.
+    """
     normal = id_text(docs, id_col, text_col).select("doc_id", F.regexp_replace("text", SPACE + "+", " ").alias("t"))
     rows = stored(normal.select(F.spark_partition_id().cast("long").alias("block"), F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("t").alias("fp"), F.sha2("t", 256).alias("text_sha256")))
-    found = stored(suspects(rows.select("block", "doc_id", "fp"), rows.count(), owners).select("doc_id").distinct())
+    n_rows = rows.count()
+    salts = salts or max(64, math.ceil(n_rows / 1_000_000))
+    found = stored(suspects(rows.select("block", "doc_id", "fp"), n_rows, owners).select("doc_id").distinct())
     # Byte verification: equal texts of a salt choose a representative, those of all salts the row that stays.
     order = F.coalesce("doc_id", F.lit(2**63 - 1))
-    some = normal.withColumn("key", order).join(found.select(order.alias("key")), "key", "left_semi").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)))
+    # Salts are dealt by row, so rows of one id, or without any, are spread too.
+    some = normal.select(order.alias("key"), "t", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("salt")).join(found.select(order.alias("key")), "key", "left_semi")
     by_salt = Window.partitionBy("salt", "t")
     first = F.row_number().over(by_salt.orderBy("key"))
     inner = stored(some.select("key", "salt", "t", F.min("key").over(by_salt).alias("rep"), F.count(F.lit(1)).over(by_salt).alias("n"), first.alias("rank")).select("key", "salt", "rep", F.sha2("t", 256).alias("text_sha256"), F.when(F.col("rank") == 1, F.col("n")).alias("n"), F.when(F.col("rank") == 1, F.col("t")).alias("t")))
     by_text = Window.partitionBy("t")
     reps = inner.where("n is not null").select("salt", "rep", "text_sha256", F.min("rep").over(by_text).alias("keep"), F.sum("n").over(by_text).alias("size"))
-    verdict = inner.select("key", "salt", "rep", "text_sha256").distinct().join(reps, ["salt", "rep", "text_sha256"]).select("key", "text_sha256", "keep", "size").where("size > 1")
-    out = rows.withColumn("key", order).join(verdict, ["key", "text_sha256"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("key", "text_sha256").orderBy("row")))
+    verdict = inner.select("key", "salt", "rep", "text_sha256").distinct().join(reps, ["salt", "rep", "text_sha256"]).select("key", "text_sha256", "keep", "size").where("size > 1").distinct()
+    # Of rows that repeat id and text the first stays.
+    again = rows.groupBy(order.alias("key"), "text_sha256").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    out = rows.withColumn("key", order).join(verdict, ["key", "text_sha256"], "left").join(again, ["key", "text_sha256"], "left")
     keep = F.nullif(F.coalesce("keep", "key"), F.lit(2**63 - 1))
-    return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), ((F.col("key") == F.coalesce("keep", "key")) & (F.col("rank") == 1)).alias("kept"), "text_sha256")
+    kept = (F.col("key") == F.coalesce("keep", "key")) & (F.col("row") == F.coalesce("first", "row"))
+    return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), kept.alias("kept"), "text_sha256")
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

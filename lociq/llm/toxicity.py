@@ -24,6 +24,8 @@ from .common import LOWER, byte_chunks, id_text, keep_rows, labelled_sample, map
 WINDOW, STRIDE = 32, 24
 PART, OVERLAP = 64, 4
 WORDS, GRAMS, DIM, HIDDEN, ATTENTION = 1 << 13, 1 << 14, 12, 8, 8
+#: Embeddings learn more slowly than what reads them, so a few documents aren't learnt by heart; and at least so many batches.
+EMBEDDING_RATE, STEPS = 0.3, 60
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -93,7 +95,7 @@ class Network:
         rng = np.random.default_rng(seed)
         draw = lambda *s, sd: rng.normal(0, sd, s).astype(np.float32)
         self.p = {
-            "words": draw(WORDS, DIM, sd=0.1), "grams": draw(GRAMS, DIM, sd=0.1), "wx": draw(2 * DIM, 6 * HIDDEN, sd=0.3), "bx": np.zeros(6 * HIDDEN, np.float32),
+            "words": draw(WORDS, DIM, sd=0.02), "grams": draw(GRAMS, DIM, sd=0.02), "wx": draw(2 * DIM, 6 * HIDDEN, sd=0.3), "bx": np.zeros(6 * HIDDEN, np.float32),
             "u": draw(2, HIDDEN, 3 * HIDDEN, sd=0.3), "wa": draw(2 * HIDDEN, ATTENTION, sd=0.3), "ba": np.zeros(ATTENTION, np.float32), "va": draw(ATTENTION, sd=0.3),
             "wo": draw(2 * HIDDEN, sd=0.3), "bo": np.zeros(1, np.float32),
         }
@@ -218,6 +220,7 @@ def train(rows: list[tuple[int, bytes, int]], epochs: int = 5, batch: int = 64,
     net.p["grams"][:, 0] = np.clip(log_odds((vocabulary.slots(np.unique(x))[1] for x in docs), y, GRAMS), -3, 3)
     m, v, step = {k: np.zeros_like(x) for k, x in net.p.items()}, {k: np.zeros_like(x) for k, x in net.p.items()}, 0
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    epochs = max(epochs, -(-STEPS * batch // len(docs)))
     for epoch in range(epochs):
         gates = None
         for i, some in enumerate(np.array_split(rng.permutation(len(docs)), max(1, len(docs) // batch))):
@@ -242,7 +245,7 @@ def train(rows: list[tuple[int, bytes, int]], epochs: int = 5, batch: int = 64,
                 g = np.clip(g, -1, 1)
                 m[k] += 0.1 * (g - m[k])
                 v[k] += 0.01 * (g * g - v[k])
-                net.p[k] -= lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)
+                net.p[k] -= lr * (EMBEDDING_RATE if k in ("words", "grams") else 1) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)
     most, _, _ = net.documents(net.all_gates(vocabulary), docs)
     net.slope, net.shift = platt(most, y)
     return net

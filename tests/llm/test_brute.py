@@ -138,7 +138,7 @@ def test_pii_base_and_more(spark):
 
 
 def test_pii_trees_on_unseen_sentences():
-    m = pii.train(2500)
+    m = pii.train(n=2500)
     good = bad = missed = 0
     for text, a, b in pii.examples(500, 77):
         spans = m.select(text, pii.base(text))
