@@ -28,6 +28,17 @@ def test_toxicity_beats_the_majority_on_few_documents():
     assert ((score >= 0.5) == y).mean() > max(y.mean(), 1 - y.mean()) and ((score >= 0.5) & (y == 1)).sum() >= 3
 
 
+def test_places_of_many_keys():
+    from lociq.llm import mixing
+
+    rng = np.random.default_rng(1)
+    for n in (1 << 22, (1 << 22) + 7):
+        keys = rng.integers(0, 1 << 42, n).astype(np.uint64)
+        keys[: n // 3] = keys[n // 3 : 2 * (n // 3)]
+        u, place = mixing.distinct(keys.copy())
+        assert np.array_equal(u[place], keys) and (np.diff(u.astype(np.int64)) > 0).all()
+
+
 def test_calibration_of_logits_that_part_the_labels():
     for scale in (1e-3, 1.0, 50.0):
         x = np.r_[np.linspace(-3, -1, 200), np.linspace(1, 3, 10)] * scale
