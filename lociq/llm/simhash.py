@@ -8,6 +8,10 @@ Entries with many fingerprints don't get all their pairs checked: first, fingerp
 the whole 64 bits (so are within 2 of each other) are linked in a star; then only pairs of different components are
 compared, with all but the largest component of an entry on one side. No link that could join components is left out.
 
+No entry is gathered: what is counted for entries is aggregated before it's shuffled, and joined. An entry that all its fingerprints
+are in by one flip of the same segment is dropped, as they meet under the segment itself. In crowded entries pairs meet
+by the other segment: two of its 16-bit halves can't both differ in more than 2 bits, so balls of radius 1 around them meet.
+
 Null and empty texts have fingerprint zero, linked like any other. A null doc_id never names a component with other rows.
 """
 from __future__ import annotations
@@ -27,6 +31,8 @@ from .near import firsts, node
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: Entries with more fingerprints than this get the star links first.
 DENSE = 48
+#: Entries with more than this are split by the other segment.
+CROWDED = 1024
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -74,29 +80,51 @@ def entries(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.explode(keys).alias("key"))
 
 
+def segment(fp, key):
+    """The segment value that a fingerprint's entry under this key was made from, as a key."""
+    return F.when(key < 0, fp.bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(-(1 << 63)))).otherwise(F.shiftrightunsigned(fp, 32))
+
+
+def shared_entries(fps: DataFrame) -> DataFrame:
+    """fp, key, n of the entries under which n fingerprints meet that don't all meet under their segment itself."""
+    every = entries(fps)
+    own = segment(F.col("fp"), F.col("key"))
+    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("least"), F.max(own).alias("most"))
+    keys = stored(keys.where("n > 1 and (least <> most or least = key)").select("key", "n"))
+    return every.join(keys, "key")
+
+
+def split_by_other(comp: DataFrame, crowded: int) -> DataFrame:
+    """comp(fp, key, n) with sub, under which what is in an entry meets: -1, or values around both halves of the other segment."""
+    fp = F.col("fp")
+    other = F.when(F.col("key") < 0, F.shiftrightunsigned(fp, 32)).otherwise(fp.bitwiseAND(F.lit(0xFFFFFFFF)))
+    low = other.bitwiseAND(F.lit(0xFFFF))
+    subs = F.concat(ball(F.shiftrightunsigned(other, 16), range(16)), F.transform(ball(low, range(16)), lambda x: x.bitwiseOR(F.lit(1 << 16))))
+    return comp.withColumn("sub", F.explode(F.when(F.col("n") > crowded, subs).otherwise(F.array(F.lit(-1).cast("long")))))
+
+
 def near(a: str, b: str, distance: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
 
-def linked(fps: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
+def linked(fps: DataFrame, distance: int = DISTANCE, dense: int = DENSE, crowded: int = CROWDED) -> DataFrame:
     """fp, root of the distinct fingerprints in fps(fp) that have a link."""
     if not 0 <= distance <= 4:
         raise ValueError("two segments with balls of radius 1 cover distances up to 4 only")
-    shared = entries(fps).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
-    shared = stored(shared)
-    # Stars at distance 1 of a common value, for what lies in dense entries; exact at distances of 2 and more.
+    shared = stored(shared_entries(fps))
+    # Stars at distance 1 of a common value, for what lies in dense entries; exact at distances of 2 and more. A value has 65 fingerprints at most.
     crowd = shared.where(F.col("n") > dense).select("fp").distinct() if distance >= 2 else shared.limit(0).select("fp")
     fp = F.col("fp")
     hubs = crowd.select("fp", F.explode(ball(fp, range(64))).alias("hub")).withColumn("v", F.min("fp").over(Window.partitionBy("hub")))
     star = stored(components(hubs.where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()))
-    comp = shared.join(star.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "key", F.coalesce("root", "fp").alias("c"))
-    by_key = Window.partitionBy("key")
-    comp = comp.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key", "c")))
-    comp = comp.withColumn("least", F.min("c").over(by_key)).withColumn("top", F.max(F.struct("m", "c")).over(by_key)).withColumn("most", F.max("c").over(by_key)).where("least <> most")
-    comp = stored(comp.select("fp", "key", "c", (F.col("c") == F.col("top.c")).alias("main")))
-    left = comp.where("not main").select("key", F.col("fp").alias("a"), F.col("c").alias("u"))
-    right = comp.select("key", F.col("fp").alias("b"), F.col("c").alias("v"), "main")
-    across = left.join(right, "key").where((F.col("u") != F.col("v")) & (F.col("main") | (F.col("a") < F.col("b"))) & near("a", "b", distance))
+    comp = shared.join(star.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "key", "n", F.coalesce("root", "fp").alias("c"))
+    groups = comp.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
+    mixed = stored(groups.agg(F.min("c").alias("least"), F.max("c").alias("most"), F.max(F.struct("m", "c")).alias("top")).where("least <> most").select("key", F.col("top.c").alias("largest")))
+    comp = stored(comp.join(mixed, "key").select("fp", "key", "n", "c", (F.col("c") == F.col("largest")).alias("main")))
+    meet = split_by_other(comp, crowded)
+    left = meet.where("not main").select("key", "sub", F.col("fp").alias("a"), F.col("c").alias("u"))
+    right = meet.select("key", "sub", F.col("fp").alias("b"), F.col("c").alias("v"), "main")
+    across = left.join(right, ["key", "sub"]).where((F.col("u") != F.col("v")) & (F.col("main") | (F.col("a") < F.col("b"))) & near("a", "b", distance))
     links = stored(across.select("u", "v").distinct())
     joined = components(links.union(star.select(F.col("node").alias("u"), F.col("root").alias("v"))))
     return joined.select(F.col("node").alias("fp"), "root")

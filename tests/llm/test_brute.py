@@ -523,12 +523,43 @@ def test_simhash_links_dense_and_sparse(spark):
     fps = sorted(fps)
     want = components_of(dict(enumerate(fps)), 4)
     df = spark.createDataFrame([(f - (1 << 64) * (f >> 63),) for f in fps], "fp long")
-    for dense in (2, 10**9):
-        got = {r.fp % (1 << 64): r.root for r in simhash.linked(df, dense=dense).collect()}
+    for dense, crowded in ((2, 1024), (10**9, 1024), (2, 3), (10**9, 3)):
+        got = {r.fp % (1 << 64): r.root for r in simhash.linked(df, dense=dense, crowded=crowded).collect()}
         same = {}
         for i, f in enumerate(fps):
             same.setdefault(want[i], set()).add(got.get(f, f"alone {f}"))
-        assert all(len(s) == 1 for s in same.values()) and len(set(map(frozenset, same.values()))) == len(same), dense
+        assert all(len(s) == 1 for s in same.values()) and len(set(map(frozenset, same.values()))) == len(same), (dense, crowded)
+
+
+def test_simhash_entry_of_many_fingerprints(spark):
+    """40000 fingerprints of one segment, the other one drawn: links as found by counting each distance, without all pairs of the entry."""
+    draw = np.random.default_rng(3)
+    low = np.unique(draw.integers(0, 1 << 32, 40000, np.uint64))
+    fps = (np.uint64(0x9ABCDEF0) << np.uint64(32)) | low
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    shared = simhash.shared_entries(df)
+    assert shared.where("n > 1024").select("key").distinct().count() == 1
+    meet = simhash.split_by_other(shared, 1024)
+    assert meet.where("n > 1024").groupBy("key", "sub").count().agg({"count": "max"}).first()[0] < 60
+    root = np.arange(len(fps))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for at in range(0, len(fps), 500):
+        for i, j in np.argwhere(np.bitwise_count(low[at : at + 500, None] ^ low[None, :]) <= 4):
+            a, b = find(at + i), find(j)
+            root[max(a, b)] = min(a, b)
+    want = {}
+    for i, x in enumerate(fps.tolist()):
+        want.setdefault(find(i), set()).add(x)
+    got = {}
+    for r in simhash.linked(df).collect():
+        got.setdefault(r.root, set()).add(r.fp % (1 << 64))
+    assert set(map(frozenset, got.values())) == {frozenset(x) for x in want.values() if len(x) > 1}
 
 
 def test_components(spark):
