@@ -1,16 +1,16 @@
 """SimHash near-duplicates, linked by multi-index hashing.
 
 A fingerprint has two segments of 32 bits. If two fingerprints differ in at most 4 bits, one segment differs
-in at most 2, so the balls of radius 1 around the two segment values meet. Each distinct fingerprint is entered under the
-33 values of both balls; those that meet in a table entry are verified by their complete distance.
+in at most 2, so the balls of radius 1 around the two segment values meet. Each distinct segment value is entered under the
+33 values of its ball; fingerprints that meet in a table entry are verified by their complete distance.
 
 Entries with many fingerprints don't get all their pairs checked: first, fingerprints that share a value at distance 1 of
 the whole 64 bits (so are within 2 of each other) are linked in a star; then only pairs of different components are
 compared, with all but the largest component of an entry on one side. No link that could join components is left out.
 
-No entry is gathered: what is counted for entries is aggregated before it's shuffled, and joined. An entry that all its fingerprints
-are in by one flip of the same segment is dropped, as they meet under the segment itself. In crowded entries pairs meet
-by the other segment: two of its 16-bit halves can't both differ in more than 2 bits, so balls of radius 1 around them meet.
+No entry is gathered: entries are counted over distinct segment values, 33 at most in each, and joined to the fingerprints. An entry
+that all its fingerprints are in by one flip of the same segment is dropped, as they meet under the segment itself. In crowded entries
+pairs meet by the other segment: its two 16-bit halves can't both differ in more than 2 bits, so balls of radius 1 around one of them meet.
 
 Null and empty texts have fingerprint zero, linked like any other. A null doc_id never names a component with other rows.
 """
@@ -72,26 +72,25 @@ def ball(value, bits: range):
     return F.array(value, *(value.bitwiseXOR(F.lit((1 << b) - (1 << 64) * (b == 63))) for b in bits))
 
 
-def entries(fps: DataFrame) -> DataFrame:
-    """fp, key: the table entries of distinct fingerprints; the key holds the segment in its highest bit."""
-    fp, top = F.col("fp"), F.lit(-(1 << 63))
-    high, low = F.shiftrightunsigned(fp, 32), fp.bitwiseAND(F.lit(0xFFFFFFFF))
-    keys = F.concat(ball(high, range(32)), F.transform(ball(low, range(32)), lambda x: x.bitwiseOR(top)))
-    return fps.select("fp", F.explode(keys).alias("key"))
-
-
-def segment(fp, key):
-    """The segment value that a fingerprint's entry under this key was made from, as a key."""
-    return F.when(key < 0, fp.bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(-(1 << 63)))).otherwise(F.shiftrightunsigned(fp, 32))
+def segments(fps: DataFrame) -> DataFrame:
+    """fp, s: both segment values of fingerprints; the low one has the highest bit set."""
+    fp = F.col("fp")
+    low = fp.bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(-(1 << 63)))
+    return fps.select("fp", F.explode(F.array(F.shiftrightunsigned(fp, 32), low)).alias("s"))
 
 
 def shared_entries(fps: DataFrame) -> DataFrame:
-    """fp, key, n of the entries under which n fingerprints meet that don't all meet under their segment itself."""
-    every = entries(fps)
-    own = segment(F.col("fp"), F.col("key"))
-    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("least"), F.max(own).alias("most"))
-    keys = stored(keys.where("n > 1 and (least <> most or least = key)").select("key", "n"))
-    return every.join(keys, "key")
+    """fp, key, n of the entries under which n distinct fingerprints meet that don't all meet under their segment itself.
+
+    Entries are made from distinct segment values with their counts, so an entry has 33 rows at most, however many fingerprints are in it.
+    """
+    at = segments(fps)
+    values = at.groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    by_key = Window.partitionBy("key")
+    every = values.select("s", "c", F.explode(ball(F.col("s"), range(32))).alias("key"))
+    every = every.withColumn("n", F.sum("c").over(by_key)).withColumn("least", F.min("s").over(by_key)).withColumn("most", F.max("s").over(by_key))
+    keys = stored(every.where("n > 1 and (least <> most or s = key)").select("s", "key", "n"))
+    return at.join(keys, "s").select("fp", "key", "n")
 
 
 def split_by_other(comp: DataFrame, crowded: int) -> DataFrame:
