@@ -72,17 +72,17 @@ def step_up(df: DataFrame, p: str, group: Sequence[str] = (), out: str = "padj")
 
     m are the group's p-values that aren't null or NaN; the others have none.
     """
+    group, every = list(group), stored(df)  # read four times
     good = F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double"))
-    group = list(group)
-    x = ranked(df.where(good), group, [F.col(p)], "__rank")
-    sizes = df.where(good).groupBy(*group).agg(F.count(F.lit(1)).alias("__m"))
+    x = ranked(every.where(good), group, [F.col(p)], "__rank")
+    sizes = every.where(good).groupBy(*group).agg(F.count(F.lit(1)).alias("__m"))
     x = x.withColumn("__all", F.lit(0))
     sizes = sizes.select(*[F.col(c).alias(f"__s{c}") for c in group], "__m", F.lit(0).alias("__one"))
     x = x.join(sizes, [F.col("__all") == F.col("__one"), *_same(group, "__s")]).drop("__all", "__one", *[f"__s{c}" for c in group])
-    x = arranged(x.withColumn("__v", F.col(p) * F.col("__m") / F.col("__rank")), group, [F.col("__rank")])
-    later = _of(group).orderBy("__band").rowsBetween(1, Window.unboundedFollowing)
+    # By falling rank: a frame that ends at the row is carried along, one that begins there is gone through again for each row.
+    x = arranged(x.withColumn("__v", F.col(p) * F.col("__m") / F.col("__rank")), group, [F.desc("__rank")])
     least = x.groupBy("__band", *group).agg(F.min("__v").alias("__low"))
-    least = least.select("__band", *group, F.min("__low").over(later).alias("__later"))
-    within = Window.partitionBy("__band", *group).orderBy("__at").rowsBetween(0, Window.unboundedFollowing)
+    least = least.select("__band", *group, F.min("__low").over(_of(group).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)).alias("__later"))
+    within = Window.partitionBy("__band", *group).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
     x = _joined(x, least, group).withColumn(out, F.least(F.min("__v").over(within), F.coalesce("__later", F.lit(1.0)), F.lit(1.0)))
-    return x.select(*df.columns, out).unionByName(df.where(~good | F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))
+    return x.select(*df.columns, out).unionByName(every.where(~good | F.col(p).isNull()).withColumn(out, F.lit(None).cast("double")))

@@ -68,3 +68,9 @@ def test_ties_don_t_share_a_band(spark):
 def test_empty(spark):
     none = frame(spark, [])
     assert ranking.step_up(none, "p", ["g"]).collect() == ranking.mean_ranked(none, ["g"], "p").collect() == ranking.ranked(none, [], [F.col("p")]).collect() == []
+
+
+def test_step_up_goes_through_a_band_once(spark):
+    """A frame that begins at the row costs the square of a band."""
+    plan = ranking.step_up(frame(spark, drawn(4, 100)), "p", ["g"])._jdf.queryExecution().toString()
+    assert "Window" in plan and "unboundedfollowing" not in plan.lower()
