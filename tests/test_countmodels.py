@@ -126,3 +126,17 @@ def test_planted_curves(spark, want, noise):
     (a, _), (b, _) = got.bends()
     assert abs(a - (want[3] - curves.BEND / want[2])) < 0.1 and abs(b - (want[3] + curves.BEND / want[2])) < 0.1
     assert curves.fitted(spark.createDataFrame([(1.0, 2.0)], "x double, y double")) is None and curves.fitted(spark.createDataFrame([], "x double, y double")) is None
+
+
+def test_genes_are_dealt_by_their_number(spark, monkeypatch):
+    """A table of genes is small on disk, but its fits occupy all cores."""
+    monkeypatch.setattr(cm, "PIECE", 16)
+    assert len(cm.pieces(cm.arrays(frame(spark, drawn(60)), DESIGN)).inputFiles()) >= 4
+
+
+def test_determinants_and_solutions():
+    rng = np.random.default_rng(3)
+    x, w, b = rng.normal(size=(12, 5)), rng.uniform(0.1, 5, (7, 12)), rng.normal(size=(5, 7))
+    whole = np.einsum("gj,jp,jq->gpq", w, x, x) + 1e-6 * np.eye(5)
+    logs, got = cm.eliminated(cm.information(w, x, 1e-6), b.copy())
+    assert np.allclose(logs, np.linalg.slogdet(whole)[1]) and np.allclose(got.T, np.linalg.solve(whole, b.T[:, :, None])[:, :, 0])
