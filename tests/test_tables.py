@@ -120,3 +120,15 @@ def test_components_against_numpy(spark):
     for i in range(3):
         want, have = u[:, i] * s[i], np.array([got[c][f"pc{i + 1}"] for c in wide.index])
         assert np.allclose(np.abs(want), np.abs(have), atol=1e-6) and np.isclose(got[wide.index[0]][f"share{i + 1}"], s[i] ** 2 / (s**2).sum())
+
+
+def test_equal_values_tie_by_key(spark):
+    """However the values of a key come together, equal sets have equal variances, so ties go by key."""
+    import random
+
+    from lociq.operators import expression
+
+    rng, held = random.Random(8), [0, 0, 1, 1, 1, 2, 2, 2, 3, 6, 6, 8]
+    rows = [(f"k{i:03}", float(v)) for i in range(200) for v in rng.sample(held, len(held))] + [("one", 5.0)]
+    got = expression.most_variable(spark.createDataFrame(rows, "id string, v double").repartition(7), "id", "v", 50).collect()
+    assert [r.id for r in got] == [f"k{i:03}" for i in range(50)] and len({r.variance for r in got}) == 1
