@@ -243,18 +243,40 @@ def _merged(a: np.ndarray, qa: np.ndarray, na: np.ndarray, b: np.ndarray, qb: np
     rows, best = len(a), np.full(len(a), -(1 << 30))
     offset, wrong = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
     wide = np.zeros(rows, np.int64)
+    short = max(a.shape[1], b.shape[1]) <= 64
+    if short:
+        (*at, known), (*bt, b_known) = _bits(a), _bits(b)
     for d in range(-(b.shape[1] - 1), a.shape[1]):
         lo, hi = np.maximum(0, d), min(a.shape[1], d + b.shape[1])
-        x, y = a[:, lo:hi], b[:, lo - d : hi - d]
         size = np.minimum(na, d + nb) - lo
-        same = ((x == y) & (x > 0)).sum(axis=1)
-        differ = ((x != y) & (x > 0) & (y > 0)).sum(axis=1)
+        if short:
+            moved = (lambda v: v << np.uint64(d)) if d >= 0 else (lambda v: v >> np.uint64(-d))  # noqa: B023
+            same = sum(np.bitwise_count(x & moved(y)).astype(np.int64) for x, y in zip(at, bt))
+            differ = np.bitwise_count(known & moved(b_known)).astype(np.int64) - same
+        else:
+            x, y = a[:, lo:hi], b[:, lo - d : hi - d]
+            same = ((x == y) & (x > 0)).sum(axis=1)
+            differ = ((x != y) & (x > 0) & (y > 0)).sum(axis=1)
         score = same - differ
         better = (size >= overlap) & ((score > best) | (score == best) & (size > wide))
         best[better], offset[better], wrong[better], wide[better] = score[better], d, differ[better], size[better]
     return offset, best, (best > 0) & (wrong <= rate * wide)
 
 
+def _bits(letters: np.ndarray) -> list[np.ndarray]:
+    """A number a read for A, C, G, T and any of them: bit i tells of position i."""
+    place = np.uint64(1) << np.arange(letters.shape[1], dtype=np.uint64)
+    each = [((letters == x) * place).sum(axis=1, dtype=np.uint64) for x in b"ACGT"]
+    return [*each, each[0] | each[1] | each[2] | each[3]]
+
+
+def _strings(parts: list[np.ndarray]) -> pa.Array:
+    """The rows of matrices of letters, one after another."""
+    size = np.concatenate([np.zeros(1, np.int64), *[np.full(len(p), p.shape[1]) for p in parts]])
+    data = np.concatenate([np.zeros(0, np.uint8), *[p.ravel() for p in parts]])
+    return pa.StringArray.from_buffers(len(size) - 1, pa.py_buffer(np.cumsum(size).astype(np.int32)), pa.py_buffer(data))
+
+
 def merged_pairs(reads: DataFrame, mates: DataFrame, overlap: int = 10, rate: float = 0.1, least: int = 10) -> DataFrame:
     """id, seq, quality, overlap of pairs (equal ids) that fit together: the mate is turned around and tried at every offset.
 
@@ -280,10 +302,12 @@ def merged_pairs(reads: DataFrame, mates: DataFrame, overlap: int = 10, rate: fl
                 mb = _matrix(turn[b[::-1]], len(b) - eb[::-1], 0)[::-1]
                 mqb = _matrix((qb - PHRED)[::-1], len(b) - eb[::-1], 0)[::-1].astype(np.int64)
                 offset, _, good = _merged(ma, mqa, na, mb, mqb, nb, overlap, rate)
-                rows = np.flatnonzero(good)
-                seqs, quals, shared = [], [], []
-                for r in rows:
-                    d, n, k = int(offset[r]), int(na[r]), int(nb[r])
+                rows, seqs, quals, shared = [np.zeros(0, np.int64)], [], [], [np.zeros(0, np.int64)]
+                good = np.flatnonzero(good)
+                alike, which = np.unique(np.column_stack([offset, na, nb])[good], axis=0, return_inverse=True)
+                order = np.argsort(which.ravel(), kind="stable")
+                # Pairs of one offset and equal lengths at once.
+                for (d, n, k), r in zip(alike.tolist(), np.split(good[order], np.cumsum(np.bincount(which.ravel(), minlength=len(alike)))[:-1])):
                     lo, hi = max(0, d), min(n, d + k)
                     x, y, p, q = ma[r, lo:hi], mb[r, lo - d : hi - d], mqa[r, lo:hi], mqb[r, lo - d : hi - d]
                     first = (y == 0) | (x != 0) & (p >= q)
@@ -291,11 +315,12 @@ def merged_pairs(reads: DataFrame, mates: DataFrame, overlap: int = 10, rate: fl
                     level = np.where(x == y, np.minimum(p + q, MOST), np.where((x == 0) | (y == 0), np.where(first, p, q), np.maximum(abs(p - q), LEAST)))
                     through = d < 0 or d + k < n
                     head, tail = (0, 0) if through else (d, d + k - n)
-                    s = np.concatenate([ma[r, :head], base, mb[r, k - tail : k]])
-                    seqs.append(np.where(s == 0, ord("N"), s).astype(np.uint8).tobytes().decode())
-                    quals.append((np.concatenate([mqa[r, :head], level, mqb[r, k - tail : k]]) + PHRED).astype(np.uint8).tobytes().decode())
-                    shared.append(hi - lo)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(seqs, pa.string()), pa.array(quals, pa.string()), pa.array(shared, pa.int64())], ["id", "seq", "quality", "overlap"])
+                    s = np.concatenate([ma[r, :head], base, mb[r, k - tail : k]], axis=1)
+                    rows.append(r)
+                    seqs.append(np.where(s == 0, ord("N"), s).astype(np.uint8))
+                    quals.append((np.concatenate([mqa[r, :head], level, mqb[r, k - tail : k]], axis=1) + PHRED).astype(np.uint8))
+                    shared.append(np.full(len(r), hi - lo))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(rows))), _strings(seqs), _strings(quals), pa.array(np.concatenate(shared))], ["id", "seq", "quality", "overlap"])
 
     return both.mapInArrow(f, f"id {kind}, seq string, quality string, overlap long").where(F.length("seq") >= least)
 

@@ -2,6 +2,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lociq.operators import readprep
@@ -209,3 +210,17 @@ def test_queries_without_sql(spark):
     for i in sorted(left)[::23]:
         m = plain_merge(*left[i], *right[i], 10, 0.1)
         assert out.get(i) == (m if m and len(m[0]) >= 10 else None)
+
+
+def test_merging_by_bits():
+    """Reads of up to 64 bases are compared as numbers, longer ones as matrices: a column more mustn't change what is found."""
+    rng = np.random.default_rng(6)
+    a, b = rng.choice(np.frombuffer(b"\0ACGT", np.uint8), (300, 60)), rng.choice(np.frombuffer(b"\0ACGT", np.uint8), (300, 60))
+    b[::2, :20], b[1::3, 30:] = a[::2, 40:], a[1::3, :30]
+    na, nb = np.full(300, 60), rng.integers(30, 61, 300)
+    b[np.arange(60) >= nb[:, None]] = 0
+    q, more = np.zeros((300, 60)), np.zeros((300, 10), np.uint8)
+    short = readprep._merged(a, q, na, b, q, nb, 10, 0.1)
+    long = readprep._merged(np.hstack([a, more]), q, na, np.hstack([b, more]), q, nb, 10, 0.1)
+    assert all(np.array_equal(x, y) for x, y in zip(short, long)) and short[2].sum() > 100
+    assert len(readprep._bits(a)) == 5
