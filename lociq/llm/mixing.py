@@ -21,7 +21,7 @@ Ranges follow the corpus' size (OWNER_BYTES of text each), so an owner's memory
 blocks hold costs its owner one entry a block. Lists have blocks times ranges as their number, so it grows with the square of the
 corpus; beyond some hundred GB larger blocks and owners keep the lists long (both are parameters).
 
-The weights that documents start with are learnt from the training corpus too. One block in TUNE_BLOCKS of each partition codes its
+The weights that documents start with are learnt from the training corpus too. Every block codes its
 texts of the training fold TUNE with the counts of its other training texts; the blocks' mean weights are averaged.
 
 Base score: sum over tokens of log10((c + 1) / (N + V + 1)). Tokens are words, A-Z lower-cased, and one end a text. They are
@@ -58,8 +58,8 @@ CLASSES = 32
 BLOCK, AT_ONCE, RATE = 256, 48, 0.02
 #: A stretched probability is kept in steps of STEP; what is added to counts. GATES: three depths, and which of the two longest contexts are known.
 STEP, PRIOR, GATES = np.float32(0.25), 0.1, 12
-#: The training fold that teaches the start weights, in one of so many blocks; their rate, and the weights before that.
-TUNE, TUNE_BLOCKS, TUNE_RATE = 3, 8, 0.01
+#: The training fold that teaches the start weights; their rate, and the weights before that.
+TUNE, TUNE_RATE = 3, 0.01
 FIRST = np.array([0.4, 0.2, 0.1, 0.4], np.float32)
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(9, 14), 32, END]] = True
@@ -530,7 +530,7 @@ def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
 
 
 def learnt(blocks: DataFrame, forest: Forest) -> np.ndarray:
-    """The start weights: averages, over the blocks to tune by, of the weights while their texts of the fold are coded."""
+    """The start weights: averages, over all blocks, of the weights while their texts of the fold are coded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, roles in each_block(batches):
@@ -541,7 +541,7 @@ def learnt(blocks: DataFrame, forest: Forest) -> np.ndarray:
                 _, mean = Coder(forest, tune, answers).bits(np.tile(FIRST, (GATES, 1)), learn=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(mean.size)), pa.array(mean.ravel().astype(float))], ["at", "weight"])
 
-    mean = blocks.where(F.col("block") % TUNE_BLOCKS == 0).select("block", "roles", "sizes", "texts").mapInArrow(run, "at long, weight double").groupBy("at").agg(F.avg("weight")).collect()  # GATES * PREDICTORS rows
+    mean = blocks.select("block", "roles", "sizes", "texts").mapInArrow(run, "at long, weight double").groupBy("at").agg(F.avg("weight")).collect()  # GATES * PREDICTORS rows
     out = np.tile(FIRST, (GATES, 1))
     for at, weight in mean:
         out.ravel()[at] = weight
