@@ -3,13 +3,14 @@
 Null texts count as empty, which equal each other, so one of them stays; of rows that repeat one stays; rows of a repeated id with other texts stay. A null id comes after all
 others. Very long texts are worked on whole. Other columns of documents, of any name, pass through all stages but the last. Empty tables give an empty result.
 
-Near-dedup links texts whose five-word shingles have a Jaccard similarity of 0.8 (`lociq.llm.near`), as `op9_simhash` links by four bits only.
+Near-dedup links texts as `op9_simhash` does, by SimHash within four bits, and besides those whose five-word shingles have a Jaccard similarity of 0.8
+(`lociq.llm.near`), most of which lie further apart. Of what either links one stays.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociq.llm import decontam, exact_dedup, near, queries, toxicity
+from lociq.llm import decontam, exact_dedup, near, queries, simhash, toxicity
 from lociq.llm.common import stored, table
 
 #: SQL can't express a network's scores, edit matching or the tokenizer.
@@ -25,7 +26,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near.one_of_each(docs)
+    return near.one_of_each(docs, others=simhash.links)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

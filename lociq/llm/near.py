@@ -9,11 +9,13 @@ other components are searched by an exact prefix filter, which finds all their p
 ones; the first that a pair shares is among the first ninth of the smaller text's and the first fifth of the other's (at 0.8), and leaves each enough
 shingles behind it. So near copies that differ too much to be linked make no pairs, however many they are. No entry is cut.
 
+Links that another method found can be given: they join components from the start, and what they joined isn't searched.
+
 Null and empty texts have no shingle and equal each other. Rows that repeat are one text; an empty table gives an empty result.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -114,8 +116,8 @@ def candidates(comp: DataFrame, grams: DataFrame, least: tuple[int, int] = LEAST
     return found[0].union(found[1]).distinct()
 
 
-def linked(texts: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """node, root of the nodes in texts(node, text) that have a link."""
+def linked(texts: DataFrame, least: tuple[int, int] = LEAST, given: DataFrame | None = None) -> DataFrame:
+    """node, root of the nodes in texts(node, text) that have a link, those of given(u, v) included."""
     every = entries(texts)
     # The hub of an entry is drawn by its key, so a text meets a different one in each band.
     hub = F.min(F.struct(F.xxhash64("node", "key").alias("draw"), "node"))
@@ -123,7 +125,8 @@ def linked(texts: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
     shared = stored(every.join(hubs, "key"))
     grams = stored(sets(texts.join(shared.select("node").distinct().hint("merge"), "node", "left_semi")))
     tried = stored(shared.where("node <> hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct())
-    star = stored(alike(tried, grams, least))
+    star = alike(tried, grams, least)
+    star = stored(star if given is None else star.union(given.select("u", "v")))
     comp = stored(shared.select("node", "key").join(components(star), "node", "left").select("node", "key", F.coalesce("root", "node").alias("c")))
     mixed = comp.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
     apart = stored(comp.join(mixed, "key", "left_semi").select("node", "c").distinct())
@@ -147,6 +150,7 @@ def firsts(docs: DataFrame, roots: DataFrame, id_col: str = "doc_id", text_col:
     return docs.join(lost, docs[id_col].eqNullSafe(lost["__id"]) & (node(text_col) == lost["__node"]), "left_anti")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: tuple[int, int] = LEAST) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: tuple[int, int] = LEAST, others: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The rows of docs, with all their columns, that are the first of their component; others: what gives more links(u, v) of texts(node, text)."""
     texts = docs.select(node(text_col).alias("node"), F.col(text_col).alias("text"))
-    return firsts(docs, stored(linked(texts, least)), id_col, text_col)
+    return firsts(docs, stored(linked(texts, least, others and others(texts))), id_col, text_col)

@@ -139,6 +139,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def links(texts: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """u, v: each node of texts(node, text) and the least node of its component, where that is another."""
+    fps = stored(fingerprints(texts, "node", "text").distinct())
+    roots = fps.join(linked(fps.select("fp").distinct(), distance), "fp", "left").select(F.col("doc_id").alias("u"), F.coalesce("root", "fp").alias("root"))
+    least = roots.groupBy("root").agg(F.min("u").alias("v"))
+    return stored(roots.join(least, "root").where("u <> v").select("u", "v"))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
     """The rows of docs, with all their columns, that are the first of their component, null ids last. A repeated id's other texts stay."""
     texts = docs.select(node(text_col).alias("node"), F.col(text_col).alias("text"))

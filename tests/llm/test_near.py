@@ -49,3 +49,17 @@ def test_unlinked_near_copies_make_no_pairs(spark):
     assert near.candidates(alone, near.sets(nodes)).count() < 3000
     want = roots(texts)
     assert {r.doc_id for r in near.one_of_each(docs).collect()} == {i for i, r in enumerate(want) if i == r}
+
+
+def test_stage_links_by_simhash_too(spark):
+    """The pipeline's near-dedup takes the links of both methods: by fingerprint alone, by similarity alone, and across them."""
+    import corpus_pipeline
+    from lociq.llm import near, simhash
+
+    phrase, words = "one two three four five six seven eight ", [f"w{i}" for i in range(60)]
+    loud = [phrase * 60 + f"tail {x} with some words of its own {x}{x}" for x in ("alpha", "beta")]
+    similar = [" ".join(words), " ".join([*words[:-2], "x", "y"])]
+    docs = spark.createDataFrame([*enumerate([*loud, *similar, "a text apart from all of these"])], "doc_id long, text string")
+    ids = lambda df: sorted(r.doc_id for r in df.collect())
+    assert ids(near.one_of_each(docs)) == [0, 1, 2, 4]
+    assert 1 not in ids(simhash.one_of_each(docs)) and ids(corpus_pipeline.without_near_copies(spark, docs, "")) == [0, 2, 4]
