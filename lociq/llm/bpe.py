@@ -65,17 +65,23 @@ def ids_of(enc, text: str, piece_chars: int) -> list[bytes]:
     return out
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", piece_chars: int = 1 << 16) -> DataFrame:
-    """doc_id, n_tokens, ids: the ids as little-endian unsigned 32-bit integers."""
-
+def _checked(pattern: str) -> None:
     if not pattern.endswith(r"|\s+(?!\S)|\s+"):
         raise ValueError("texts are cut by the white space rules of patterns that end in \\\\s+(?!\\\\S)|\\\\s+")
 
+
+def _encoded(batch: pa.RecordBatch, enc, piece_chars: int) -> Iterator[dict]:
+    for at, texts in byte_chunks(batch.column(1)):
+        ids = [b"".join(ids_of(enc, t.decode("utf-8", "replace"), piece_chars)) for t in texts]
+        yield {"doc_id": batch.column(0).slice(at, len(texts)), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", piece_chars: int = 1 << 16) -> DataFrame:
+    """doc_id, n_tokens, ids: the ids as little-endian unsigned 32-bit integers."""
+    _checked(pattern)
+
     def f(batch: pa.RecordBatch) -> Iterator[dict]:
-        enc = encoding(ranks_path, pattern)
-        for at, texts in byte_chunks(batch.column(1)):
-            ids = [b"".join(ids_of(enc, t.decode("utf-8", "replace"), piece_chars)) for t in texts]
-            yield {"doc_id": batch.column(0).slice(at, len(texts)), "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+        yield from _encoded(batch, encoding(ranks_path, pattern), piece_chars)
 
     return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, n_tokens long, ids binary")
 
@@ -95,3 +101,15 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield {"doc_id": batch.column(0).slice(at, len(ids)), "n_tokens": batch.column(1).slice(at, len(ids)), "ids": ids, "decoded": [decoded(enc, x) for x in ids]}
 
     return map_arrow(tokens.select("doc_id", "n_tokens", "ids"), f, "doc_id long, n_tokens long, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", piece_chars: int = 1 << 16) -> DataFrame:
+    """decode() of encode() in one pass: a task has one Python worker with one copy of the ranks, and the ids don't go back and forth."""
+    _checked(pattern)
+
+    def f(batch: pa.RecordBatch) -> Iterator[dict]:
+        enc = encoding(ranks_path, pattern)
+        for part in _encoded(batch, enc, piece_chars):
+            yield part | {"decoded": [decoded(enc, x) for x in part["ids"]]}
+
+    return map_arrow(id_text(docs, id_col, text_col), f, "doc_id long, n_tokens long, ids binary, decoded binary")

@@ -67,7 +67,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame) -> DataFrame:
     path, pattern = tokenizer()
-    out = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    out = bpe.round_trip(docs, path, pattern)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -427,6 +427,18 @@ def test_bpe_equals_library_and_round_trips(spark):
         assert bytes(got[i].decoded) == (t or "").encode()
 
 
+def test_bpe_round_trip_is_one_pass(spark):
+    """The query's digests are those of decode(encode()), by one Python worker a task with one copy of the ranks."""
+    rng = random.Random(9)
+    path, pattern = queries.tokenizer()
+    docs = frame(spark, [prose(rng, 40), None, "", " \n", "é" * 300 + " !!??", "x" * 5000] + [prose(rng, 2000)] * 3)
+    want = by_id(bpe.decode(bpe.encode(docs, path, pattern), path, pattern))
+    assert by_id(bpe.round_trip(docs, path, pattern, piece_chars=20)) == want
+    digests = queries.token_digests(docs)
+    assert digests._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert all((r.n_tokens, r.ids_sha256, r.decoded_sha256) == (want[i].n_tokens, *(hashlib.sha256(bytes(x)).hexdigest() for x in (want[i].ids, want[i].decoded))) for i, r in by_id(digests).items())
+
+
 @pytest.mark.parametrize("space", [" ", "\n", "\u3000"])
 def test_bpe_of_long_white_space(spark, space):
     """Runs that the library's regular expression can't hold: the ids of shorter ones by the library, and a round trip of five million."""
