@@ -191,3 +191,32 @@ def test_outside_a_mask(spark):
     got = counting.outside(spark.createDataFrame(reads, "chrom string, start0 long, stop0 long, i int"), spark.createDataFrame(mask, "chrom string, f_start0 long, f_stop0 long"))
     hit = lambda r: any(r[0] is not None and r[0] == m[0] and r[1] is not None and r[2] is not None and r[1] <= r[2] and m[1] <= m[2] and r[1] <= m[2] and r[2] >= m[1] for m in mask)
     assert sorted(r.i for r in got.collect()) == [r[3] for r in reads if not hit(r)] and got.columns == ["chrom", "start0", "stop0", "i"]
+
+
+@pytest.mark.parametrize("tasks", [None, 3])
+@pytest.mark.parametrize("style", ["global", "centered"])
+def test_coverage_in_tiles(spark, style, tasks):
+    """Runs, their bins and expanded positions against direct sums, over tile borders, with equal reads in several parts of the input; two shuffles make the bins."""
+    rng, tile = random.Random(3), coverage.TILE
+    rows = [("L", "c", rng.choice("+-"), s, s + rng.choice([1, 22, 23, 60, 150, 2 * tile + 7]), rng.choice([1, 2, 3]), 1) for s in (rng.choice([0, tile - 30, 3 * tile - 1]) + rng.randrange(60) for _ in range(60))]
+    rows += [("L", "c", "+", tile - 25, tile + 25, 1, 2)] * 40 + [("L", "c", "+", 9, 9, 1, 1), ("L", "c", "+", 9, 4, 1, 1)]
+    reads = spark.createDataFrame(rows, "library string, chrom string, strand string, start0 long, end0 long, nh long, n long").repartition(5)
+    cut, value, bins = 0 if style == "global" else 11, {}, {}
+    for _, _, strand, a, e, nh, n in rows:
+        for p in range(a + cut, e - cut):
+            value[strand, p] = value.get((strand, p), 0) + (1 if strand == "+" else -1) * n / nh / (1 if style == "global" else e - a - 22)
+    for (strand, p), v in value.items():
+        bins.setdefault((strand, p // 100), []).append(v)
+    near = lambda x, y: abs(x - y) < 1e-9
+    got = {(r.strand, r.pos): r.value for r in coverage.track(reads, style, tasks=tasks).collect()}
+    assert got.keys() == value.keys() and all(near(got[k], value[k]) for k in value)
+    found = coverage.runs(reads, style, tasks=tasks)
+    assert all(r.tile * tile <= r.start0 <= r.stop0 < (r.tile + 1) * tile for r in found.collect())
+    out = coverage.binned(found, 100)
+    got = {(r.strand, r.bin): r for r in out.collect()}
+    assert got.keys() == bins.keys() and all(got[k].positions == len(x) and near(got[k].total, sum(x)) and near(got[k].peak, max(map(abs, x))) for k, x in bins.items())
+    if tasks:
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning") == 2 and f", {tasks}), REPARTITION_BY_NUM" in plan
+    with pytest.raises(ValueError):
+        coverage.binned(found, 7)
