@@ -1,15 +1,21 @@
 """Attribute lists of annotation rows, as map columns."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _with(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of value, which is worked out once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _first_wins(pairs: Column) -> Column:
     """Map of an array of (key, value) structs; of equal keys the first counts."""
-    keys = F.transform(pairs, lambda p: p["k"])
-    kept = F.filter(pairs, lambda p, i: F.array_position(keys, p["k"]) == i + 1)
-    return F.map_from_entries(kept)
+    kept = lambda pairs, keys: F.filter(pairs, lambda p, i: F.array_position(keys, p["k"]) == i + 1)
+    return _with(pairs, lambda x: _with(F.transform(x, lambda p: p["k"]), lambda keys: F.map_from_entries(kept(x, keys))))
 
 
 def _fields(attributes: Column) -> Column:
@@ -19,9 +25,8 @@ def _fields(attributes: Column) -> Column:
 def gff3(attributes: str | Column) -> Column:
     """Map of key=value; lists: keys lower-cased, blanks and empty entries dropped, the first of equal keys kept. Null where malformed."""
     a = F.col(attributes) if isinstance(attributes, str) else attributes
-    f = _fields(a)
-    pairs = F.transform(F.filter(F.transform(f, lambda x, i: F.struct(F.lower(x).alias("k"), F.get(f, i + 1).alias("v"), i.alias("i"))), lambda p: p["i"] % 2 == 0), lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v")))
-    return F.when(F.size(f) % 2 == 0, _first_wins(pairs))
+    pairs = lambda f: F.transform(F.filter(F.transform(f, lambda x, i: F.struct(F.lower(x).alias("k"), F.get(f, i + 1).alias("v"), i.alias("i"))), lambda p: p["i"] % 2 == 0), lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v")))
+    return _with(_fields(a), lambda f: F.when(F.size(f) % 2 == 0, _first_wins(pairs(f))))
 
 
 def malformed(attributes: str | Column) -> Column:

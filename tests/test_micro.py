@@ -220,3 +220,12 @@ def test_coverage_in_tiles(spark, style, tasks):
         assert plan.count("Exchange hashpartitioning") == 2 and f", {tasks}), REPARTITION_BY_NUM" in plan
     with pytest.raises(ValueError):
         coverage.binned(found, 7)
+
+
+def test_attributes_are_parsed_once(spark):
+    """An attribute list is split once, not once a field and key, so long ones cost little; of equal keys the first counts."""
+    long = "".join(f"K{i % 900}={i};" for i in range(1000))
+    df = spark.createDataFrame([(long,), ("a=1;b",), (None,), ("",)], "x string").select("x", attributes.gff3("x").alias("m"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    got = {r.x: r.m for r in df.collect()}
+    assert got[long] == {f"k{i}": str(i) for i in range(900)} and got["a=1;b"] is None and got[None] is None and got[""] == {}
