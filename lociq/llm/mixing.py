@@ -22,7 +22,8 @@ blocks hold costs its owner one entry a block. Lists have blocks times ranges as
 corpus; beyond some hundred GB larger blocks and owners keep the lists long (both are parameters).
 
 The weights that documents start with are learnt from the training corpus too. Every block codes its
-texts of the training fold TUNE with the counts of its other training texts; the blocks' mean weights are averaged.
+texts of the training fold TUNE with the counts of its other training texts, while it lists its pairs; an owner averages the
+blocks' mean weights and answers each block with them.
 
 Base score: sum over tokens of log10((c + 1) / (N + V + 1)). Tokens are words, A-Z lower-cased, and one end a text. They are
 compared whole. Null and empty texts hold the end only. Without training texts, N and V are 0, every c is 0, and each decision has
@@ -31,8 +32,8 @@ probability one half. Repeated rows give repeated results.
 from __future__ import annotations
 
 import heapq
-import zlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,19 +42,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, byte_chunks, fold, id_text, stored
+from .common import byte_chunks, fold, id_text, stored
 
 #: 0xFF is in no UTF-8 text: it stands for the end.
 END = 255
 #: Bytes of context of the first predictors, from the longest; the last one takes words. TOKENS is what a list of tokens has in place of a predictor.
 ORDERS = (4, 3, 2)
 PREDICTORS = TOKENS = len(ORDERS) + 1
+#: What a list of start weights has there.
+WEIGHTS = TOKENS + 1
 #: The word before belongs to contexts of fewer letters than this; bytes of a word that its hash covers; how far back a context reaches at most.
 WITH_BEFORE, WORD, REACH = 1, 24, 64
 #: Bytes of a block's texts (those of up to 2**22 - 1 are sorted fastest), and of the texts whose pairs one owner adds up, about; fewer owners where lists are short.
 BLOCK_BYTES, OWNER_BYTES, FEWER = 3 << 20, 1 << 24, (4, 16, 64, 1, 4)
 #: Trees, one for each common byte before (letters in lower case, all white space as one) and one for the rest: 5 bits.
 CLASSES = 32
+#: Bytes of texts whose contexts are taken at once; keys that are sorted at once.
+FEW_BYTES, SORTED = 1 << 15, 1 << 18
 #: Bytes between refinements, and texts whose next BLOCK bytes are coded at once: their arrays fit a core's cache.
 BLOCK, AT_ONCE, RATE = 256, 48, 0.02
 #: A stretched probability is kept in steps of STEP; what is added to counts. GATES: three depths, and which of the two longest contexts are known.
@@ -72,10 +77,23 @@ _KIND[_SPACE] = _KIND[0] = 32
 _KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Odd, and its inverse: contexts of up to four bytes, spread evenly over 32 bits.
 _SPREAD, _BACK, _32 = np.uint64(0x9E3779B1), np.uint64(pow(0x9E3779B1, -1, 1 << 32)), np.uint64(2**32 - 1)
+#: Values of a path that are looked up as one number.
+HEAD = 8
+#: Bytes from a token's beginning that choose its owner, besides its last ones.
+HASHED = 512
 #: A pair given for a place of a list whose path has several values.
 SEVERAL = -128
 
 
+def spaces(s: np.ndarray) -> np.ndarray:
+    """Whether bytes are white space or an end."""
+    return (s - 9 <= 4) | (s == 32) | (s == END)
+
+
+def lowered(s: np.ndarray) -> np.ndarray:
+    return s + ((s - 65 < 26).view(np.uint8) << 5)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """32 bits of a 64-bit hash."""
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
@@ -157,10 +175,24 @@ class Segment:
         """tree * 256 + byte of each place but the lead."""
         before = np.concatenate([np.zeros(1, np.uint8), self.symbols[:-1]])
         before[self.first] = 0
-        return (forest.tree[before].astype(np.int32) << 8 | self.symbols)[self.lead :]
+        return (forest.tree.take(before) << 8 | self.symbols)[self.lead :]
+
+    def by_few(self, keys: Callable[[Segment], np.ndarray]) -> np.ndarray:
+        """keys of all places, taken from a few texts at a time, whose arrays stay in a core's cache."""
+        ends = self.first + self.size
+        out, at = np.empty(len(self.symbols), np.uint64), 0
+        while at < len(ends):
+            a = int(self.first[at])
+            to = max(at + 1, int(np.searchsorted(ends, a + FEW_BYTES, side="right")))
+            b = int(ends[to - 1])
+            out[a:b] = keys(Segment(self.symbols[a:b], self.first[at:to] - a, self.size[at:to]))
+            at = to
+        return out
 
     def strings(self) -> np.ndarray:
         """The longest context of bytes and the byte, 40 bits, of each place but the lead. Shorter ones are its low bytes."""
+        if len(self.size) > 1 and len(self.symbols) > FEW_BYTES:
+            return self.by_few(lambda few: few.strings())
         before = eight(self.symbols, self.first, self.size)
         before <<= np.uint64(8)
         before &= np.uint64(2**40 - 1)
@@ -169,12 +201,15 @@ class Segment:
 
     def word_pairs(self, forest: Forest) -> np.ndarray:
         """The word's hash (29 bits), the tree and the byte of each place but the lead."""
+        if len(self.size) > 1 and len(self.symbols) > FEW_BYTES:
+            return self.by_few(lambda few: few.word_pairs(forest))
         s, first = self.symbols, self.first
-        low = eight(_LOW[s], first, self.size)
-        begin = np.where(_SPACE[s], np.arange(1, len(s) + 1, dtype=np.int32), 0)
+        low = eight(lowered(s), first, self.size)
+        begin = np.arange(1, len(s) + 1, dtype=np.int32)
+        begin *= spaces(s)
         begin = np.concatenate([np.zeros(1, np.int32), np.maximum.accumulate(begin)[:-1]])  # where the word that a place goes on begins
         n = np.arange(len(s), dtype=np.int32) - begin
-        word = mixed(low & _KEEP[np.minimum(n, 8)])
+        word = mixed(low & _KEEP.take(np.minimum(n, 8)))
         for k in range(8, WORD, 8):
             more = np.flatnonzero(n > k)
             word[more] += mixed((low[more - k] & _KEEP[np.minimum(n[more] - k, 8)]) + np.uint64(k))
@@ -190,7 +225,7 @@ class Segment:
         word = mixed(word[self.lead :])
         word >>= np.uint64(3)
         word <<= np.uint64(13)
-        word |= self.codes(forest).astype(np.uint64)
+        word |= self.codes(forest).view(np.uint64)
         return word
 
 
@@ -216,8 +251,17 @@ def shorter(strings: np.ndarray, order: int) -> np.ndarray:
     return strings & np.uint64((1 << (8 * order + 8)) - 1)
 
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys of 42 bits, and the place of each key among them: keys are sorted with their places in the low 22 bits, where these hold them."""
+def distinct(keys: np.ndarray, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of 42 bits, and the place of each key among them: keys are sorted with their places in the low 22 bits, where these hold them.
+    Many keys are sorted part by part first."""
+    if len(keys) > SORTED and not whole:
+        parts = [distinct(keys[i : i + SORTED]) for i in range(0, len(keys), SORTED)]
+        u, place = distinct(np.concatenate([own for own, _ in parts]), True)
+        out, at = np.empty(len(keys), np.int32), 0
+        for i, (own, of) in enumerate(parts):
+            place[at : at + len(own)].take(of, out=out[i * SORTED : (i + 1) * SORTED], mode="clip")
+            at += len(own)
+        return u, out
     if len(keys) > 1 << 22:
         u, place = np.unique(keys, return_inverse=True)
         return u, place.astype(np.int32)
@@ -242,17 +286,29 @@ def tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def added(keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
     """The distinct keys, and the sums of each one's counts."""
+    if not (keys[1:] >= keys[:-1]).all():
+        order = np.argsort(keys)
+        keys, counts = keys[order], [n[order] for n in counts]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return [keys[new], *(np.add.reduceat(n, new) if len(new) else n for n in counts)]
+
+
+def merged(lists: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys of lists, the sums of their counts, and each list's places among them."""
+    keys = np.concatenate(lists)
     order = np.argsort(keys)
     keys = keys[order]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return [keys[new], *(np.add.reduceat(n[order], new) if len(new) else n for n in counts)]
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return keys[new], np.add.reduceat(n[order], np.flatnonzero(new)), np.split(place, np.cumsum([len(x) for x in lists])[:-1])
 
 
 def pair_counts(texts: list[bytes], roles: np.ndarray, forest: Forest) -> Iterator[list[np.ndarray]]:
     """Of each predictor: the distinct pairs of the texts, and their counts in texts to train on (roles 1 and 2) and to tune by (role 2)."""
     found: list[list] = [[], []]
     for segment in segments(texts) if texts else ():
-        role = np.repeat(roles, segment.size - segment.lead) if len(roles) > 1 else np.uint64(roles[0])
+        role = np.repeat(roles.astype(np.uint8), segment.size - segment.lead) if len(roles) > 1 else np.uint64(roles[0])
         for own, make in zip(found, (segment.strings, lambda: segment.word_pairs(forest))):
             keys = make()
             keys <<= np.uint64(2)
@@ -276,7 +332,7 @@ class Values:
     several: np.ndarray
 
     @classmethod
-    def of(cls, kind: int, keys: np.ndarray, n: np.ndarray, forest: Forest, at_once: int = 1 << 18) -> Values:
+    def of(cls, kind: int, keys: np.ndarray, n: np.ndarray, forest: Forest, at_once: int = 1 << 14) -> Values:
         """Of sorted distinct pairs with all of their contexts' counts."""
         context = keys >> np.uint64(8)
         new = np.concatenate([[True], context[1:] != context[:-1]]) if len(keys) else np.zeros(0, bool)
@@ -324,7 +380,7 @@ def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 def packed(*arrays: np.ndarray) -> bytes:
     """Compressed planes of bytes, the lowest first, of arrays of equal length; planes of zeros at the end are left out."""
     planes = [np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8).T for a in arrays]
-    used = [max((i + 1 for i in range(8) if p[i].any()), default=0) for p in planes]
+    used = [(int(a.max(initial=0)).bit_length() + 7) // 8 for a in arrays]
     return bytes(used) + squeezed(b"".join(p[:u].tobytes() for p, u in zip(planes, used)))
 
 
@@ -351,25 +407,51 @@ def opened(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def tokens(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct tokens in order, the place of each text's tokens among them, and how many each text has. The end is the empty token, the first."""
-    low = pa.array([t.translate(LOWER) for t in texts], pa.binary()).view(pa.utf8())
-    lists = pc.ascii_split_whitespace(low)
-    flat, whose = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    order = pc.sort_indices(coded.dictionary).to_numpy()
+def tokens(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens in order, a line each, the place of each text's tokens among them, and how many each text has. The end is the empty line, the first."""
+    s = np.frombuffer(b"".join(t + b"\xff" for t in texts), np.uint8)
+    space = spaces(s)
+    again = space & np.concatenate([[True], space[:-1]])  # white space that no token is before
+    low = np.where(space, np.uint8(10), lowered(s))
+    stops = np.flatnonzero(space & ~again)
+    n = np.diff(np.searchsorted(stops, np.cumsum([len(t) + 1 for t in texts])), prepend=0) + 1
+    coded = lines(low[~again]).dictionary_encode()
+    # By their first five bytes, so that those alike are stored beside each other.
+    data, begin, size = parts_of(coded.dictionary)
+    order = np.argsort((heads(data, begin) & _KEEP.take(np.minimum(size, 5))).byteswap(), kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(1, len(order) + 1)
-    n = np.bincount(whose[real], minlength=len(texts)) + 1
     every = np.zeros(int(n.sum()), np.int64)
     inside = np.ones(len(every), bool)
     inside[np.cumsum(n) - 1] = False  # the end comes last
     every[inside] = rank[coded.indices.to_numpy(zero_copy_only=False)]
-    words = coded.dictionary.take(pa.array(order)).cast(pa.large_binary())
-    _, ends, data = words.buffers()
-    data, ends = data.to_pybytes() if data else b"", np.frombuffer(ends, np.int64)[: len(words) + 1].tolist()
-    return [b"", *(data[a:b] for a, b in zip(ends, ends[1:]))], every, n
+    return pa.concat_arrays([pa.array([b"\n"], pa.large_binary()), coded.dictionary.take(pa.array(order))]), every, n
+
+
+def parts_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of words, some zeros after them, and where each one begins and its size."""
+    ends = np.frombuffer(words.buffers()[1] or bytes(8), np.int64)[: len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.int8)[: ends[-1]]
+    return np.concatenate([data, np.zeros(24, np.int8)]), ends[:-1], np.diff(ends)
+
+
+def lines(data: np.ndarray) -> pa.Array:
+    """The lines of bytes, each with its end."""
+    ends = np.flatnonzero(data == 10) + 1
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([np.zeros(1, np.int64), ends])), pa.py_buffer(data)])
+
+
+def heads(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The HEAD values from each begin on, as one number; values has 16 more at its end."""
+    words = values[: len(values) // 8 * 8].view("<u8")
+    at, shift = begin >> 3, (begin & 7).astype(np.uint64) << np.uint64(3)
+    out = words.take(at)
+    out >>= shift
+    more = words.take(at + 1)
+    more <<= np.uint64(63) - shift  # in two steps, as a shift by 64 isn't defined
+    more <<= np.uint64(1)
+    out |= more
+    return out
 
 
 class Coder:
@@ -381,29 +463,41 @@ class Coder:
         # Of the whole text, where several segments share its pairs.
         self.pairs = [k for k, *_ in pair_counts(texts, np.zeros(len(texts), np.uint64), forest)] if len(self.segments) > 1 else []
         self.values: list[np.ndarray] = []
-        self.length = forest.length.astype(np.int32)
+        self.begins: list[np.ndarray] = []
+        self.heads: list[np.ndarray] = []
+        self.length = forest.length.astype(np.int16)
         self.rooms: dict[str, np.ndarray] = {}
 
-    def begins(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        """Where in the predictor's values each of the segment's distinct pairs has its own."""
-        every = self.pairs[kind] if self.pairs else np.sort(keys)
-        flags, several = self.answers[kind]
-        length = self.forest.length[self.forest.codes(kind, every)]
+    def rows(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        """Where in the predictor's tables each of the segment's sorted distinct pairs has its own."""
+        every = self.pairs[kind] if self.pairs else keys
         if len(self.values) == kind:
-            values = np.repeat(flags, length)
-            values[values == SEVERAL] = several
+            flags, several = self.answers[kind]
+            length = self.forest.length[self.forest.codes(kind, every)]
+            values = np.zeros(int(length.sum()) + 16, np.int8)
+            values[:-16] = np.repeat(flags, length)
+            values[:-16][values[:-16] == SEVERAL] = several
+            begin = np.cumsum(length) - length
             self.values.append(values)
-        return (np.cumsum(length) - length).astype(np.int32)[np.searchsorted(every, keys)]
+            self.begins.append(begin.astype(np.int32))
+            self.heads.append(heads(values, begin))
+        return np.searchsorted(every, keys).astype(np.int32) if self.pairs else np.arange(len(keys), dtype=np.int32)
 
     def places(self, segment: Segment) -> list[np.ndarray]:
-        """Of each predictor: where the values of each place begin."""
-        strings, at = distinct(segment.strings())
-        out = []
+        """Of each place: the numbers of its string and of its word pair. Keeps the rows of these in the predictors' tables, and what the tables hold for each string side by side."""
+        strings, string = distinct(segment.strings())
+        self.row = []
         for kind, order in enumerate(ORDERS):
-            own, of = np.unique(spread(shorter(strings, order)), return_inverse=True)
-            out.append(self.begins(kind, own)[of].take(at))
-        own, at = distinct(segment.word_pairs(self.forest))
-        return [*out, self.begins(PREDICTORS - 1, own).take(at)]
+            own, of = distinct(spread(shorter(strings, order)))
+            self.row.append(self.rows(kind, own)[of])
+        own, word = distinct(segment.word_pairs(self.forest))
+        self.row.append(self.rows(PREDICTORS - 1, own))
+        self.long = self.length.take((own & np.uint64(CLASSES * 256 - 1)).view(np.int64))  # of the path to the pair's byte
+        self.of_string = np.zeros((len(strings), PREDICTORS), np.uint64)  # the word's head goes last
+        for kind in range(PREDICTORS - 1):
+            self.of_string[:, kind] = self.heads[kind].take(self.row[kind])
+        self.of_word = self.heads[-1].take(self.row[-1]) if self.pairs else self.heads[-1]
+        return [string, word]
 
     def bits(self, start: np.ndarray, learn: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Total bits of each text, its end included, and the mean of the weights while learning.
@@ -414,7 +508,7 @@ class Coder:
         self.trace, self.steps = np.zeros((GATES, PREDICTORS)), 0
         for segment in self.segments:
             size = segment.size - segment.lead
-            places, codes = self.places(segment), segment.codes(self.forest)
+            places = self.places(segment)
             if learn:
                 own = weights.reshape(1, GATES, PREDICTORS)
             else:
@@ -423,34 +517,40 @@ class Coder:
             for at in range(0, int(size.max(initial=0)), BLOCK):
                 live = live[size[live] > at]
                 for some in (live[i : i + AT_ONCE] for i in range(0, len(live), AT_ONCE)):
-                    self.block(some, np.minimum(size[some] - at, BLOCK), segment.first[some] + at, codes, places, own, out, learn)
+                    self.block(some, np.minimum(size[some] - at, BLOCK), segment.first[some] + at, places, own, out, learn)
         return out, self.trace / self.steps if self.steps else start
 
     def room(self, name: str, kind: type, *shape: int) -> np.ndarray:
         """Space that is used again from block to block, so that it stays in the core's cache."""
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         if len(self.rooms.get(name, ())) < size:
             self.rooms[name] = np.empty(size + size // 4, kind)
         return self.rooms[name][:size].reshape(shape)
 
-    def block(self, some, n, begin, codes, places, weights, out, learn) -> None:
+    def block(self, some, n, begin, places, weights, out, learn) -> None:
         """Codes the next n bytes of some texts, then refines their weights.
 
         Bytes are ordered by text and known contexts, and their decisions by depth before that: those that share weights are beside each other.
         """
-        owner = np.repeat(np.arange(len(some)) * (not learn), n)
-        where = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(len(owner))
-        begins = [p.take(where).astype(np.int64) for p in places]
-        known = [self.values[i].take(begins[i]) != 0 for i in (0, PREDICTORS - 1)]
-        key = owner * 4 + known[0] + 2 * known[1]
-        order = np.argsort(key.astype(np.uint16), kind="stable")
-        where, key = where.take(order), key.take(order)
-        length = self.length.take(codes.take(where))
+        where = np.repeat(begin - (np.cumsum(n) - n), n)
+        where += np.arange(len(where))
+        pair = [p.take(where) for p in places]
+        found = self.of_string.take(pair[0], axis=0)  # HEAD values of each predictor of each place
+        found[:, -1] = self.of_word.take(pair[1])
+        key = np.repeat(np.arange(0, 4 * len(some), 4, dtype=np.uint16) * np.uint16(not learn), n)
+        key += (found[:, 0] & np.uint64(255)) != 0
+        key += ((found[:, -1] & np.uint64(255)) != 0) * np.uint16(2)
+        found = found.view(np.int8).ravel()
+        order = np.argsort(key, kind="stable")
+        key = key.take(order).astype(np.int64)
+        length = self.long.take(pair[1].take(order))
         runs = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         second, deep = np.flatnonzero(length > 1), np.maximum(length - 2, 0)
         rest_from = np.cumsum(deep) - deep
         # Of each set of weights: how many decisions are its own, at each depth.
-        many = np.concatenate([np.diff(np.append(runs, len(key))), np.add.reduceat(length > 1, runs, dtype=np.int64), np.add.reduceat(deep, runs)])
+        runs = np.append(runs, len(key))
+        many = np.concatenate([np.diff(runs), np.diff(np.searchsorted(second, runs)), np.diff(np.append(rest_from, rest_from[-1] + deep[-1]).take(runs))])
+        runs = runs[:-1]
         sets = 4 * len(some) if not learn else 4
         which = np.concatenate([key[runs], sets + key[runs], 2 * sets + key[runs]])[many > 0]
         many = many[many > 0]
@@ -458,19 +558,25 @@ class Coder:
         a, b, whole = len(key), len(key) + len(second), int(many.sum())
         at, seen = self.room("at", np.int64, whole), self.room("seen", np.int8, whole)
         x, z, more = self.room("x", np.float32, PREDICTORS, whole), self.room("z", np.float32, whole), self.room("more", np.float32, whole)
-        rest = np.repeat(np.arange(a), deep)
-        along = np.arange(2, 2 + len(rest))
+        # Where each decision's value is among the heads; that of one beyond them is looked up by itself.
+        place = order * (HEAD * PREDICTORS)
+        at[:a] = place
+        place.take(second, out=at[a:b], mode="clip")
+        at[a:b] += 1
+        place -= rest_from - 2
+        np.add(np.repeat(place, deep), np.arange(whole - b), out=at[b:])
+        beyond = np.flatnonzero(length > HEAD)
+        if len(beyond):
+            over = length.take(beyond) - HEAD
+            depth = np.arange(int(over.sum())) - np.repeat(np.cumsum(over) - over, over) + HEAD
+            to, who = b + np.repeat(rest_from.take(beyond), over) + depth - 2, np.repeat(order.take(beyond), over)
+            who = [p.take(who) for p in pair]
         every = weights[0] if learn else weights[some].transpose(1, 0, 2, 3).reshape(-1, PREDICTORS)  # by depth, text, known contexts
         w = every[which]
         for i in range(PREDICTORS):
-            place = begins[i].take(order)
-            at[:a] = place
-            place.take(second, out=at[a:b], mode="clip")
-            at[a:b] += 1
-            place -= rest_from
-            place.take(rest, out=at[b:], mode="clip")
-            at[b:] += along
-            self.values[i].take(at, out=seen, mode="clip")
+            found[HEAD * i :].take(at, out=seen, mode="clip")
+            if len(beyond):
+                seen[to] = self.values[i].take(self.begins[i].take(self.row[i].take(who[i == PREDICTORS - 1])) + depth)
             x[i] = seen
             np.multiply(np.repeat(w[:, i], many), x[i], out=more if i else z)
             if i:
@@ -485,7 +591,7 @@ class Coder:
             out[some] += np.bincount(which % sets // 4, np.add.reduceat(more, starts, dtype=np.float64), len(some))
         x *= z
         step = ((TUNE_RATE if learn else RATE) * STEP / np.sqrt(1 + many)).astype(np.float32)
-        every[which] = w + np.stack([np.add.reduceat(g, starts) for g in x], axis=1) * step[:, None]
+        every[which] = w + np.add.reduceat(x, starts, axis=1).T * step[:, None]
         if learn:
             self.trace += weights[0]
             self.steps += 1
@@ -505,7 +611,9 @@ def dealt(docs: DataFrame, block_bytes: int) -> DataFrame:
                 roles = batch.column(2).slice(at, len(texts)).to_numpy()
                 train = np.frombuffer(b"".join(t + b"\xff" for t, r in zip(texts, roles) if r), np.uint8)
                 after = np.concatenate([np.array([END], np.uint8), train[:-1]])[: len(train)]  # the end before a text counts as white space
-                n = np.bincount(_KIND[after].astype(np.int32) << 8 | train, minlength=1 << 16)
+                n = np.zeros((256, 256), np.int64)
+                np.add.at(n, _KIND, np.bincount(after.astype(np.uint16) << 8 | train, minlength=1 << 16).reshape(256, 256))
+                n = n.ravel()
                 code = np.flatnonzero(n)
                 columns = [[block], [batch.column(0).slice(at, len(texts)).to_pylist()], [roles], [[len(t) for t in texts]], [squeezed(b"".join(texts), 3)], [code], [n[code]]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
@@ -529,32 +637,27 @@ def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
             yield block, texts_of(sizes, data), np.array(roles, np.uint64)
 
 
-def learnt(blocks: DataFrame, forest: Forest) -> np.ndarray:
-    """The start weights: averages, over all blocks, of the weights while their texts of the fold are coded."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts, roles in each_block(batches):
-            tune = [t for t, r in zip(texts, roles) if r == 2]
-            if tune:
-                asked = pair_counts(tune, np.zeros(len(tune), np.uint64), forest)
-                answers = [Values.of(i, k, n - less, forest).at(np.searchsorted(k, own)) for i, ((k, n, less), (own, *_)) in enumerate(zip(pair_counts(texts, roles, forest), asked))]
-                _, mean = Coder(forest, tune, answers).bits(np.tile(FIRST, (GATES, 1)), learn=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(mean.size)), pa.array(mean.ravel().astype(float))], ["at", "weight"])
-
-    mean = blocks.select("block", "roles", "sizes", "texts").mapInArrow(run, "at long, weight double").groupBy("at").agg(F.avg("weight")).collect()  # GATES * PREDICTORS rows
-    out = np.tile(FIRST, (GATES, 1))
-    for at, weight in mean:
-        out.ravel()[at] = weight
-    return out
+def answered(kind: int, keys: np.ndarray, n: np.ndarray, asked: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
+    """Flags and values of the asked of sorted distinct pairs; contexts that nothing is asked of aren't looked at."""
+    context = keys >> np.uint64(8)
+    of = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]])[: len(keys)])
+    within = (np.bincount(of, asked, minlength=1) > 0)[of]
+    return Values.of(kind, keys[within], n[within], forest).at(np.flatnonzero(asked[within]))
 
 
 def owners(kind: int, ranges: int) -> int:
     return -(-ranges // FEWER[kind])
 
 
-def by_part(words: list[bytes], m: int) -> dict[int, np.ndarray]:
-    """The places of the tokens that each of m owners is asked for."""
-    part = np.array([zlib.crc32(w) % m for w in words], np.int64)
+def by_part(words: pa.Array, m: int) -> dict[int, np.ndarray]:
+    """The places of the tokens that each of m owners is asked for, by a hash of a token's length, its first HASHED bytes and its last eight."""
+    data, begin, n = parts_of(words)
+    h = n.astype(np.uint64)
+    h += mixed(heads(data, np.maximum(begin, begin + n - 8)) & _KEEP[np.minimum(n, 8)]) * np.uint64(5)
+    for k in range(0, min(int(n.max(initial=0)), HASHED), 8):
+        more = np.flatnonzero(n > k)
+        h[more] += mixed((heads(data, begin[more] + k) & _KEEP[np.minimum(n[more] - k, 8)]) + np.uint64(k))
+    part = mixed(h) % np.uint64(m)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     return {int(part[own[0]]): own for own in np.split(order, cuts)}
@@ -580,38 +683,44 @@ def token_lists(blocks: DataFrame, ranges: int) -> DataFrame:
         words, every, size = tokens(texts)
         n = np.bincount(every, np.repeat(roles > 0, size), len(words)).astype(np.int64)
         for part, own in by_part(words, owners(TOKENS, ranges)).items():
-            yield TOKENS, part, len(own), squeezed(b"\n".join([words[i] for i in own.tolist()])), packed(n[own])
+            yield TOKENS, part, len(own), squeezed(words.take(pa.array(own)).buffers()[2]), packed(n[own])
 
     return lists_of(blocks, lists)
 
 
-def pair_lists(blocks: DataFrame, forest: Forest, ranges: int) -> DataFrame:
-    def lists(texts: list[bytes], roles: np.ndarray) -> Iterator[tuple]:
-        for kind, (keys, n, _) in enumerate(pair_counts(texts, roles, forest)):
-            context, m = keys >> np.uint64(8), owners(kind, ranges)
-            top = context >> np.uint64(2) if kind == PREDICTORS - 1 else context  # its highest 32 bits
-            cuts = np.searchsorted(top * np.uint64(m) >> np.uint64(32), np.arange(m + 1))
-            for part in np.flatnonzero(np.diff(cuts)).tolist():
-                a, b = cuts[part], cuts[part + 1]
-                yield kind, part, b - a, packed(np.diff(context[a:b], prepend=np.uint64(0)), keys[a:b] & np.uint64(255)), packed(n[a:b])
+def listed(texts: list[bytes], roles: np.ndarray, forest: Forest, ranges: int) -> Iterator[tuple]:
+    """The lists of a block's pairs; and, as kind WEIGHTS, the mean of the weights while its texts of the fold TUNE are coded, none without such texts."""
+    tune, answers = [t for t, r in zip(texts, roles) if r == 2], []
+    for kind, (keys, n, less) in enumerate(pair_counts(texts, roles, forest)):
+        if tune:
+            answers.append(answered(kind, keys, n - less, less > 0, forest))
+        context, m = keys >> np.uint64(8), owners(kind, ranges)
+        top = context >> np.uint64(2) if kind == PREDICTORS - 1 else context  # its highest 32 bits
+        cuts = np.searchsorted(top * np.uint64(m) >> np.uint64(32), np.arange(m + 1))
+        for part in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = cuts[part], cuts[part + 1]
+            yield kind, part, b - a, packed(np.diff(context[a:b], prepend=np.uint64(0)), keys[a:b] & np.uint64(255)), packed(n[a:b])
+    mean = Coder(forest, tune, answers).bits(np.tile(FIRST, (GATES, 1)), learn=True)[1] if tune else np.zeros(0)
+    yield WEIGHTS, 0, mean.size, mean.astype("<f8").tobytes(), b""
 
-    return lists_of(blocks, lists)
+
+def pair_lists(blocks: DataFrame, forest: Forest, ranges: int) -> DataFrame:
+    return lists_of(blocks, lambda texts, roles: listed(texts, roles, forest, ranges))
 
 
-#: flags of a predictor, or counts of tokens. Sums over a range's tokens are in a row with block -1.
+#: flags of a predictor, counts of tokens, or weights. Sums over a range's tokens are in a row with block -1.
 ANSWER = "block long, kind int, part long, size long, flags binary, several binary, total long, known long"
 _ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int64()), ("size", pa.int64()), ("flags", pa.binary()), ("several", pa.binary()), ("total", pa.int64()), ("known", pa.int64())])
 
 
 def token_answers(asked: DataFrame) -> DataFrame:
     def own(key: tuple, t: pa.Table) -> pa.Table:
-        part, rows, every = key[1].as_py(), t.to_pylist(), {}
-        lists = [opened(r["keys"]).split(b"\n") for r in rows]
-        for words, r in zip(lists, rows):
-            for w, n in zip(words, unpacked(r["n"], 1, r["size"])[0].tolist()):
-                every[w] = every.get(w, 0) + n
-        out = [(r["block"], TOKENS, part, len(words), packed(np.array([every[w] for w in words], np.int64)), None, None, None) for words, r in zip(lists, rows)]
-        out.append((-1, TOKENS, part, 0, None, None, sum(every.values()), sum(n > 0 for n in every.values())))
+        part, rows = key[1].as_py(), t.to_pylist()
+        code = lines(np.frombuffer(b"".join(opened(r["keys"]) for r in rows), np.uint8)).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        n = np.bincount(code, np.concatenate([unpacked(r["n"], 1, r["size"])[0] for r in rows])).astype(np.int64)  # whole numbers under 2**53
+        lists = np.split(code, np.cumsum([r["size"] for r in rows])[:-1])
+        out = [(r["block"], TOKENS, part, r["size"], packed(n[places]), None, None, None) for places, r in zip(lists, rows)]
+        out.append((-1, TOKENS, part, 0, None, None, int(n.sum()), int((n > 0).sum())))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ANSWER)], schema=_ANSWER)
 
     return asked.groupBy("kind", "part").applyInArrow(own, ANSWER)
@@ -620,13 +729,18 @@ def token_answers(asked: DataFrame) -> DataFrame:
 def pair_answers(asked: DataFrame, forest: Forest) -> DataFrame:
     def own(key: tuple, t: pa.Table) -> pa.Table:
         kind, part, rows, lists = key[0].as_py(), key[1].as_py(), t.to_pylist(), []
+        if kind == WEIGHTS:
+            means = [np.frombuffer(r["keys"], "<f8") for r in sorted(rows, key=lambda r: r["block"]) if r["size"]]
+            start = (np.mean(means, axis=0) if means else np.tile(FIRST, GATES)).astype("<f8").tobytes()
+            out = [(r["block"], kind, part, 0, start, b"", None, None) for r in rows]
+            return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ANSWER)], schema=_ANSWER)
         for r in rows:
             gaps, symbols = unpacked(r["keys"], 2, r["size"])
             lists.append((np.cumsum(gaps) << np.uint64(8)) | symbols)
-        keys, n = added(np.concatenate(lists), np.concatenate([unpacked(r["n"], 1, r["size"])[0] for r in rows]).astype(np.int64))
+        keys, n, places = merged(lists, np.concatenate([unpacked(r["n"], 1, r["size"])[0] for r in rows]).astype(np.int64))
         values, out = Values.of(kind, keys, n, forest), []
-        for r, own in zip(rows, lists):
-            flags, several = values.at(np.searchsorted(keys, own))
+        for r, own in zip(rows, places):
+            flags, several = values.at(own)
             out.append((r["block"], kind, part, len(own), squeezed(flags.tobytes()), squeezed(several.tobytes()), None, None))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ANSWER)], schema=_ANSWER)
 
@@ -646,7 +760,6 @@ def scores(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "do
     ranges = -(-n_bytes // owner_bytes) or 1
     of_tokens = stored(token_answers(token_lists(blocks, ranges)))
     total, known = of_tokens.where("block < 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
-    start = learnt(blocks, forest)
     each = float(np.log10(total + known + 1))
 
     def run(t: pa.Table) -> pa.Table:
@@ -656,6 +769,7 @@ def scores(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "do
         for kind in range(PREDICTORS):
             own = [r for r in answers if r["kind"] == kind]
             pairs.append(tuple(np.frombuffer(b"".join(opened(r[c]) for r in own), np.int8) for c in ("flags", "several")))
+        start = next(np.frombuffer(r["flags"], "<f8") for r in answers if r["kind"] == WEIGHTS)
         bits, _ = Coder(forest, texts, pairs).bits(start)
         words, every, size = tokens(texts)
         places, counts = by_part(words, owners(TOKENS, ranges)), np.zeros(len(words), np.int64)
