@@ -144,6 +144,9 @@ class Forest:
     node: np.ndarray
     bit: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.side = self.node << 1 | self.bit
+
     @classmethod
     def of(cls, counts: np.ndarray) -> Forest:
         """counts: how often each byte follows each _KIND of byte, 256 * 256."""
@@ -295,13 +298,8 @@ def added(keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
 
 def merged(lists: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """The distinct keys of lists, the sums of their counts, and each list's places among them."""
-    keys = np.concatenate(lists)
-    order = np.argsort(keys)
-    keys = keys[order]
-    new = np.concatenate([[True], keys[1:] != keys[:-1]])
-    place = np.empty(len(keys), np.int32)
-    place[order] = np.cumsum(new, dtype=np.int32) - 1
-    return keys[new], np.add.reduceat(n[order], np.flatnonzero(new)), np.split(place, np.cumsum([len(x) for x in lists])[:-1])
+    keys, place = distinct(np.concatenate(lists), True)
+    return keys, np.bincount(place, n).astype(np.int64), np.split(place, np.cumsum([len(x) for x in lists])[:-1])  # whole numbers under 2**53
 
 
 def pair_counts(texts: list[bytes], roles: np.ndarray, forest: Forest) -> Iterator[list[np.ndarray]]:
@@ -352,17 +350,19 @@ class Values:
             to = int(begins[i]) if i < len(begins) else len(some)
             part = some[at:to]
             at = to
-            paths = forest.length.take(code.take(part))
-            whose = np.repeat(part, paths)
-            place = np.arange(len(whose)) + np.repeat(forest.start.take(code.take(part)) - (np.cumsum(paths) - paths), paths)
-            _, node = distinct((of.take(whose) - of[part[0]]).astype(np.uint64) << np.uint64(8) | forest.node.take(place).astype(np.uint64))
-            bit, weight = forest.bit.take(place), n.take(whose).astype(float)
-            node = node.astype(np.intp)
-            several = np.flatnonzero(~plain.take(whose))
-            bit_of, node_of = bit.take(several), node.take(several)
-            whole, ones = np.bincount(node, weight).take(node_of), np.bincount(node, weight * bit).take(node_of)
-            taken = np.where(bit_of == 1, ones, whole - ones)
-            out.append(stretched(whole - taken, taken))
+            start, paths = forest.start.take(code.take(part)), forest.length.take(code.take(part))
+            place = np.repeat(start - (np.cumsum(paths) - paths), paths)
+            place += np.arange(len(place))
+            # A side: the context, the node and the way that the decision falls. The other side of a node is beside it.
+            side = np.repeat((of.take(part) - of[part[0]]) << 9, paths)
+            side |= forest.side.take(place)
+            sides, side = distinct(side.view(np.uint64), True)
+            taken = np.bincount(side, np.repeat(n.take(part).astype(float), paths))
+            both = np.flatnonzero(sides[1:] >> np.uint64(1) == sides[:-1] >> np.uint64(1))
+            missed = np.zeros(len(taken))
+            missed[both], missed[both + 1] = taken[both + 1], taken[both]
+            value = stretched(missed, taken).take(side)
+            out.append(value if not plain.take(part).any() else value[np.repeat(~plain.take(part), paths)])
         return cls(flags, np.cumsum(length) - length, length, np.concatenate(out) if out else np.zeros(0, np.int8))
 
     def at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -379,19 +379,19 @@ def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 def packed(*arrays: np.ndarray) -> bytes:
     """Compressed planes of bytes, the lowest first, of arrays of equal length; planes of zeros at the end are left out."""
-    planes = [np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8).T for a in arrays]
     used = [(int(a.max(initial=0)).bit_length() + 7) // 8 for a in arrays]
-    return bytes(used) + squeezed(b"".join(p[:u].tobytes() for p, u in zip(planes, used)))
+    return bytes(used) + squeezed(b"".join((a >> a.dtype.type(8 * i)).astype(np.uint8).tobytes() for a, u in zip(arrays, used) for i in range(u)))
 
 
 def unpacked(data: bytes, arrays: int, n: int) -> list[np.ndarray]:
     """n: length of each array."""
     raw, out, at = np.frombuffer(opened(data[arrays:]), np.uint8), [], 0
     for used in data[:arrays]:
-        x = np.zeros((n, 8), np.uint8)
-        x[:, :used] = raw[at : at + used * n].reshape(used, n).T
-        out.append(x.view("<u8").ravel())
-        at += used * n
+        x = np.zeros(n, np.uint64)
+        for i in range(used):
+            x |= raw[at : at + n].astype(np.uint64) << np.uint64(8 * i)
+            at += n
+        out.append(x)
     return out
 
 
@@ -484,19 +484,20 @@ class Coder:
         return np.searchsorted(every, keys).astype(np.int32) if self.pairs else np.arange(len(keys), dtype=np.int32)
 
     def places(self, segment: Segment) -> list[np.ndarray]:
-        """Of each place: the numbers of its string and of its word pair. Keeps the rows of these in the predictors' tables, and what the tables hold for each string side by side."""
+        """Of each place: the numbers of its string and of its word pair. Keeps what the predictors' tables hold for these, for a string side by side."""
         strings, string = distinct(segment.strings())
-        self.row = []
+        self.of_string, self.tail = np.zeros((len(strings), PREDICTORS), np.uint64), []  # the word's head goes last
         for kind, order in enumerate(ORDERS):
             own, of = distinct(spread(shorter(strings, order)))
-            self.row.append(self.rows(kind, own)[of])
+            row = self.rows(kind, own)[of]
+            self.of_string[:, kind] = self.heads[kind].take(row)
+            self.tail.append(self.begins[kind].take(row))
+        code = self.forest.tree.take((strings >> np.uint64(8) & np.uint64(255)).view(np.int64)) << 8
+        self.long = self.length.take(code | (strings & np.uint64(255)).view(np.int64))  # of the path to a string's byte
         own, word = distinct(segment.word_pairs(self.forest))
-        self.row.append(self.rows(PREDICTORS - 1, own))
-        self.long = self.length.take((own & np.uint64(CLASSES * 256 - 1)).view(np.int64))  # of the path to the pair's byte
-        self.of_string = np.zeros((len(strings), PREDICTORS), np.uint64)  # the word's head goes last
-        for kind in range(PREDICTORS - 1):
-            self.of_string[:, kind] = self.heads[kind].take(self.row[kind])
-        self.of_word = self.heads[-1].take(self.row[-1]) if self.pairs else self.heads[-1]
+        row = self.rows(PREDICTORS - 1, own)
+        self.of_word = self.heads[-1].take(row) if self.pairs else self.heads[-1]
+        self.tail.append(self.begins[-1].take(row) if self.pairs else self.begins[-1])
         return [string, word]
 
     def bits(self, start: np.ndarray, learn: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -537,22 +538,23 @@ class Coder:
         pair = [p.take(where) for p in places]
         found = self.of_string.take(pair[0], axis=0)  # HEAD values of each predictor of each place
         found[:, -1] = self.of_word.take(pair[1])
-        key = np.repeat(np.arange(0, 4 * len(some), 4, dtype=np.uint16) * np.uint16(not learn), n)
-        key += (found[:, 0] & np.uint64(255)) != 0
-        key += ((found[:, -1] & np.uint64(255)) != 0) * np.uint16(2)
         found = found.view(np.int8).ravel()
+        key = np.repeat(np.arange(0, 4 * len(some), 4, dtype=np.uint8) * np.uint8(not learn), n)  # under 4 * AT_ONCE
+        key += found[:: HEAD * PREDICTORS] != 0
+        key += (found[HEAD * (PREDICTORS - 1) :: HEAD * PREDICTORS] != 0).view(np.uint8) << 1
         order = np.argsort(key, kind="stable")
-        key = key.take(order).astype(np.int64)
-        length = self.long.take(pair[1].take(order))
+        key = key.take(order)
+        length = self.long.take(pair[0].take(order))
         runs = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        second, deep = np.flatnonzero(length > 1), np.maximum(length - 2, 0)
+        second, deep = np.flatnonzero(length > 1), np.maximum(length - 2, 0).astype(np.int64)
         rest_from = np.cumsum(deep) - deep
         # Of each set of weights: how many decisions are its own, at each depth.
         runs = np.append(runs, len(key))
         many = np.concatenate([np.diff(runs), np.diff(np.searchsorted(second, runs)), np.diff(np.append(rest_from, rest_from[-1] + deep[-1]).take(runs))])
         runs = runs[:-1]
         sets = 4 * len(some) if not learn else 4
-        which = np.concatenate([key[runs], sets + key[runs], 2 * sets + key[runs]])[many > 0]
+        of = key[runs].astype(np.int64)
+        which = np.concatenate([of, sets + of, 2 * sets + of])[many > 0]
         many = many[many > 0]
         starts = np.cumsum(many) - many
         a, b, whole = len(key), len(key) + len(second), int(many.sum())
@@ -576,7 +578,7 @@ class Coder:
         for i in range(PREDICTORS):
             found[HEAD * i :].take(at, out=seen, mode="clip")
             if len(beyond):
-                seen[to] = self.values[i].take(self.begins[i].take(self.row[i].take(who[i == PREDICTORS - 1])) + depth)
+                seen[to] = self.values[i].take(self.tail[i].take(who[i == PREDICTORS - 1]) + depth)
             x[i] = seen
             np.multiply(np.repeat(w[:, i], many), x[i], out=more if i else z)
             if i:
@@ -588,7 +590,7 @@ class Coder:
         z /= more  # the probability of what isn't there
         np.log2(more, out=more)
         if not learn:
-            out[some] += np.bincount(which % sets // 4, np.add.reduceat(more, starts, dtype=np.float64), len(some))
+            out[some] += np.bincount(which % sets // 4, np.add.reduceat(more.astype(np.float64), starts), len(some))
         x *= z
         step = ((TUNE_RATE if learn else RATE) * STEP / np.sqrt(1 + many)).astype(np.float32)
         every[which] = w + np.add.reduceat(x, starts, axis=1).T * step[:, None]
@@ -641,7 +643,7 @@ def answered(kind: int, keys: np.ndarray, n: np.ndarray, asked: np.ndarray, fore
     """Flags and values of the asked of sorted distinct pairs; contexts that nothing is asked of aren't looked at."""
     context = keys >> np.uint64(8)
     of = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]])[: len(keys)])
-    within = (np.bincount(of, asked, minlength=1) > 0)[of]
+    within = (np.bincount(of, asked, minlength=1) > 0)[of] & (asked | (n > 0))
     return Values.of(kind, keys[within], n[within], forest).at(np.flatnonzero(asked[within]))
 
 
