@@ -473,14 +473,20 @@ class Coder:
         every = self.pairs[kind] if self.pairs else keys
         if len(self.values) == kind:
             flags, several = self.answers[kind]
-            length = self.forest.length[self.forest.codes(kind, every)]
-            values = np.zeros(int(length.sum()) + 16, np.int8)
-            values[:-16] = np.repeat(flags, length)
-            values[:-16][values[:-16] == SEVERAL] = several
-            begin = np.cumsum(length) - length
+            length = self.length.take(self.forest.codes(kind, every))
+            differ = flags == SEVERAL
+            some, alike = np.flatnonzero(differ), np.flatnonzero((length > HEAD) & ~differ)
+            # The values of each pair that has several; and, to be looked up beyond the heads, those of long paths that have one.
+            own = np.concatenate([some, alike])
+            n = length.take(own).astype(np.int64)
+            begin = np.zeros(len(every), np.int32)
+            begin[own] = np.cumsum(n) - n
+            values = np.concatenate([several, np.repeat(flags.take(alike), length.take(alike)), np.zeros(16, np.int8)])
+            head = flags.view(np.uint8).astype(np.uint64) * np.uint64(0x0101010101010101)
+            head[some] = heads(values, begin.take(some).astype(np.int64))
             self.values.append(values)
-            self.begins.append(begin.astype(np.int32))
-            self.heads.append(heads(values, begin))
+            self.begins.append(begin)
+            self.heads.append(head)
         return np.searchsorted(every, keys).astype(np.int32) if self.pairs else np.arange(len(keys), dtype=np.int32)
 
     def places(self, segment: Segment) -> list[np.ndarray]:
